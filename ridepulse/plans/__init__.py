@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from . import hours, rentals
+from . import hours, profiles, rentals
 from .catalog import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "hours", "rentals"]
+__all__ = ["ORACLES", "QUERIES", "hours", "profiles", "rentals"]
