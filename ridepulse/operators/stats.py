@@ -10,13 +10,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import settle
 from .profile import by_each
 from .ranking import running_total
 
 
 def average_ranks(df: DataFrame, value: str) -> DataFrame:
     """Rank of each distinct value, ties sharing their mean rank. Works on value counts, not on rows."""
-    counts = df.groupBy(value).agg(F.count("*").alias("ties"))
+    return ranks_of_counts(settle(df.groupBy(value).agg(F.count("*").alias("ties")), "value-counts"), value)
+
+
+def ranks_of_counts(counts: DataFrame, value: str) -> DataFrame:
     ranked = running_total(counts, value, "ties", "upto")
     return ranked.select(value, "ties", (F.col("upto") - (F.col("ties") - 1) / F.lit(2.0)).alias("avg_rank"))
 
@@ -39,13 +43,14 @@ def chi_square_tail(statistic: pd.Series, freedom: pd.Series) -> pd.Series:
 
 def kruskal_wallis(df: DataFrame, target: str, factors: Sequence[str]) -> DataFrame:
     """H with tie correction and its degrees of freedom for every factor, from one pass of value counts."""
-    counts = by_each(df, factors, [F.count("*").alias("n")], fixed=[target])
-    ranks = average_ranks(df, target)
+    counts = settle(by_each(df, factors, [F.count("*").alias("n")], fixed=[target]), "factor-counts")
+    whole = counts.filter(F.col("factor") == factors[0]).groupBy(target).agg(F.sum("n").alias("ties"))
+    ranks = ranks_of_counts(whole, target)
     ties = F.col("ties").cast("double")
-    whole = ranks.agg(
+    total = ranks.agg(
         F.struct(F.sum(ties).alias("n"), F.sum(ties * ties * ties - ties).alias("t"))
     ).scalar()
-    size = whole["n"]
+    size = total["n"]
     sums = (
         counts.join(ranks, target)
         .groupBy("factor", "level")
@@ -55,7 +60,7 @@ def kruskal_wallis(df: DataFrame, target: str, factors: Sequence[str]) -> DataFr
         F.sum(F.col("rank_sum") * F.col("rank_sum") / F.col("n")).alias("s"), (F.count("*") - 1).alias("freedom")
     )
     h = 12 / (size * (size + 1)) * F.col("s") - 3 * (size + 1)
-    return raw.select("factor", (h / (1 - whole["t"] / (size * size * size - size))).alias("h"), "freedom")
+    return raw.select("factor", (h / (1 - total["t"] / (size * size * size - size))).alias("h"), "freedom")
 
 
 def kruskal_decision(df: DataFrame, target: str, factors: Sequence[str], level: float = 0.05) -> DataFrame:

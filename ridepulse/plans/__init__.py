@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from . import hours, profiles, rentals
+from . import files, hours, profiles, rentals, streams
 from .catalog import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "hours", "profiles", "rentals"]
+__all__ = ["ORACLES", "QUERIES", "files", "hours", "profiles", "rentals", "streams"]

@@ -108,4 +108,5 @@ def oracle(sql: str) -> str:
     if not names:
         return sql
     head = ",\n".join(f"{n} as ({CTES[n]})" for n in names)
-    return f"with {head}\n{sql}"
+    own = sql.lstrip()
+    return f"with {head},\n{own[5:]}" if own.startswith("with ") else f"with {head}\n{sql}"
