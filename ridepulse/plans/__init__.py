@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from . import files, hours, profiles, rentals, streams
+from . import files, hours, models, profiles, rentals, streams
 from .catalog import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "files", "hours", "profiles", "rentals", "streams"]
+__all__ = ["ORACLES", "QUERIES", "files", "hours", "models", "profiles", "rentals", "streams"]

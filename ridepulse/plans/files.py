@@ -42,7 +42,8 @@ def history(spark, sf):
 
 def history_files(spark, sf):
     path = scratch(spark, "history")
-    history(spark, sf).write.option("header", True).csv(path)
+    exact = {c: F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS") for c in ("HarvestTime", "LastGPSTime", "LastRentalStart")}
+    history(spark, sf).withColumns(exact).write.option("header", True).csv(path)
     return S.read_history(spark, f"{path}/*.csv")
 
 

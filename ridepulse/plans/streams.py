@@ -15,8 +15,7 @@ NTZ = "timestamp_ntz"
 
 
 def events(spark, sf):
-    path = f"{sf}/events.parquet"
-    return T.message_stream(spark, path, spark.read.parquet(path).schema)
+    return T.message_stream(spark, f"{sf}/events*.parquet", data.table(spark, sf, "events").schema)
 
 
 @query("T2_unique_messages", "select bike_id, last_rental_start, last_gps_time, battery, state_id from pings")
