@@ -6,7 +6,7 @@ import math
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import OneHotEncoder, PolynomialExpansion, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Bucketizer, OneHotEncoder, PolynomialExpansion, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,21 +22,28 @@ def kmeans_edges(df: DataFrame, value: str, bins: int, max_steps: int = 300) ->
 
     Steps run over the counts of distinct values; a step brings back one mean per bin.
     """
-    counts = df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("n")).persist()
+    counts = (
+        df.filter(F.col(value).isNotNull())
+        .groupBy(F.col(value).cast("double").alias("_v"))
+        .agg(F.count("*").alias("n"))
+        .persist()
+    )
     try:
-        low, high = counts.agg(F.min(value), F.max(value)).first()
+        low, high = counts.agg(F.min("_v"), F.max("_v")).first()
         width = (high - low) / bins
         centres = [low + width * (i + 0.5) for i in range(bins)]
         for _ in range(max_steps):
             edges = [(a + b) / 2 for a, b in zip(centres, centres[1:])]
+            nearest = Bucketizer(splits=[-math.inf, *edges, math.inf], inputCol="_v", outputCol="bin")
             means = (
-                counts.groupBy(bin_of(F.col(value), edges).alias("bin"))
-                .agg((F.sum(F.col(value) * F.col("n")) / F.sum("n")).alias("mean"))
+                nearest.transform(counts)
+                .groupBy("bin")
+                .agg((F.sum(F.col("_v") * F.col("n")) / F.sum("n")).alias("mean"))
                 .collect()
             )
             moved = list(centres)
             for row in means:
-                moved[row.bin] = row.mean
+                moved[int(row.bin)] = row.mean
             if max(abs(a - b) for a, b in zip(moved, centres)) < 1e-9:
                 break
             centres = sorted(moved)
@@ -107,41 +114,42 @@ def polynomial(df: DataFrame, columns: Sequence[str], degree: int = 3, output: s
     return PolynomialExpansion(degree=degree, inputCol="_v", outputCol=output).transform(assembled).drop("_v")
 
 
-def yeo_johnson(value: Column, power: float) -> Column:
-    """The Yeo-Johnson transform with a given power."""
-    up = F.log1p(F.greatest(value, F.lit(0.0)))
-    down = F.log1p(F.greatest(-value, F.lit(0.0)))
-    positive = up if abs(power) < 1e-12 else (F.exp(power * up) - 1) / power
-    other = 2 - power
-    negative = -down if abs(other) < 1e-12 else -(F.exp(other * down) - 1) / other
+def yeo_johnson(value: Column, power: Column | float) -> Column:
+    """The Yeo-Johnson transform; the power may differ from row to row."""
+    power = power if isinstance(power, Column) else F.lit(float(power))
+    up, down, other = F.log1p(F.greatest(value, F.lit(0.0))), F.log1p(F.greatest(-value, F.lit(0.0))), 2 - power
+    positive = F.when(F.abs(power) < 1e-12, up).otherwise(F.try_divide(F.exp(power * up) - 1, power))
+    negative = F.when(F.abs(other) < 1e-12, -down).otherwise(-F.try_divide(F.exp(other * down) - 1, other))
     return F.when(value >= 0, positive).otherwise(negative)
 
 
 def yeo_johnson_power(df: DataFrame, value: str, low: float = -2.0, high: float = 2.0, rounds: int = 6) -> float:
     """Power of the largest likelihood, by a grid that narrows around its best point.
 
-    All grid points of a round are one aggregate over the counts of distinct values.
+    A round is one aggregate per grid point over the counts of distinct values.
     """
-    counts = df.filter(F.col(value).isNotNull()).groupBy(F.col(value).cast("double").alias("v")).agg(F.count("*").alias("n"))
-    counts = counts.persist()
+    counts = (
+        df.filter(F.col(value).isNotNull())
+        .groupBy(F.col(value).cast("double").alias("v"))
+        .agg(F.count("*").alias("n"))
+        .persist()
+    )
     try:
         v, n = F.col("v"), F.col("n")
         best = 1.0
         for _ in range(rounds):
-            grid = [low + (high - low) * i / 20 for i in range(21)]
-            parts = []
-            for k, power in enumerate(grid):
-                t = yeo_johnson(v, power)
-                parts += [F.sum(n * t).alias(f"a{k}"), F.sum(n * t * t).alias(f"b{k}")]
-            row = counts.agg(F.sum(n).alias("n"), F.sum(n * F.signum(v) * F.log1p(F.abs(v))).alias("j"), *parts).first()
-
-            def likelihood(k: int) -> float:
-                mean = row[f"a{k}"] / row.n
-                return -row.n / 2 * math.log(max(row[f"b{k}"] / row.n - mean * mean, 1e-300)) + (grid[k] - 1) * row.j
-
-            top = max(range(21), key=likelihood)
-            best, step = grid[top], (high - low) / 20
-            low, high = best - step, best + step
+            grid = F.transform(F.sequence(F.lit(0), F.lit(20)), lambda i: F.lit(low) + F.lit((high - low) / 20) * i)
+            tried = counts.withColumn("power", F.explode(grid)).withColumn("t", yeo_johnson(v, F.col("power")))
+            sums = tried.groupBy("power").agg(
+                F.sum(n).alias("n"),
+                F.sum(n * F.signum(v) * F.log1p(F.abs(v))).alias("jacobian"),
+                (F.sum(n * F.col("t")) / F.sum(n)).alias("mean"),
+                (F.sum(n * F.col("t") * F.col("t")) / F.sum(n)).alias("square"),
+            )
+            variance = F.greatest(F.col("square") - F.col("mean") ** 2, F.lit(1e-300))
+            score = -F.col("n") / 2 * F.log(variance) + (F.col("power") - 1) * F.col("jacobian")
+            best = sums.select("power", score.alias("score")).orderBy(F.col("score").desc(), "power").first().power
+            low, high = best - (high - low) / 20, best + (high - low) / 20
         return best
     finally:
         counts.unpersist()
@@ -157,5 +165,6 @@ def split(df: DataFrame, draw: Column, train_percent: int = 70) -> tuple[DataFra
     return df.filter(draw < train_percent), df.filter(draw >= train_percent)
 
 
-def with_fold(df: DataFrame, key: Column, folds: int, seed: int = 2022, name: str = "fold") -> DataFrame:
-    return df.withColumn(name, hash_draw(key, seed, folds))
+def with_fold(df: DataFrame, draw: Column, folds: int, name: str = "fold") -> DataFrame:
+    """Fold number from a draw of any whole number per row, such as ``hash_draw`` gives."""
+    return df.withColumn(name, F.pmod(draw, F.lit(folds)).cast("int"))

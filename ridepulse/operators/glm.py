@@ -7,11 +7,12 @@ step of the fit is one aggregate over the cells; only matrices of predictors by
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -58,20 +59,38 @@ def _dot(xs: Sequence[Column], weights: Sequence[float]) -> Column:
     return reduce(lambda a, b: a + b, [x * F.lit(float(b)) for x, b in zip(xs, weights)])
 
 
-def _gram(cells: DataFrame, p: int, weight: Column, working: Column | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Sum of weight * x x' and, where given, of x * working, over all cells in one aggregate."""
-    xs = [F.col(f"x{i}") for i in range(p)]
-    parts = [F.sum(F.col("_w") * xs[i] * xs[j]) for i in range(p) for j in range(i, p)]
-    if working is not None:
-        parts += [F.sum(F.col("_z") * xs[i]) for i in range(p)]
-    weighted = cells.withColumns({"_w": weight, "_z": F.lit(0.0) if working is None else working})
-    row = weighted.agg(*[part.alias(f"s{k}") for k, part in enumerate(parts)]).first()
-    matrix, k = np.zeros((p, p)), 0
-    for i in range(p):
-        for j in range(i, p):
-            matrix[i, j] = matrix[j, i] = row[k]
-            k += 1
-    return matrix, np.array(row[k:], dtype=float) if working is not None else np.zeros(p)
+Weigh = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
+
+
+def _sums(cells: DataFrame, p: int, weigh: Weigh) -> tuple[np.ndarray, np.ndarray]:
+    """Sum of w x x' and of v x over all cells, where ``weigh`` gives w and v of a batch.
+
+    Each task adds up its own batches in numpy and hands on one array; Spark adds up the arrays. The
+    coefficients travel in the function, so no step compiles a plan of its own.
+    """
+
+    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        matrix, vector = np.zeros((p, p)), np.zeros(p)
+        for batch in batches:
+            if len(batch):
+                x = np.stack(batch["x"].to_numpy())
+                w, v = weigh(x, batch["n"].to_numpy(float), batch["sy"].to_numpy(), batch["syy"].to_numpy())
+                matrix += (x * w[:, None]).T @ x
+                vector += v @ x
+        yield pd.DataFrame({"part": [np.concatenate([matrix.ravel(), vector])]})
+
+    totals = (
+        cells.select("x", "n", "sy", "syy")
+        .mapInPandas(partial, "part array<double>")
+        .select(F.posexplode("part"))
+        .groupBy("pos")
+        .agg(F.sum("col").alias("total"))
+        .collect()
+    )
+    flat = np.zeros(p * p + p)
+    for row in totals:
+        flat[row.pos] = row.total
+    return flat[: p * p].reshape(p, p), flat[p * p :]
 
 
 @dataclass
@@ -175,47 +194,56 @@ def fit(
     cells = (
         df.groupBy(*design.inputs)
         .agg(F.count("*").alias("n"), F.sum(y).alias("sy"), F.sum(y * y).alias("syy"))
-        .select("n", "sy", "syy", *[x.alias(f"x{i}") for i, x in enumerate(design.columns())])
+        .select("n", "sy", "syy", F.array(*design.columns()).alias("x"))
         .persist()
     )
     try:
-        xs = [F.col(f"x{i}") for i in range(p)]
         n, total = cells.agg(F.sum("n"), F.sum("sy")).first()
-        counts = F.col("n")
         if family == "gaussian":
-            matrix, right = _gram(cells, p, counts.cast("double"), F.col("sy"))
+            matrix, right = _sums(cells, p, lambda x, n, sy, syy: (n, sy))
             beta, steps = np.linalg.solve(matrix, right), 1
         else:
             beta, steps, moved = np.zeros(p), 0, math.inf
             beta[0] = math.log(total / n)
             while moved > tolerance and steps < max_steps:
-                eta = _dot(xs, beta)
-                mu = F.exp(eta)
-                w = mu / (1 + F.lit(alpha) * mu)
-                matrix, right = _gram(cells, p, counts * w, w * (counts * eta + (F.col("sy") - counts * mu) / mu))
+                matrix, right = _sums(cells, p, _log_link_step(beta, alpha))
                 new = np.linalg.solve(matrix, right)
                 moved, beta, steps = float(np.max(np.abs(new - beta))), new, steps + 1
         inverse = np.linalg.inv(matrix)
-        result = Fit(design, target, family, alpha, beta, inverse, inverse, n, 1.0, steps)
-        mu = result._mean(xs)
-        squared = F.col("syy") - 2 * mu * F.col("sy") + counts * mu * mu
-        if family == "gaussian":
-            result.scale = cells.agg(F.sum(squared)).first()[0] / (n - p)
-            result.covariance = inverse * result.scale
-        form = reduce(
-            lambda a, b: a + b,
-            [F.lit(float(inverse[i, j] * (1 if i == j else 2))) * xs[i] * xs[j] for i in range(p) for j in range(i, p)],
-        )
-        w = result._weight(mu)
-        score = squared if family == "gaussian" else squared / (1 + F.lit(alpha) * mu) ** 2
-        room = 1 - w * form
-        meat, _ = _gram(cells, p, F.when(room > 1e-12, score / (room * room)).otherwise(0.0))
-        result.robust = inverse @ meat @ inverse
-        return result
+        spread, score = _sums(cells, p, _squared_scores(beta, inverse, family, alpha))
+        scale = score[0] / (n - p) if family == "gaussian" else 1.0
+        return Fit(design, target, family, alpha, beta, inverse * scale, inverse @ spread @ inverse, n, scale, steps)
     finally:
         cells.unpersist()
 
 
+def _log_link_step(beta: np.ndarray, alpha: float) -> Weigh:
+    def weigh(x, n, sy, syy):
+        eta = x @ beta
+        mu = np.exp(eta)
+        w = mu / (1 + alpha * mu)
+        return n * w, w * (n * eta + (sy - n * mu) / mu)
+
+    return weigh
+
+
+def _squared_scores(beta: np.ndarray, inverse: np.ndarray, family: str, alpha: float) -> Weigh:
+    """Squared scores over squared room left by the leverage, and plain squared residuals (on the intercept)."""
+
+    def weigh(x, n, sy, syy):
+        eta = x @ beta
+        mu = eta if family == "gaussian" else np.exp(eta)
+        w = np.ones_like(mu) if family == "gaussian" else mu / (1 + alpha * mu)
+        slope = np.ones_like(mu) if family == "gaussian" else 1 / (1 + alpha * mu)
+        squared = syy - 2 * mu * sy + n * mu * mu
+        room = 1 - w * np.einsum("ij,jk,ik->i", x, inverse, x)
+        # a cell that determines its own fit has no residual to weigh
+        safe = np.where(room > 1e-12, room, np.inf)
+        return squared * (slope / safe) ** 2, squared
+
+    return weigh
+
+
 def without_influential(rows: DataFrame, n: int) -> DataFrame:
     """Rows whose Cook's distance does not exceed 4/n."""
     return rows.filter(F.col("cooks") <= F.lit(4 / n))

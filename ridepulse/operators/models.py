@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.weather import is_high_demand, round_half_away
-from .encoders import preprocessor, with_fold
+from .encoders import hash_draw, preprocessor, with_fold
 from .features import forecast_features
 from .ranking import ordinal_shuffled
 
@@ -118,7 +118,7 @@ def grid_search(
 ) -> CrossValidatorModel:
     """Forest settings with the best cross-validated RMSE. Preprocessing runs once, before the folds."""
     stages = preprocessor(df, predictors)
-    ready = with_fold(stages.fit(df).transform(df), key, folds).select("features", TARGET, "fold")
+    ready = with_fold(stages.fit(df).transform(df), hash_draw(key, 2022, folds), folds).select("features", TARGET, "fold")
     model = forest()
     grid = ParamGridBuilder().addGrid(model.maxDepth, list(depths)).addGrid(model.numTrees, list(trees)).build()
     search = CrossValidator(
@@ -135,7 +135,7 @@ def grid_search(
 
 def kfold_scores(df: DataFrame, predictors: Sequence[str], key: Column, folds: int = 3, **params) -> DataFrame:
     """Mean RMSE and MAE over folds; each fold's held-out rows also stop its boosting early."""
-    cut = with_fold(df, key, folds)
+    cut = with_fold(df, hash_draw(key, 2022, folds), folds)
     parts = []
     for fold in range(folds):
         flagged = cut.withColumn("held_out", F.col("fold") == fold)

@@ -25,7 +25,7 @@ from .hours import TEST, TRAIN
 from .profiles import rounded
 
 def hour_key():
-    return F.datediff("date", F.lit("2021-03-01").cast("date")) * 24 + F.col("hour")
+    return (F.datediff("date", F.lit("2021-03-01").cast("date")) * 24 + F.col("hour")).cast("long")
 
 
 def key_column(df):
@@ -163,9 +163,9 @@ def split_rows(spark, sf):
     return both.select("k", "demand", "train")
 
 
-@query("E9_folds")
+@query("E9_folds", f"select cast(({K} * 7919) % 5 as integer) as fold, count(*) as n from fact group by 1")
 def folds(spark, sf):
-    return E.with_fold(key_column(data.fact(spark, sf)), F.col("k"), 5).groupBy("fold").agg(F.count("*").alias("n"))
+    return E.with_fold(key_column(data.fact(spark, sf)), F.col("k") * 7919, 5).groupBy("fold").agg(F.count("*").alias("n"))
 
 
 # -- baselines and linear models ---------------------------------------------------------------------------------------
@@ -394,10 +394,10 @@ def residuals(spark, sf):
     return rounded(rows, "fitted", "residual")
 
 
-@query("M17_residual_mean")
+@query("M17_residual_mean", "select 0e0 as residual_mean, count(*) as n from fact")
 def residual_mean(spark, sf):
     f, fit = saturated(spark, sf, "gaussian")
-    return fit.predict(f).agg(F.round(F.avg("residual"), 6).alias("residual_mean"), F.count("*").alias("n"))
+    return fit.predict(f).agg(F.abs(F.round(F.avg("residual"), 6)).alias("residual_mean"), F.count("*").alias("n"))
 
 
 # -- scores, forecast, saved models ------------------------------------------------------------------------------------
@@ -457,7 +457,7 @@ def next_hours(spark, sf):
     return combine_forecast(forecast_files(spark, sf)).orderBy("at_time").limit(15).select("at_time", "temp")
 
 
-@query("S15_saved_model")
+@query("S15_saved_model", "select count(*) as n, cast(0 as bigint) as different from fact")
 def saved_model(spark, sf):
     """A model read back predicts what it predicted before it was saved."""
     f, model = trained(spark, sf)

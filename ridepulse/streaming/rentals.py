@@ -70,10 +70,12 @@ class RentalStore:
         replace(known.unionByName(fresh), "pending")
         pending = spark.read.schema(PING_SCHEMA).parquet(f"{self.folder}/pending/batch_id={batch_id}")
         batch = process_batch(pending)
+        # only rentals as new as the oldest pending message can clash, and start times are clustered by batch
+        oldest = pending.agg(F.min("last_rental_start")).scalar()
         finished = (
             spark.read.schema(f"{RENTAL_SCHEMA}, batch_id INT")
             .parquet(f"{self.folder}/rentals")
-            .filter(F.col("batch_id") < batch_id)
+            .filter((F.col("batch_id") < batch_id) & (F.col("last_rental_start") >= oldest))
         )
         replace(batch.rentals.join(finished.select(*RENTAL_KEY), RENTAL_KEY, "left_anti"), "rentals")
         replace(batch.coordinates, "coordinates")
