@@ -46,14 +46,14 @@ def shared_dir(spark: SparkSession) -> str:
 
     A machine-local folder is only made up when the session runs in local mode and names none.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="ridepulse-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="ridepulse-"))
+    return context.getCheckpointDir()
 
 
 def scratch(spark: SparkSession, name: str) -> str:
