@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def day_month_year(text: Column) -> Column:
     """Date of ``dd-mm-yyyy`` text; NULL where it does not parse."""
-    return F.try_to_date(F.trim(text), "dd-MM-yyyy") if hasattr(F, "try_to_date") else F.to_date(F.trim(text), "dd-MM-yyyy")
+    return F.try_to_date(F.trim(text), "dd-MM-yyyy")
 
 
 def date_from_file_name(path: Column) -> Column:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -31,9 +29,11 @@ def ms_to_knots(ms: Column) -> Column:
 
 
 def beaufort(ms: Column) -> Column:
-    """Beaufort number 0 to 12: how many of the limits the speed reaches."""
-    reached = [F.when(ms >= limit, 1).otherwise(0) for limit in BEAUFORT_LIMITS]
-    return F.when(ms.isNotNull(), reduce(lambda a, b: a + b, reached))
+    """Beaufort number 0 to 12: the first limit the speed stays below, 12 at or above all."""
+    scale = F.when(ms.isNull(), None)
+    for number, limit in enumerate(BEAUFORT_LIMITS):
+        scale = scale.when(ms < limit, number)
+    return scale.otherwise(len(BEAUFORT_LIMITS))
 
 
 def wind_group(scale: Column) -> Column:

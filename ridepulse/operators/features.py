@@ -17,7 +17,6 @@ def with_holiday_flag(df: DataFrame, holidays: DataFrame) -> DataFrame:
 
 def _derived() -> dict:
     date, hour = F.col("date"), F.col("hour")
-    bft = W.beaufort(W.knots_to_ms(F.col("wdsp")))
     return {
         "day": F.dayofmonth(date),
         "month": F.month(date),
@@ -29,15 +28,20 @@ def _derived() -> dict:
         "peak": C.is_peak(hour, date),
         "timesofday": C.time_of_day(hour),
         "rainfall_intensity": W.rain_level(F.col("rain")),
-        "wind_bft": bft,
-        "wind_speed_group": W.wind_group(bft),
+        "wind_speed_group": W.wind_group(F.col("wind_bft")),
         "temp_r": W.round_half_away(F.col("temp")),
     }
 
 
 def hourly_features(fact: DataFrame, holidays: DataFrame) -> DataFrame:
-    """All features of an hourly row in one projection."""
-    return with_holiday_flag(fact, holidays).withColumns(_derived())
+    """All features of an hourly row.
+
+    Wind is scaled in steps of their own: the optimizer keeps them apart because later steps read them several
+    times, and no expression grows past what the JVM compiles.
+    """
+    flagged = with_holiday_flag(fact, holidays).withColumn("_ms", W.knots_to_ms(F.col("wdsp")))
+    scaled = flagged.withColumn("wind_bft", W.beaufort(F.col("_ms"))).drop("_ms")
+    return scaled.withColumns(_derived())
 
 
 def trip_features(trips: DataFrame, weather: DataFrame, holidays: DataFrame) -> DataFrame:

@@ -14,13 +14,16 @@ BATTERY_LIMITS = [0, 30, 50, 80, 100]
 
 
 def value_counts(df: DataFrame, column: str, normalize: bool = False) -> DataFrame:
-    """Frequency of each value, or its share; sort by ``n`` or ``share`` descending to read it."""
-    counts = df.groupBy(column).agg(F.count("*").alias("n"))
-    return share_of_total(counts, "n").drop("n") if normalize else counts
+    """Frequency of each known value, or its share; sort by ``n`` or ``share`` descending to read it."""
+    known = df.filter(F.col(column).isNotNull())
+    counts = known.groupBy(column).agg(F.count("*").alias("n"))
+    if not normalize:
+        return counts
+    return counts.select(column, (F.col("n") / known.agg(F.count("*")).scalar()).alias("share"))
 
 
 def share_of_total(groups: DataFrame, amount: str, name: str = "share") -> DataFrame:
-    """Share of each group. The window runs over the few aggregated groups only."""
+    """Share of each of a few groups, such as weekdays; the window only sees the aggregated groups."""
     whole = Window.partitionBy(F.lit(0))
     return groups.withColumn(name, F.col(amount) / F.sum(amount).over(whole))
 

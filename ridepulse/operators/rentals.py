@@ -12,7 +12,6 @@ from .pings import has_position
 from .ranking import ordinal_by_time
 
 RENTAL_KEY = ["last_rental_start", "bike_id"]
-DAY = 86400
 
 
 def rental_pairs(pings: DataFrame) -> DataFrame:
@@ -26,7 +25,7 @@ def count_pending(pings: DataFrame) -> DataFrame:
 
 def rank_rentals(pings: DataFrame) -> DataFrame:
     """Rentals of a bike numbered from the newest; 1 is open, all others are completed."""
-    return ordinal_by_time(rental_pairs(pings), ["bike_id"], "last_rental_start", "rent_rank", True, (), DAY)
+    return ordinal_by_time(rental_pairs(pings), ["bike_id"], "last_rental_start", "rent_rank", descending=True)
 
 
 def latest_starts(rentals: DataFrame) -> DataFrame:
