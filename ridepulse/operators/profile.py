@@ -57,16 +57,12 @@ def grouped_stats(df: DataFrame, by: Sequence[str], **aggregates: Column) -> Dat
 
 
 def by_each(df: DataFrame, factors: Sequence[str], aggregates: Sequence[Column], fixed: Sequence[str] = ()) -> DataFrame:
-    """The same aggregates once per factor from one scan, as rows (factor, level, ...)."""
-    sets = [[*fixed, factor] for factor in factors]
-    columns = [*fixed, *factors]
-    which = F.array(*[F.when(F.grouping(F.col(f)) == 0, F.lit(f)) for f in factors])
-    grouped = df.groupingSets([[F.col(c) for c in s] for s in sets], *[F.col(c) for c in columns]).agg(
-        F.array_compact(which)[0].alias("factor"), *aggregates
-    )
-    level = F.coalesce(*[F.when(F.col("factor") == f, F.col(f).cast("string")) for f in factors])
-    names = [c for c in grouped.columns if c not in [*columns, "factor"]]
-    return grouped.select(*fixed, "factor", level.alias("level"), *names)
+    """The same aggregates once per factor from one scan, as rows (factor, level, ...).
+
+    Each row is repeated per factor and combined map-side, so the shuffle carries groups, not rows.
+    """
+    pairs = [F.struct(F.lit(f).alias("factor"), F.col(f).cast("string").alias("level")) for f in factors]
+    return df.select("*", F.inline(F.array(*pairs))).groupBy(*fixed, "factor", "level").agg(*aggregates)
 
 
 def zero_summary(df: DataFrame, by: Sequence[str] = (), value: str = "demand") -> DataFrame:

@@ -23,36 +23,25 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 def pings(spark: SparkSession, sf: str) -> DataFrame:
     """GPS messages of bikes, from the event stream; batteries are dirty on purpose."""
-    k = F.get_json_object("props", "$.k").cast("int")
-    kind = F.col("event_type")
-    offset = F.col("value") / F.lit(1e4)
-    events = table(spark, sf, "events").select(
-        F.col("user_id").alias("bike_id"), F.col("ts").alias("last_gps_time"), "event_type", "value", k.alias("k")
+    events = table(spark, sf, "events").selectExpr(
+        "user_id AS bike_id",
+        "ts AS last_gps_time",
+        "event_type",
+        "value / 1e4 AS offset",
+        "CAST(get_json_object(props, '$.k') AS INT) AS k",
     )
     runs = infer_starts(events, "bike_id", "last_gps_time", GAP_SECONDS, "last_rental_start")
-    return runs.select(
+    return runs.selectExpr(
         "bike_id",
         "last_rental_start",
         "last_gps_time",
-        F.when(F.col("k") % 25 == 0, None)
-        .when(F.col("k") % 25 == 1, -F.col("k"))
-        .when(F.col("k") == 99, 104)
-        .otherwise(F.col("k"))
-        .cast("int")
-        .alias("battery"),
-        F.when(F.col("bike_id") % 10 == 0, "Workshop")
-        .when(F.col("bike_id") % 10 == 1, "Private")
-        .when(F.col("bike_id") % 10 == 2, "Healthcare")
-        .otherwise("DUB-General")
-        .alias("bike_type"),
-        F.when(kind == "error", 1)
-        .when(kind == "click", 2)
-        .when(kind == "purchase", 3)
-        .when(kind == "view", 4)
-        .otherwise(5)
-        .alias("state_id"),
-        F.when(kind == "error", 0.0).when(kind != "signup", F.lit(53.3) + offset).alias("latitude"),
-        F.when(kind == "error", 0.0).when(kind != "signup", F.lit(-6.25) - offset).alias("longitude"),
+        "CASE WHEN k % 25 = 0 THEN NULL WHEN k % 25 = 1 THEN -k WHEN k = 99 THEN 104 ELSE k END AS battery",
+        """CASE bike_id % 10 WHEN 0 THEN 'Workshop' WHEN 1 THEN 'Private' WHEN 2 THEN 'Healthcare'
+           ELSE 'DUB-General' END AS bike_type""",
+        """CASE event_type WHEN 'error' THEN 1 WHEN 'click' THEN 2 WHEN 'purchase' THEN 3 WHEN 'view' THEN 4
+           ELSE 5 END AS state_id""",
+        "CASE event_type WHEN 'error' THEN 0e0 WHEN 'signup' THEN NULL ELSE 53.3e0 + offset END AS latitude",
+        "CASE event_type WHEN 'error' THEN 0e0 WHEN 'signup' THEN NULL ELSE -6.25e0 - offset END AS longitude",
     )
 
 
@@ -62,17 +51,15 @@ def cleaned(spark: SparkSession, sf: str) -> DataFrame:
 
 def trips(spark: SparkSession, sf: str) -> DataFrame:
     """Finished rentals over fourteen months, one per order."""
-    key, bike = F.col("o_orderkey"), F.col("o_custkey")
-    days = F.datediff(F.to_date("o_orderdate"), F.lit("1995-01-01").cast("date")) % 426
-    date = F.date_add(F.lit("2021-03-01").cast("date"), days.cast("int"))
-    hour = F.greatest(key % 24, (key * 5 + bike) % 24)
-    minute = (bike * 7 + key) % 60
-    return table(spark, sf, "orders").select(
-        key.alias("trip_id"),
-        bike.alias("bike_id"),
-        F.timestamp_add("MINUTE", hour * 60 + minute, date.cast("timestamp_ntz")).alias("start"),
-        F.when(key % 97 != 0, key % 103 - 1).cast("int").alias("battery_start"),
-        (key % 180).cast("int").alias("duration"),
+    return table(spark, sf, "orders").selectExpr(
+        "o_orderkey AS trip_id",
+        "o_custkey AS bike_id",
+        """timestampadd(MINUTE,
+           greatest(o_orderkey % 24, (o_orderkey * 5 + o_custkey) % 24) * 60 + (o_custkey * 7 + o_orderkey) % 60,
+           CAST(date_add(DATE'2021-03-01', datediff(CAST(o_orderdate AS DATE), DATE'1995-01-01') % 426) AS TIMESTAMP_NTZ)
+           ) AS start""",
+        "CAST(CASE WHEN o_orderkey % 97 <> 0 THEN o_orderkey % 103 - 1 END AS INT) AS battery_start",
+        "CAST(o_orderkey % 180 AS INT) AS duration",
     )
 
 
@@ -81,17 +68,16 @@ def _weather(times: DataFrame, ts: str) -> DataFrame:
     span = times.agg(F.min(ts).alias("h0"), F.max(ts).alias("h1")).select(
         hour_start(F.col("h0")).alias("h0"), hour_start(F.col("h1")).alias("h1")
     )
-    i = F.col("i")
     return (
-        span.select("h0", F.explode(F.sequence(F.lit(0), F.timestamp_diff("HOUR", F.col("h0"), F.col("h1")).cast("int"))).alias("i"))
-        .withColumn("ts", F.timestamp_add("HOUR", i, F.col("h0")))
-        .select(
-            F.to_date("ts").alias("date"),
-            F.hour("ts").alias("hour"),
-            (((i * 37) % 251) / F.lit(10.0) - F.lit(5.0)).alias("temp"),
-            (40 + (i * 29) % 61).cast("int").alias("rhum"),
-            ((i * 13) % 60).cast("int").alias("wdsp"),
-            F.when(i % 3 == 0, 0.0).otherwise(((i * 17) % 60) / F.lit(10.0)).alias("rain"),
+        span.selectExpr("h0", "explode(sequence(0, CAST(timestampdiff(HOUR, h0, h1) AS INT))) AS i")
+        .selectExpr("i", "timestampadd(HOUR, i, h0) AS ts")
+        .selectExpr(
+            "CAST(ts AS DATE) AS date",
+            "hour(ts) AS hour",
+            "((i * 37) % 251) / 1e1 - 5e0 AS temp",
+            "40 + (i * 29) % 61 AS rhum",
+            "(i * 13) % 60 AS wdsp",
+            "CASE WHEN i % 3 = 0 THEN 0e0 ELSE ((i * 17) % 60) / 1e1 END AS rain",
         )
     )
 

@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from ..operators.pings import PING_KEY
 from ..session import scratch
+from ..sources.files import WEATHER_JSON_SCHEMA, typed_weather
 from ..streaming import telemetry as T
+from ..streaming.landing import ingest_new_files
 from ..streaming.rentals import RentalStore, stream_rentals
 from . import data
 from .catalog import query
@@ -18,6 +20,32 @@ def events(spark, sf):
     return T.message_stream(spark, f"{sf}/events*.parquet", data.table(spark, sf, "events").schema)
 
 
+@query(
+    "T1_new_files",
+    """select date, hour, timesofday, cast(floor(temp) as integer) as temp, wdsp, rhum, rain, rainfall_intensity from features""",
+)
+def new_files(spark, sf):
+    """Weather files in two deliveries and three runs; what is stored is typed like a batch read."""
+    root = scratch(spark, "t1")
+    w = data.weather(spark, sf)
+    reading = F.struct(
+        F.floor("temp").cast("string").alias("temperature"),
+        F.col("wdsp").cast("string").alias("windSpeed"),
+        F.col("rhum").cast("string").alias("humidity"),
+        F.col("rain").cast("string").alias("rainfall"),
+        F.date_format("date", "dd-MM-yyyy").alias("date"),
+        F.format_string("%02d:00", F.col("hour")).alias("reportTime"),
+    )
+    for part in ("hour < 12", "hour >= 12", None):
+        if part:
+            w.filter(part).select(F.to_json(F.array(reading)).alias("value")).write.mode("append").text(f"{root}/landing")
+        ingest_new_files(
+            spark, f"{root}/landing", f"{root}/table", f"{root}/errors", f"{root}/state", WEATHER_JSON_SCHEMA, multi_line=False
+        )
+    stored = spark.read.schema(WEATHER_JSON_SCHEMA).parquet(f"{root}/table/*")
+    return typed_weather(stored)
+
+
 @query("T2_unique_messages", "select bike_id, last_rental_start, last_gps_time, battery, state_id from pings")
 def unique_messages(spark, sf):
     """Messages of state 1 are delivered twice."""

@@ -33,6 +33,8 @@ def local_session(app: str, cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # building a plan records a stack trace per column otherwise
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in RUNTIME_CONF.items():
         builder = builder.config(key, value)

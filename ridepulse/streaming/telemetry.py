@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +28,7 @@ def thin_copies(stream: DataFrame, key: list[str]) -> DataFrame:
     def first_of_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = pa.Table.from_batches([batch])
-            numbered = rows.select(key).append_column("_row", pa.array(range(len(rows)), pa.int64()))
+            numbered = rows.select(key).append_column("_row", pa.array(np.arange(len(rows))))
             kept = numbered.group_by(key).aggregate([("_row", "min")])["_row_min"]
             yield from rows.take(kept).combine_chunks().to_batches()
 
