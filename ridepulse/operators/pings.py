@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .joins import spread_join
+
 FLEET = "DUB-General"
 PING_KEY = ["last_rental_start", "bike_id", "last_gps_time"]
 
@@ -33,7 +35,7 @@ def never_started(df: DataFrame) -> DataFrame:
 
 
 def drop_never_started(df: DataFrame) -> DataFrame:
-    return df.join(never_started(df), "last_rental_start", "left_anti")
+    return spread_join(df, never_started(df), ["last_rental_start"], "left_anti")
 
 
 def normal_battery(battery: Column) -> Column:

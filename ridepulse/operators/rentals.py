@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.calendar import rental_duration
+from .joins import spread_join
 from .pings import has_position
 from .ranking import ordinal_by_time
 
@@ -43,7 +44,8 @@ def completed_pairs(pings: DataFrame) -> DataFrame:
     The same answer as rank > 1, from one small aggregate per bike instead of a ranking.
     """
     pairs = rental_pairs(pings)
-    return pairs.join(latest_starts(pairs), "bike_id").filter("last_rental_start < open_start").select(*RENTAL_KEY)
+    closed = spread_join(pairs, latest_starts(pairs), ["bike_id"], "inner").filter("last_rental_start < open_start")
+    return closed.select(*RENTAL_KEY)
 
 
 def summarize(pings: DataFrame) -> DataFrame:
@@ -76,13 +78,13 @@ def reconstruct(pings: DataFrame) -> DataFrame:
     """
     rentals = summarize(pings)
     newest = latest_starts(pings)
-    return rentals.join(newest, "bike_id").filter("last_rental_start < open_start").drop("open_start")
+    return spread_join(rentals, newest, ["bike_id"], "inner").filter("last_rental_start < open_start").drop("open_start")
 
 
 def rental_coordinates(pings: DataFrame, completed: DataFrame) -> DataFrame:
     """Usable positions of completed rentals."""
     return (
-        pings.join(completed, RENTAL_KEY, "left_semi")
+        spread_join(pings, completed, RENTAL_KEY, "left_semi")
         .filter(has_position(F.col("latitude"), F.col("longitude")))
         .select(F.col("last_rental_start").alias("date"), "bike_id", "latitude", "longitude")
     )
@@ -90,7 +92,7 @@ def rental_coordinates(pings: DataFrame, completed: DataFrame) -> DataFrame:
 
 def purge(pings: DataFrame, completed: DataFrame) -> DataFrame:
     """Raw messages that stay after the completed rentals are taken out."""
-    return pings.join(completed, RENTAL_KEY, "left_anti")
+    return spread_join(pings, completed, RENTAL_KEY, "left_anti")
 
 
 def orphans(coordinates: DataFrame, rentals: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.calendar import duration_minutes
 from ..operators import pings as P
 from ..operators import rentals as R
+from ..operators.joins import spread_join
 from ..operators.profile import value_counts
 from ..sources.store import insert_ignore
 from . import data
@@ -40,7 +41,7 @@ def rank(spark, sf):
 )
 def open_and_completed(spark, sf):
     pairs = R.rental_pairs(data.pings(spark, sf))
-    joined = pairs.join(R.latest_starts(pairs), "bike_id")
+    joined = spread_join(pairs, R.latest_starts(pairs), ["bike_id"], "inner")
     is_open = F.col("last_rental_start") == F.col("open_start")
     return joined.agg(F.count_if(is_open).alias("open"), F.count_if(~is_open).alias("completed"))
 
@@ -142,7 +143,7 @@ def null_counts(spark, sf):
 )
 def completed_pings(spark, sf):
     pings = data.pings(spark, sf)
-    return pings.join(R.completed_pairs(pings), R.RENTAL_KEY, "left_semi")
+    return spread_join(pings, R.completed_pairs(pings), R.RENTAL_KEY, "left_semi")
 
 
 @query(
@@ -164,7 +165,8 @@ def not_in_list(spark, sf):
     """Messages of start times that never reported the bike lying on the ground."""
     pings = data.pings(spark, sf)
     listed = pings.filter("state_id = 5").select("last_rental_start").distinct()
-    return pings.join(listed, "last_rental_start", "left_anti").select("bike_id", "last_rental_start", "last_gps_time")
+    kept = spread_join(pings, listed, ["last_rental_start"], "left_anti")
+    return kept.select("bike_id", "last_rental_start", "last_gps_time")
 
 
 @query(
@@ -292,7 +294,7 @@ def fleet_observations(spark, sf):
 def newest_pings(spark, sf):
     pings = data.pings(spark, sf)
     marked = pings.filter("state_id = 5").select("last_rental_start").distinct()
-    found = pings.join(marked, "last_rental_start", "left_semi")
+    found = spread_join(pings, marked, ["last_rental_start"], "left_semi")
     order = [F.col("last_rental_start").desc(), F.col("last_gps_time").desc(), F.col("bike_id")]
     return found.orderBy(*order).limit(25).select("bike_id", "last_rental_start", "last_gps_time", "state_id")
 
