@@ -139,9 +139,9 @@ def kfold_scores(df: DataFrame, predictors: Sequence[str], key: Column, folds: i
     parts = []
     for fold in range(folds):
         flagged = cut.withColumn("held_out", F.col("fold") == fold)
-        stages = preprocessor(flagged.filter(~F.col("held_out")), predictors).getStages()
-        model = Pipeline(stages=[*stages, boosted(validation="held_out", **params)]).fit(flagged)
-        scored = metrics(model.transform(flagged), ["held_out"])
+        train = flagged.filter(~F.col("held_out"))
+        ready = preprocessor(train, predictors).fit(train).transform(flagged)
+        scored = metrics(boosted(validation="held_out", **params).fit(ready).transform(ready), ["held_out"])
         parts.append(scored.withColumn("fold", F.lit(fold)))
     scores = reduce(DataFrame.unionByName, parts)
     part = F.when(F.col("held_out"), "validation").otherwise("train")
