@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure
 from . import oracles
+from .packing import pack
 from .sharding import assign_shards, number_in_shards
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,3 +47,13 @@ def op1(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), F.lit("key").alias("law")
     )
     return number_in_shards(assign_shards(docs, "doc_id", [1.0] * SHARDS, grown="grown_shard"), ["doc_id"])
+
+
+TOKENIZER = "byte_bpe_50k.json"
+
+
+@query("op3_mixture_packing")
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents in sequences of 2048 tokens, each with the sources in their shares."""
+    pieces = pack(table(spark, sf, "documents"), "text", "source", ["doc_id"], public_tokenizers.path(TOKENIZER))
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
