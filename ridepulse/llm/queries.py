@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import configure
+from ..session import configure, scratch
 from . import oracles
 from .packing import pack
 from .sharding import assign_shards, number_in_shards
+from .tokenstore import block_starts, read_tokens, write_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -57,3 +58,13 @@ def op3(spark: SparkSession, sf: str) -> DataFrame:
     """All documents in sequences of 2048 tokens, each with the sources in their shares."""
     pieces = pack(table(spark, sf, "documents"), "text", "source", ["doc_id"], public_tokenizers.path(TOKENIZER))
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+@query("op9_token_files")
+def op9(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents as compressed token files, and what reading them back gives."""
+    folder = scratch(spark, "tokens")
+    write_tokens(table(spark, sf, "documents"), "doc_id", "text", folder, public_tokenizers.path(TOKENIZER))
+    read = read_tokens(spark, folder).select("doc_id", "block", "place", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    starts = block_starts(spark, folder)
+    return read.join(starts, "block").select("doc_id", (F.col("first") + F.col("place")).alias("start"), "n_tokens", "ids_crc32")
