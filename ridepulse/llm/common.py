@@ -72,3 +72,9 @@ def part_starts(rows: DataFrame, value: Column, keys: Sequence[str] = (), row: s
         .agg(F.sum(value).cast("long").alias("_in"))
         .withColumn("_start", F.coalesce(F.sum("_in").over(before), F.lit(0)))
     )
+
+
+def row_key(key: str, text: str) -> Column:
+    """A digest of key and text, nulls told apart from empty values: rows with equal digests have equal results."""
+    known = [F.coalesce(F.concat(F.lit("v"), F.col(c).cast("string")), F.lit("-")) for c in (key, text)]
+    return F.md5(F.concat(known[0], F.lit("\0"), known[1]))

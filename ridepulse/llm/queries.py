@@ -12,6 +12,7 @@ from ..session import configure, scratch
 from . import oracles
 from .packing import pack
 from .sharding import assign_shards, number_in_shards
+from .simhash import near_duplicates
 from .tokenstore import block_starts, read_tokens, write_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,3 +69,11 @@ def op9(spark: SparkSession, sf: str) -> DataFrame:
     read = read_tokens(spark, folder).select("doc_id", "block", "place", "n_tokens", F.crc32("ids").alias("ids_crc32"))
     starts = block_starts(spark, folder)
     return read.join(starts, "block").select("doc_id", (F.col("first") + F.col("place")).alias("start"), "n_tokens", "ids_crc32")
+
+
+@query("op4_simhash")
+def op4(spark: SparkSession, sf: str) -> DataFrame:
+    """Fingerprint and component of every document, links at 2 bits or fewer."""
+    found = near_duplicates(table(spark, sf, "documents"), "doc_id", "text", words=3, radius=2)
+    digits = F.lower(F.lpad(F.hex("_print"), 16, "0"))
+    return found.select("doc_id", digits.alias("fingerprint"), F.col("_component").alias("component_id"))
