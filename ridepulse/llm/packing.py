@@ -37,7 +37,7 @@ class Mixture:
         self.all = int(self.totals.sum())
         self.end = float(np.max((self.totals + 2) / self.shares)) if len(totals) else 0.0
         self.block = max(1, TABLE_CELLS // max(1, len(totals)))
-        self.tables: dict[int, np.ndarray] = {}
+        self.tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
     def _served(self, time: np.ndarray) -> np.ndarray:
         return np.clip(np.floor(time[:, None] * self.shares + 0.5), 0, self.totals).astype(np.int64)
@@ -71,25 +71,29 @@ class Mixture:
         return np.maximum(first // self.length, 0), np.minimum(last, self.all) // self.length
 
 
-    def table(self, block: int) -> np.ndarray:
-        """``served`` for the windows of one block and the one after."""
+    def table(self, block: int) -> tuple[np.ndarray, np.ndarray]:
+        """``served`` for the windows of one block and the one after, and where in a window each queue begins."""
         if block not in self.tables:
             while len(self.tables) >= TABLES:
                 self.tables.pop(next(iter(self.tables)))
-            self.tables[block] = self.served(np.arange(block * self.block, (block + 1) * self.block + 1))
+            served = self.served(np.arange(block * self.block, (block + 1) * self.block + 1))
+            own = np.diff(served, axis=0)
+            self.tables[block] = served, np.cumsum(own, 1) - own
         return self.tables[block]
 
-    def cut(self, queue: int, start: int, end: int, first: int, last: int) -> Iterator[tuple[int, int, int, int]]:
-        """Pieces of tokens start..end of a queue: from, to, window and offset in it."""
+    def cut(self, queue: int, start: int, end: int, first: int, last: int) -> list[np.ndarray]:
+        """Pieces of tokens start..end of a queue, in order: from, to, window and offset in it."""
+        parts = []
         for block in range(first // self.block, last // self.block + 1):
-            served = self.table(block)
+            served, before = self.table(block)
             edge = served[:, queue]
             lo, hi = np.searchsorted(edge, start, "right") - 1, np.searchsorted(edge, end, "left")
-            for k in range(max(0, int(lo)), min(int(hi), self.block)):
-                a, b = max(start, int(edge[k])), min(end, int(edge[k + 1]))
-                if a < b:
-                    before = int((served[k + 1, :queue] - served[k, :queue]).sum())
-                    yield a, b, block * self.block + k, before + a - int(edge[k])
+            k = np.arange(max(0, lo), min(hi, self.block))
+            a, b = np.maximum(edge[k], start), np.minimum(edge[k + 1], end)
+            kept = a < b
+            k, a, b = k[kept], a[kept], b[kept]
+            parts.append((a, b, block * self.block + k, before[k, queue] + a - edge[k]))
+        return [np.concatenate(x) for x in zip(*parts)]
 
 
 def _queue_names(df: DataFrame, text: str, queue: str) -> list:
@@ -162,20 +166,18 @@ def pack(
         for batch in batches:
             queues = np.array([place[q] for q in batch.column(lane).to_pylist()], np.int64)
             froms, counts = np.asarray(batch.column(before), np.int64), np.asarray(batch.column(n), np.int64)
-            found, size = [], 0
+            found, size, done = [], 0, 0
             for low in range(0, len(queues), mixture.block):
                 part = slice(low, low + mixture.block)
                 first, last = mixture.around(queues[part], froms[part], froms[part] + counts[part])
                 for i, (w, z) in enumerate(zip(first.tolist(), last.tolist()), low):
-                    start, raw = int(froms[i]), batch.column(ids)[i].as_py()
-                    for a, b, window, offset in mixture.cut(int(queues[i]), start, start + int(counts[i]), w, z):
-                        found.append((i, a - start, b - a, int(counts[i]), window, offset, raw[4 * (a - start) : 4 * (b - start)]))
-                        size += 4 * (b - a) + 64
-                    if size > BATCH_BYTES:
-                        yield _batch(batch, len(keep), found)
-                        found, size = [], 0
-            if found:
-                yield _batch(batch, len(keep), found)
+                    start = int(froms[i])
+                    a, b, window, offset = mixture.cut(int(queues[i]), start, start + int(counts[i]), w, z)
+                    found.append((np.full(len(a), i), a - start, b - a, np.full(len(a), counts[i]), window, offset))
+                    size += 4 * int(counts[i])
+                    if size > BATCH_BYTES or i + 1 == len(queues):
+                        yield _batch(batch, len(keep), batch.column(ids).slice(done, i + 1 - done), found)
+                        found, size, done = [], 0, i + 1
 
     pieces = T.StructType.fromDDL("start long, length long, doc_tokens long, sequence_id long, offset long, ids binary")
     placed = tokens.withColumn("_part", part_of(row)).join(starts, (F.col(lane) == F.col("_queue")) & (part_of(row) == starts["_part"]))
@@ -183,12 +185,16 @@ def pack(
     return cuts.mapInArrow(cut, T.StructType([*kept, *pieces]))
 
 
-def _batch(batch: pa.RecordBatch, kept: int, found: list[tuple]) -> pa.RecordBatch:
-    rows, *numbers, ids = zip(*found)
-    columns = [batch.column(k).take(pa.array(rows)) for k in range(kept)]
-    columns += [pa.array(x, pa.int64()) for x in numbers] + [pa.array(ids, pa.binary())]
+def _batch(batch: pa.RecordBatch, kept: int, ids: pa.Array, found: list[tuple]) -> pa.RecordBatch:
+    """Output rows of some documents: their pieces in order are their ids in order, so the bytes stay where they are."""
+    rows, *numbers = (np.concatenate(x) for x in zip(*found))
+    columns = [batch.column(k).take(pa.array(rows)) for k in range(kept)] + [pa.array(x, pa.int64()) for x in numbers]
+    _, bounds, data = ids.buffers()
+    base = np.frombuffer(bounds, np.int32)[ids.offset]
+    cuts = base + 4 * np.concatenate([[0], np.cumsum(numbers[1])])
+    pieces = pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(cuts.astype(np.int32).tobytes()), data])
     names = ["start", "length", "doc_tokens", "sequence_id", "offset", "ids"]
-    return pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:kept], *names])
+    return pa.RecordBatch.from_arrays([*columns, pieces], [*batch.schema.names[:kept], *names])
 
 
 def sequences(pieces: DataFrame) -> DataFrame:

@@ -19,12 +19,12 @@ from tokenizers import Tokenizer
 WORD_END = re.compile(r"(?<=\S) ")
 #: Texts are taken apart in slices of about so many characters.
 SLICE = 1 << 20
-#: The cache is emptied beyond so many characters; longer words are encoded each time.
-CACHED_CHARS, LONGEST_CACHED = 8_000_000, 64
+#: A generation of cached words ends at so many characters; longer words are encoded each time.
+CACHED_CHARS, LONGEST_CACHED = 5_000_000, 64
 #: How byte-level vocabularies write a space (fixed value).
 SPACE_BYTE = "\u0120"
 #: Words handed to the library at once.
-GROUP = 200
+GROUP = 1000
 
 
 def slices(text: str) -> Iterator[str]:
@@ -52,46 +52,55 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.spaced = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
         self.spaced[[i for token, i in vocabulary.items() if SPACE_BYTE in token]] = True
+        # words seen lately, and the generation before them
         self.cache: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.chars = 0
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn(self, words: list[str]) -> None:
+    def _learn(self, words: set[str]) -> None:
         """Cache the ids of words, each with the space before it."""
         if self.chars > CACHED_CHARS:
-            self.cache.clear()
-            self.chars = 0
-        for at in range(0, len(words), GROUP):
-            group = words[at : at + GROUP]
+            self.cache, self.old, self.chars = {}, self.cache, 0
+        old = self.old
+        back = {w: old[w] for w in words if w in old}
+        self.cache.update(back)
+        # only words that end in a visible character are ever cached, as a cut must follow one
+        new = [w for w in words if w and w not in back and len(w) <= LONGEST_CACHED and not w[-1].isspace()]
+        for at in range(0, len(new), GROUP):
+            group = new[at : at + GROUP]
             # joined by their spaces; a token that holds a space starts a word, as words have no other space
             ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(group)], add_special_tokens=False)[0].ids, "<u4")
-            starts = np.flatnonzero(self.spaced[ids]).tolist()
+            starts = np.flatnonzero(self.spaced[ids])
             if len(starts) != len(group):
                 raise ValueError("the vocabulary does not keep words apart")
-            raw = ids.tobytes()
-            self.cache.update({w: raw[4 * a : 4 * b] for w, a, b in zip(group, starts, [*starts[1:], len(ids)])})
-            self.chars += sum(map(len, group))
-
-    def _joined(self, text: str, words: list[str]) -> bytes:
-        cache = self.cache
-        try:
-            return self.whole(words[0]) + b"".join([cache[w] for w in words[1:]])
-        except KeyError:
-            # some space does not end a word, or a word is not one to keep
-            first, *rest = WORD_END.split(text)
-            return self.whole(first) + b"".join([cache.get(w) or self.whole(" " + w) for w in rest])
+            raw, cuts = ids.tobytes(), [*(4 * starts).tolist(), 4 * len(ids)]
+            self.cache.update(zip(group, [raw[a:b] for a, b in zip(cuts, cuts[1:])]))
+        self.chars += sum(map(len, new)) + sum(map(len, back))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text."""
         if not self.by_word:
             return [self.whole(t) for t in texts]
         split = [t.split(" ") for t in texts]
-        new = set().union(*split).difference(self.cache)
-        # only words that end in a visible character are ever cached, as a cut must follow one
-        self._learn([w for w in new if w and len(w) <= LONGEST_CACHED and not w[-1].isspace()])
-        return [self._joined(t, words) for t, words in zip(texts, split)]
+        firsts = self.tokenizer.encode_batch_fast([words[0] for words in split], add_special_tokens=False)
+        every = set().union(*split)
+        if self.chars > CACHED_CHARS:
+            self._learn(every)
+        else:
+            self._learn(every.difference(self.cache))
+        out, get = [], self.cache.__getitem__
+        for text, words, first in zip(texts, split, firsts):
+            words[0] = np.array(first.ids, "<u4").tobytes()
+            try:
+                out.append(words[0] + b"".join(map(get, words[1:])))
+            except KeyError:
+                # some space does not end a word, or a word is not one to keep
+                head, *rest = WORD_END.split(text)
+                out.append(self.whole(head) + b"".join([self.cache.get(w) or self.whole(" " + w) for w in rest]))
+        return out
 
 
 _ENCODERS: dict[str, Encoder] = {}
