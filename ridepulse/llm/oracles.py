@@ -25,3 +25,25 @@ SELECT d.doc_id, strlen(coalesce(text, ''))::BIGINT + 16 AS size, {crc32("coales
   (row_number() OVER (PARTITION BY shard ORDER BY d.doc_id) - 1)::BIGINT AS slot, grown_shard
 FROM documents d JOIN won USING (doc_id), create_table
 """
+
+_ASSIGN = (
+    "([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]"
+    "|[aA][pP][iI]_?[kK][eE][yY])[\"'']?\\x20*[:=]\\x20*[\"'']?([A-Za-z0-9+/_.=-]+)"
+)
+_KINDS = [("assign", _ASSIGN, 2, 6), ("access", "AKIA[A-Z0-9]+", 0, 20), ("hex", "[0-9a-f]+", 0, 24)]
+SECRETS = f"""
+WITH m AS ({' UNION ALL '.join(f'''
+  SELECT doc_id, {rank} AS rank, '{kind}' AS kind, {least} AS least, regexp_extract_all(text, '{pattern}', 0) AS hits,
+    regexp_extract_all(text, '{pattern}', {group}) AS vals, string_split_regex(text, '{pattern}') AS gaps
+  FROM documents WHERE regexp_matches(text, '{pattern}')''' for rank, (kind, pattern, group, least) in enumerate(_KINDS))}),
+e AS (SELECT doc_id, rank, kind, least, generate_subscripts(hits, 1) AS i, unnest(hits) AS hit, unnest(vals) AS val,
+    unnest(gaps[1:len(hits)]) AS gap FROM m),
+p AS (SELECT *, sum(length(gap) + length(hit)) OVER (PARTITION BY doc_id, kind ORDER BY i) AS stop FROM e),
+s AS (SELECT doc_id, kind, rank, (stop - length(hit))::BIGINT AS start, stop::BIGINT AS stop FROM p WHERE length(val) >= least),
+j AS (SELECT doc_id, string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank) AS spans,
+    count(*) FILTER (kind = 'assign') AS a, count(*) FILTER (kind = 'access') AS k, count(*) FILTER (kind = 'hex') AS h
+  FROM s GROUP BY doc_id)
+SELECT doc_id, coalesce(a, 0) AS n_assign, coalesce(k, 0) AS n_access, coalesce(h, 0) AS n_hex,
+  sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM documents LEFT JOIN j USING (doc_id)
+"""

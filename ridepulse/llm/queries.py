@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure, scratch
 from . import oracles
 from .packing import pack
+from .secrets import RULES, scan, with_findings
 from .sharding import assign_shards, number_in_shards
 from .simhash import near_duplicates
 from .tokenstore import block_starts, read_tokens, write_tokens
@@ -77,3 +78,17 @@ def op4(spark: SparkSession, sf: str) -> DataFrame:
     found = near_duplicates(table(spark, sf, "documents"), "doc_id", "text", words=3, radius=2)
     digits = F.lower(F.lpad(F.hex("_print"), 16, "0"))
     return found.select("doc_id", digits.alias("fingerprint"), F.col("_component").alias("component_id"))
+
+
+@query("op7_secret_scan", oracles.SECRETS)
+def op7(spark: SparkSession, sf: str) -> DataFrame:
+    """Secrets in every document, found once per distinct text."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    rows = with_findings(docs, "text", scan(docs, "text").findings).drop("text")
+    marks = F.transform("spans", lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    joined = F.array_join(marks, ",")
+    return rows.select("doc_id", *[count(rule.kind) for rule in RULES], F.sha2(joined, 256).alias("base_sha256"), joined.alias("spans"))

@@ -18,13 +18,13 @@ from tokenizers import Tokenizer
 #: A space that ends a word: the character before it is visible.
 WORD_END = re.compile(r"(?<=\S) ")
 #: Texts are taken apart in slices of about so many characters.
-SLICE = 1 << 20
+SLICE = 1 << 21
 #: A generation of cached words ends at so many characters; longer words are encoded each time.
 CACHED_CHARS, LONGEST_CACHED = 5_000_000, 64
 #: How byte-level vocabularies write a space (fixed value).
 SPACE_BYTE = "\u0120"
 #: Words handed to the library at once.
-GROUP = 1000
+GROUP = 200
 
 
 def slices(text: str) -> Iterator[str]:
