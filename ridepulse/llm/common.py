@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -78,3 +78,8 @@ def row_key(key: str, text: str) -> Column:
     """A digest of key and text, nulls told apart from empty values: rows with equal digests have equal results."""
     known = [F.coalesce(F.concat(F.lit("v"), F.col(c).cast("string")), F.lit("-")) for c in (key, text)]
     return F.md5(F.concat(known[0], F.lit("\0"), known[1]))
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once per row, however often lambdas inside refer to it."""
+    return F.element_at(F.transform(F.array(value), use), 1)

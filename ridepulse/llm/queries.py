@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..session import configure, scratch
 from . import oracles
+from .decontamination import contamination
 from .packing import pack
 from .secrets import RULES, scan, with_findings
 from .sharding import assign_shards, number_in_shards
@@ -92,3 +93,14 @@ def op7(spark: SparkSession, sf: str) -> DataFrame:
 
     joined = F.array_join(marks, ",")
     return rows.select("doc_id", *[count(rule.kind) for rule in RULES], F.sha2(joined, 256).alias("base_sha256"), joined.alias("spans"))
+
+
+@query("op2_winnowing", oracles.CONTAMINATION)
+def op2(spark: SparkSession, sf: str) -> DataFrame:
+    """Benchmark windows of 13 words in every document."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    found = contamination(docs, "text", table(spark, sf, "benchmark"), "item_id", "text", window=13)
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
+    )
