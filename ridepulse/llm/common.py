@@ -83,3 +83,12 @@ def row_key(key: str, text: str) -> Column:
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use`` of a value that is worked out once per row, however often lambdas inside refer to it."""
     return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def word_grams(words: Column, gram: int) -> Column:
+    """The hash of every run of ``gram`` words."""
+
+    def at(word: Column, i: Column) -> Column:
+        return F.xxhash64(*[F.get(words, i + k) for k in range(gram)])
+
+    return F.transform(F.slice(words, 1, F.greatest(F.size(words) - (gram - 1), F.lit(0))), at)

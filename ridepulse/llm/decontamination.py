@@ -8,11 +8,10 @@ item), and along each diagonal the words themselves are compared, which extends
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
-from .common import ascii_lower, fresh, let, store
+from .common import ascii_lower, fresh, let, store, word_grams
 
 #: Words in a hashed run.
 GRAM = 5
@@ -33,19 +32,10 @@ def count_words(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(ANY_WORD)).cast("long")
 
 
-def _grams(words: Column, gram: int) -> Column:
-    """The hash of every run of ``gram`` words."""
-
-    def at(word: Column, i: Column) -> Column:
-        return F.xxhash64(*[F.get(words, i + k) for k in range(gram)])
-
-    return F.transform(F.slice(words, 1, F.greatest(F.size(words) - (gram - 1), F.lit(0))), at)
-
-
 def fingerprints(words: Column, gram: int, reach: int) -> Column:
     """Positions and hashes kept by winnowing: the first smallest hash among any ``reach`` neighbours."""
     if reach == 1:
-        return let(words, lambda w: F.transform(_grams(w, gram), lambda h, i: F.struct(i.alias("at"), h.alias("hash"))))
+        return let(words, lambda w: F.transform(word_grams(w, gram), lambda h, i: F.struct(i.alias("at"), h.alias("hash"))))
 
     def kept(hashes: Column) -> Column:
         def smallest(h: Column, i: Column) -> Column:
@@ -54,7 +44,7 @@ def fingerprints(words: Column, gram: int, reach: int) -> Column:
         starts = F.slice(hashes, 1, F.greatest(F.size(hashes) - (reach - 1), F.lit(0)))
         return F.transform(F.array_distinct(F.transform(starts, smallest)), lambda i: F.struct(i.alias("at"), F.get(hashes, i).alias("hash")))
 
-    return let(words, lambda w: let(_grams(w, gram), kept))
+    return let(words, lambda w: let(word_grams(w, gram), kept))
 
 
 def _seeds(texts: DataFrame, gram: int, reach: int) -> DataFrame:

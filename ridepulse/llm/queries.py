@@ -12,6 +12,7 @@ from ..session import configure, scratch
 from . import oracles
 from .decontamination import contamination
 from .packing import pack
+from .quality import quality
 from .secrets import RULES, scan, with_findings
 from .sharding import assign_shards, number_in_shards
 from .simhash import near_duplicates
@@ -104,3 +105,9 @@ def op2(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
     )
+
+
+@query("op8_robust_quality")
+def op8(spark: SparkSession, sf: str) -> DataFrame:
+    """Base rules and robust distances of every document within its language and source."""
+    return quality(table(spark, sf, "documents"), "text", "lang", "source", ["doc_id"])
