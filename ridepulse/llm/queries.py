@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..session import configure, scratch
 from . import oracles
 from .decontamination import contamination
+from .lm import score
 from .packing import pack
 from .quality import quality
 from .secrets import RULES, scan, with_findings
@@ -111,3 +112,10 @@ def op2(spark: SparkSession, sf: str) -> DataFrame:
 def op8(spark: SparkSession, sf: str) -> DataFrame:
     """Base rules and robust distances of every document within its language and source."""
     return quality(table(spark, sf, "documents"), "text", "lang", "source", ["doc_id"])
+
+
+@query("op6_backoff_automaton")
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    """Log-probability of every document under the model of those that are not held out."""
+    remainder = F.crc32(F.encode(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "UTF-8")) % 10
+    return score(table(spark, sf, "documents"), "doc_id", "text", remainder == 0)
