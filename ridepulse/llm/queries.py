@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure, scratch
-from . import oracles
+from . import oracles, toxicity
 from .decontamination import contamination
+from .licenses import scan as license_scan
 from .lm import score
 from .packing import pack
 from .quality import quality
@@ -119,3 +120,32 @@ def op6(spark: SparkSession, sf: str) -> DataFrame:
     """Log-probability of every document under the model of those that are not held out."""
     remainder = F.crc32(F.encode(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "UTF-8")) % 10
     return score(table(spark, sf, "documents"), "doc_id", "text", remainder == 0)
+
+
+@query("op5_toxicity")
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    """The toxicity of every document; labels with a remainder of 1 are never learnt from."""
+
+    def remainder(key: str) -> Column:
+        return F.crc32(F.encode(F.coalesce(F.col(key).cast("string"), F.lit("")), "UTF-8")) % 3
+
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    network = toxicity.fit(docs, "doc_id", "text", table(spark, sf, "labels"), "doc_id", "toxic", remainder("doc_id") != 1)
+    rows = toxicity.score(docs, ["doc_id"], "text", network)
+    predicted = (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted")
+    return rows.select("doc_id", (remainder("doc_id") == 1).alias("held_out"), "score", predicted)
+
+
+@query("op10_license_scan")
+def op10(spark: SparkSession, sf: str) -> DataFrame:
+    """The license of every document: its own notice, or that of the nearest directory with a licence file.
+
+    Documents are files in a tree that their source and the digits of their id span: document 1234 of src1 is
+    src1/1/2/3/4. A short text, of fewer than 50 words, that has a notice is its directory's licence file.
+    """
+    docs = table(spark, sf, "documents").select("doc_id", "source", "text")
+    digits = F.concat_ws("/", F.filter(F.split(F.col("doc_id").cast("string"), ""), lambda c: c != ""))
+    files = docs.withColumn("path", F.concat(F.coalesce("source", F.lit("")), F.lit("/"), digits))
+    short = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"\S+")) < 50
+    found = license_scan(files, "path", "text", short)
+    return found.select("doc_id", "path", "own_license", "similarity", "license", "source_directory")
