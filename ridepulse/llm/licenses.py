@@ -148,9 +148,8 @@ def scan(
     holders = rows.filter(F.col(mark) & F.col(folder).isNotNull()).select(file, F.col(folder).alias("_at")).distinct().join(own, file)
     directories = holders.groupBy("_at").agg(F.min(F.struct((-F.col("similarity")).alias("s"), "license")).alias("b")).select("_at", F.col("b.license").alias("_license"))
     directories = store(directories, "directory-licenses")
-    ancestors = F.transform(
-        F.sequence(F.lit(1), F.size(F.split(F.col(folder), "/")) - 1), lambda n: F.concat(F.substring_index(F.col(folder), "/", n), F.lit("/"))
-    )
+    parts = F.split(F.col(folder), "/")
+    ancestors = F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda n: F.concat(F.array_join(F.slice(parts, 1, n), "/"), F.lit("/")))
     folders = rows.select(folder).filter(F.col(folder).isNotNull()).distinct().withColumn("_up", F.explode(ancestors))
     nearest = folders.join(directories, F.col("_up") == F.col("_at")).groupBy(F.col(folder).alias("_in")).agg(
         F.max_by(F.struct("_at", "_license"), F.length("_at")).alias("near")

@@ -43,6 +43,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def label_remainder(key: str) -> Column:
+    """Labels of rows with a remainder of 1 are held out."""
+    return F.crc32(F.encode(F.coalesce(F.col(key).cast("string"), F.lit("")), "UTF-8")) % 3
+
+
 SHARDS = 40
 
 
@@ -125,15 +130,11 @@ def op6(spark: SparkSession, sf: str) -> DataFrame:
 @query("op5_toxicity")
 def op5(spark: SparkSession, sf: str) -> DataFrame:
     """The toxicity of every document; labels with a remainder of 1 are never learnt from."""
-
-    def remainder(key: str) -> Column:
-        return F.crc32(F.encode(F.coalesce(F.col(key).cast("string"), F.lit("")), "UTF-8")) % 3
-
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    network = toxicity.fit(docs, "doc_id", "text", table(spark, sf, "labels"), "doc_id", "toxic", remainder("doc_id") != 1)
+    network = toxicity.fit(docs, "doc_id", "text", table(spark, sf, "labels"), "doc_id", "toxic", label_remainder("doc_id") != 1)
     rows = toxicity.score(docs, ["doc_id"], "text", network)
     predicted = (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted")
-    return rows.select("doc_id", (remainder("doc_id") == 1).alias("held_out"), "score", predicted)
+    return rows.select("doc_id", (label_remainder("doc_id") == 1).alias("held_out"), "score", predicted)
 
 
 @query("op10_license_scan")

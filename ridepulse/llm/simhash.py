@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import row_key, store
+from .common import fresh, row_key, store
 from .graph import components
 
 SEED = 42
@@ -182,7 +182,7 @@ def representatives(df: DataFrame, key: str, text: str, words: int = 3, radius:
 
     Rows whose key and text repeat leave one row. All columns come back as they were.
     """
-    digest = "_row_digest"
+    digest = fresh(df.columns, "_row_digest")
     found = store(near_duplicates(df, key, text, words, radius), "near-duplicates")
     # a component of null keys is told apart by its fingerprint's root no more, so each such print keeps a row
     first = F.min(F.struct(F.col(key).isNull().alias("n"), F.col(key).alias("k"), F.col("_digest").alias("d"))).alias("m")

@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import fresh
+
 #: At most so many labelled rows of each class, those with the smallest key hash, and so many characters of each.
 SAMPLE_ROWS, SAMPLE_CHARACTERS = 1000, 20_000
 #: Words of a window, and between the starts of neighbours.
@@ -272,27 +274,27 @@ def fit(df: DataFrame, key: str, text: str, labels: DataFrame, label_key: str, l
     return train(texts_of, labels_of)
 
 
-def score(df: DataFrame, keep: list[str], text: str, network: Network) -> DataFrame:
-    """The ``keep`` columns of every row and ``score``, the probability of its worst window.
+def score(df: DataFrame, keep: list[str], text: str, network: Network, name: str = "score") -> DataFrame:
+    """The ``keep`` columns of every row and ``name``, the probability of its worst window.
 
     Every word of a text is in some window. Null and empty texts, and those without letters, are one empty window.
-    Equal texts get equal scores. An empty table gives no rows. The kept columns must not be called ``score``.
+    Equal texts get equal scores. An empty table gives no rows. No kept column may be called ``name``.
     """
-    schema = df.select(*keep).schema
+    schema, body = df.select(*keep).schema, fresh(keep, "_body")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             waiting: list[list[str]] = []
             scores: list[float] = []
             chars = 0
-            for value in batch.column("_text_to_score"):
-                body = value.as_py() or ""
-                waiting.append(split_words(body))
-                chars += len(body)
+            for value in batch.column(body):
+                read = value.as_py() or ""
+                waiting.append(split_words(read))
+                chars += len(read)
                 if chars > SLICE:
                     scores += network.score(waiting).tolist()
                     waiting, chars = [], 0
             scores += network.score(waiting).tolist()
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(scores, pa.float64())], [*keep, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(scores, pa.float64())], [*keep, name])
 
-    return df.select(*keep, F.col(text).cast("string").alias("_text_to_score")).mapInArrow(run, schema.add("score", "double"))
+    return df.select(*keep, F.col(text).cast("string").alias(body)).mapInArrow(run, schema.add(name, "double"))
