@@ -31,7 +31,10 @@ WORDS = re.compile(r"[^\W\d_]+")
 VOCABULARY, PAIRS = 20_000, 4096
 WORD_SIZE, PAIR_SIZE, HIDDEN = 8, 8, 8
 INPUT = WORD_SIZE + PAIR_SIZE
-ROUNDS, EPOCHS, BATCH, RATE = 3, 2, 128, 0.01
+#: Steps of a round, windows of a step, and how many of those are toxic.
+ROUNDS, STEPS, BATCH, TOXIC_SHARE, RATE, DECAY = 3, 100, 128, 16, 0.01, 0.1
+#: A word needs so many training texts for an embedding, which starts at so many times its log odds.
+SEEN, ODDS = 4, 1.5
 #: Windows of a clean text used in a round: the worst and some others.
 CLEAN_WINDOWS = 3
 THRESHOLD = 0.7
@@ -200,16 +203,16 @@ def _new_network(texts: list[list[str]], labels: np.ndarray, seed: int) -> Netwo
         seen.update(set(words))
         if label:
             toxic.update(set(words))
-    frequent = sorted((w for w in seen if seen[w] > 1), key=lambda w: (-seen[w], w))[:VOCABULARY]
+    frequent = sorted((w for w in seen if seen[w] >= SEEN), key=lambda w: (-seen[w], w))[:VOCABULARY]
     vocabulary = {w: i for i, w in enumerate(frequent)}
 
     def random(*shape: int) -> np.ndarray:
         return (draw.standard_normal(shape) * 0.2).astype(np.float32)
 
-    weights = {"words": random(len(vocabulary) + 1, WORD_SIZE) * 0.1, "pairs": random(PAIRS, PAIR_SIZE)}
+    weights = {"words": random(len(vocabulary) + 1, WORD_SIZE) * 0.1, "pairs": random(PAIRS, PAIR_SIZE) * 0.1}
     positive, share = max(labels.sum(), 1), labels.mean() if len(labels) else 0.5
     for word, i in vocabulary.items():
-        weights["words"][i, 0] = np.log((toxic[word] + 5 * share) / (seen[word] - toxic[word] + 5 * (1 - share)) * (len(labels) - positive + 1) / positive) / 2
+        weights["words"][i, 0] = np.log((toxic[word] + 5 * share) / (seen[word] - toxic[word] + 5 * (1 - share)) * (len(labels) - positive + 1) / positive) * ODDS
     weights["words"][-1] = 0
     for name in "fb":
         weights |= {"W" + name: random(INPUT, 3 * HIDDEN), "U" + name: random(HIDDEN, 3 * HIDDEN), "c" + name: np.zeros(3 * HIDDEN, np.float32)}
@@ -237,22 +240,24 @@ def train(texts: list[str], labels: list[int], seed: int = 0) -> Network:
         by_text: list[list[int]] = [[] for _ in docs]
         for k, (i, _, _) in enumerate(spans):
             by_text[i].append(k)
-        chosen = []
+        worst, clean = [], []
         for i, own in enumerate(by_text):
             ranked = sorted(own, key=lambda k: -found[k])
-            others = draw.permutation(ranked[1:])[: CLEAN_WINDOWS - 1].tolist() if not y[i] else []
-            chosen += [(k, y[i]) for k in [ranked[0], *others]]
-        for _ in range(EPOCHS):
-            for at in range(0, len(order := draw.permutation(len(chosen))), BATCH):
-                part = sorted((chosen[j] for j in order[at : at + BATCH]), key=lambda c: -spans[c[0]][2])
-                words = [docs[spans[k][0]][spans[k][1] : spans[k][1] + spans[k][2]] for k, _ in part]
-                grad = network.gradients(words, np.array([label for _, label in part], np.float32))
-                step += 1
-                for name, g in grad.items():
-                    moment[name] = 0.9 * moment[name] + 0.1 * g
-                    square[name] = 0.999 * square[name] + 0.001 * g * g
-                    move = moment[name] / (1 - 0.9**step) / (np.sqrt(square[name] / (1 - 0.999**step)) + 1e-8)
-                    network.weights[name] -= (RATE * move).astype(np.float32)
+            if y[i]:
+                worst.append(ranked[0])
+            else:
+                clean += [ranked[0], *draw.permutation(ranked[1:])[: CLEAN_WINDOWS - 1].tolist()]
+        for _ in range(STEPS):
+            part = [(k, 1.0) for k in draw.choice(worst, TOXIC_SHARE)] + [(k, 0.0) for k in draw.choice(clean, BATCH - TOXIC_SHARE)]
+            part.sort(key=lambda c: -spans[c[0]][2])
+            words = [docs[spans[k][0]][spans[k][1] : spans[k][1] + spans[k][2]] for k, _ in part]
+            grad = network.gradients(words, np.array([label for _, label in part], np.float32))
+            step += 1
+            for name, g in grad.items():
+                moment[name] = 0.9 * moment[name] + 0.1 * g
+                square[name] = 0.999 * square[name] + 0.001 * g * g
+                move = moment[name] / (1 - 0.9**step) / (np.sqrt(square[name] / (1 - 0.999**step)) + 1e-8)
+                network.weights[name] -= (RATE * (move + DECAY * network.weights[name])).astype(np.float32)
     return network
 
 
