@@ -11,7 +11,6 @@ from ..session import scratch
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SPACE = r"[\x20\x09-\x0D]+"
-WORD = r"[^\x20\x09-\x0D]+"
 
 
 def store(df: DataFrame, name: str) -> DataFrame:

@@ -15,9 +15,9 @@ from .common import ascii_lower, fresh, let, store, word_grams
 
 #: Words in a hashed run.
 GRAM = 5
-#: Characters between words once A-Z is lower case, and a word before that (fixed values).
+#: Characters between words once A-Z is lower case, and in any case (fixed values).
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-ANY_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+ANY_BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def words_of(text: Column) -> Column:
@@ -29,7 +29,7 @@ def words_of(text: Column) -> Column:
 
 
 def count_words(text: Column) -> Column:
-    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(ANY_WORD)).cast("long")
+    return F.size(F.array_remove(F.split(F.coalesce(text, F.lit("")), ANY_BETWEEN, -1), "")).cast("long")
 
 
 def fingerprints(words: Column, gram: int, reach: int) -> Column:

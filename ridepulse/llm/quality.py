@@ -17,8 +17,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE, WORD, fresh, let, store, word_grams
+from .common import SPACE, let, store, word_grams
 
+#: The characters of SPACE.
+SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = r"[#*$%&|<>]"
 STATISTICS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 #: The vector, and the standard deviation added to each part so that a constant part stays regular.
@@ -81,9 +83,9 @@ def repeated_words(words: Column) -> Column:
 def statistics(text: Column) -> list[Column]:
     """The five base statistics of a whole text; null has none of anything."""
     known = F.coalesce(text, F.lit(""))
-    lines = F.filter(F.split(known, "\n", -1), lambda line: line.rlike(WORD))
+    lines = F.filter(F.split(known, "\n", -1), lambda line: F.length(F.btrim(line, F.lit(SPACES))) > 0)
     return [
-        F.regexp_count(known, F.lit(WORD)).cast("long").alias("n_words"),
+        F.size(F.array_remove(F.split(known, SPACE, -1), "")).cast("long").alias("n_words"),
         F.length(F.regexp_replace(known, SPACE, "")).cast("long").alias("word_chars"),
         F.regexp_count(known, F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
