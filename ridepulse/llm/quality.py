@@ -123,7 +123,8 @@ def _text(name: str) -> Column:
 def _start(rows: DataFrame) -> DataFrame:
     """Per group: median and quartile range of each part, from counts in fixed classes a quarter floor wide."""
     parts = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.floor(F.col(x) / (f / 4)).alias("c")) for i, (x, f) in enumerate(zip(PARTS, FLOORS))])).alias("e")
-    counts = rows.select("_group", parts).groupBy("_group", "e.i", "e.c").agg(F.count("*").alias("n"))
+    # stored, so that a group's classes are summed over many tasks before they meet in one
+    counts = store(rows.select("_group", parts).groupBy("_group", "e.i", "e.c").agg(F.count("*").alias("n")), "quality-counts")
     upto = Window.partitionBy("_group", "i").orderBy("c").rowsBetween(Window.unboundedPreceding, 0)
     share = F.sum("n").over(upto) / F.sum("n").over(Window.partitionBy("_group", "i"))
     at = counts.withColumn("share", share)
@@ -155,7 +156,7 @@ def _step(rows: DataFrame, estimates: DataFrame) -> DataFrame:
     near = _distances(rows, estimates).withColumn("_class", F.floor(8 * F.log2(F.greatest("distance", F.lit(1e-9)))))
     sums = [F.sum(x).alias(f"s{i}") for i, x in enumerate(PARTS)]
     sums += [F.sum(F.col(PARTS[i]) * F.col(PARTS[j])).alias(f"s{i}{j}") for i in range(P) for j in range(i + 1)]
-    classes = near.groupBy("_group", "_class").agg(F.count("*").alias("n"), *sums)
+    classes = store(near.groupBy("_group", "_class").agg(F.count("*").alias("n"), *sums), "quality-classes")
     before = F.sum("n").over(Window.partitionBy("_group").orderBy("_class")) - F.col("n")
     wanted = F.ceil(SUBSET * F.sum("n").over(Window.partitionBy("_group")))
     kept = classes.withColumn("_before", before).withColumn("_wanted", wanted).filter("_before < _wanted")
