@@ -91,3 +91,12 @@ def word_grams(words: Column, gram: int) -> Column:
         return F.xxhash64(*[F.get(words, i + k) for k in range(gram)])
 
     return F.transform(F.slice(words, 1, F.greatest(F.size(words) - (gram - 1), F.lit(0))), at)
+
+
+def drawn(df: DataFrame, key: str, rows: int) -> DataFrame:
+    """About twice ``rows`` of the rows, or all of fewer, by a hash of their key: the same rows on any cluster.
+
+    What a task returns of a sample then does not grow with the number of tasks.
+    """
+    share = min(1.0, 2 * rows / max(df.count(), 1))
+    return df.filter(F.pmod(F.xxhash64(key), F.lit(1 << 31)) < int(share * (1 << 31)))

@@ -24,7 +24,7 @@ CACHED_CHARS, LONGEST_CACHED = 5_000_000, 64
 #: How byte-level vocabularies write a space (fixed value).
 SPACE_BYTE = "\u0120"
 #: Words handed to the library at once.
-GROUP = 200
+GROUP = 1000
 
 
 def slices(text: str) -> Iterator[str]:
@@ -62,8 +62,6 @@ class Encoder:
 
     def _learn(self, words: set[str]) -> None:
         """Cache the ids of words, each with the space before it."""
-        if self.chars > CACHED_CHARS:
-            self.cache, self.old, self.chars = {}, self.cache, 0
         old = self.old
         back = {w: old[w] for w in words if w in old}
         self.cache.update(back)
@@ -84,18 +82,20 @@ class Encoder:
         """The ids of each text."""
         if not self.by_word:
             return [self.whole(t) for t in texts]
+        if self.chars > CACHED_CHARS:
+            self.cache, self.old, self.chars = {}, self.cache, 0
         split = [t.split(" ") for t in texts]
         firsts = self.tokenizer.encode_batch_fast([words[0] for words in split], add_special_tokens=False)
-        every = set().union(*split)
-        if self.chars > CACHED_CHARS:
-            self._learn(every)
-        else:
-            self._learn(every.difference(self.cache))
-        out, get = [], self.cache.__getitem__
-        for text, words, first in zip(texts, split, firsts):
-            words[0] = np.array(first.ids, "<u4").tobytes()
+        found = [list(map(self.cache.get, words)) for words in split]
+        gaps = [[i for i, ids in enumerate(parts) if ids is None] for parts in found]
+        self._learn({words[i] for words, missing in zip(split, gaps) for i in missing if i})
+        out = []
+        for text, words, parts, missing, first in zip(texts, split, found, gaps, firsts):
             try:
-                out.append(words[0] + b"".join(map(get, words[1:])))
+                for i in missing:
+                    parts[i] = self.cache[words[i]] if i else b""
+                parts[0] = np.array(first.ids, "<u4").tobytes()
+                out.append(b"".join(parts))
             except KeyError:
                 # some space does not end a word, or a word is not one to keep
                 head, *rest = WORD_END.split(text)

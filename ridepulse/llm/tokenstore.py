@@ -16,7 +16,7 @@ import zstandard as zstd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import part_of, part_starts, store
+from .common import drawn, part_of, part_starts, store
 from .tokens import encoded, encoder
 
 #: The dictionary is trained on so many documents, those with the smallest key hash, and so many characters of each.
@@ -45,7 +45,7 @@ def train_dictionary(df: DataFrame, key: str, text: str, path: str, end_id: int
     width, end = width_of(path, end_id), np.array([end_id], "<u4").tobytes()
     head = F.substring(F.col(text), 1, SAMPLE_CHARACTERS).alias("head")
     draw = F.xxhash64(key).alias("draw")
-    found = df.select(draw, head).filter(F.length("head") > 0).orderBy("draw", "head").limit(SAMPLE_DOCUMENTS).collect()
+    found = drawn(df, key, SAMPLE_DOCUMENTS).select(draw, head).filter(F.length("head") > 0).orderBy("draw", "head").limit(SAMPLE_DOCUMENTS).collect()
     samples = [_serial(ids + end, width) for ids in encoded(path, pa.array([r["head"] for r in found], pa.string()))]
     try:
         return zstd.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh
+from .common import drawn, fresh
 
 #: At most so many labelled rows of each class, those with the smallest key hash, and so many characters of each.
 SAMPLE_ROWS, SAMPLE_CHARACTERS = 1000, 20_000
@@ -272,8 +272,8 @@ def fit(df: DataFrame, key: str, text: str, labels: DataFrame, label_key: str, l
     texts_of, labels_of = [], []
     for value in (0, 1):
         # the keys are drawn first, so that only their texts travel
-        drawn = known.filter(F.col("_label") == value).select("_key", draw).distinct().orderBy("_draw", "_key").limit(SAMPLE_ROWS)
-        rows = texts.join(drawn, "_key").orderBy("_draw", "_key", "_text").limit(SAMPLE_ROWS).collect()
+        chosen = drawn(known.filter(F.col("_label") == value).select("_key").distinct(), "_key", SAMPLE_ROWS).select("_key", draw)
+        rows = texts.join(chosen.orderBy("_draw", "_key").limit(SAMPLE_ROWS), "_key").orderBy("_draw", "_key", "_text").limit(SAMPLE_ROWS).collect()
         texts_of += [row["_text"] for row in rows]
         labels_of += [value] * len(rows)
     return train(texts_of, labels_of)
