@@ -123,10 +123,10 @@ def read_tokens(spark: SparkSession, folder: str, key: str = "doc_id", only: lis
     blocks = spark.read.parquet(f"{folder}/blocks")
     kind = blocks.schema["first_key"].dataType.simpleString()
     if only is not None:
-        spans = [F.lit(k).between(F.col("first_key"), F.col("last_key")) for k in only]
         near = F.lit(False)
-        for span in spans:
-            near = near | span
+        for wanted_key in only:
+            # null keys come first, so a block that starts with one may hold any key up to its last
+            near = near | (F.coalesce(F.col("first_key") <= wanted_key, F.lit(True)) & (F.col("last_key") >= wanted_key))
         blocks = blocks.filter(near)
     wanted = None if only is None else set(only)
 
