@@ -69,7 +69,7 @@ def write_tokens(df: DataFrame, key: str, text: str, folder: str, path: str, end
     ordered = ordered.sortWithinPartitions("_key", "_tie").drop("_tie")
 
     def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = zstd.ZstdCompressor(level=LEVEL, dict_data=_dictionary(raw), write_content_size=True)
+        packer = zstd.ZstdCompressor(level=LEVEL, dict_data=_dictionary(raw, LEVEL), write_content_size=True)
         keys: list = []
         frames: list[bytes] = []
         counts: list[int] = []
@@ -101,8 +101,12 @@ def write_tokens(df: DataFrame, key: str, text: str, folder: str, path: str, end
     blocks.write.option("compression", "uncompressed").parquet(f"{folder}/blocks")
 
 
-def _dictionary(raw: bytes) -> zstd.ZstdCompressionDict | None:
-    return zstd.ZstdCompressionDict(raw) if raw else None
+def _dictionary(raw: bytes, level: int | None = None) -> zstd.ZstdCompressionDict | None:
+    """The dictionary, digested once where it is to compress many short frames."""
+    found = zstd.ZstdCompressionDict(raw) if raw else None
+    if found and level is not None:
+        found.precompute_compress(level=level)
+    return found
 
 
 def _opener(spark: SparkSession, folder: str):
