@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ordering import DOMAIN_ORDER
+from ..session import settle
 
 CATEGORICAL = ["timesofday", "dayofweek", "holiday", "peak", "hour", "working_day", "season", "month"]
 NUMERIC = ["rain", "temp", "rhum", "wdsp", "temp_r"]
@@ -22,34 +23,29 @@ def kmeans_edges(df: DataFrame, value: str, bins: int, max_steps: int = 300) ->
 
     Steps run over the counts of distinct values; a step brings back one mean per bin.
     """
-    counts = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(F.col(value).cast("double").alias("_v"))
-        .agg(F.count("*").alias("n"))
-        .persist()
-    )
-    try:
-        low, high = counts.agg(F.min("_v"), F.max("_v")).first()
-        width = (high - low) / bins
-        centres = [low + width * (i + 0.5) for i in range(bins)]
-        for _ in range(max_steps):
-            edges = [(a + b) / 2 for a, b in zip(centres, centres[1:])]
-            nearest = Bucketizer(splits=[-math.inf, *edges, math.inf], inputCol="_v", outputCol="bin")
-            means = (
-                nearest.transform(counts)
-                .groupBy("bin")
-                .agg((F.sum(F.col("_v") * F.col("n")) / F.sum("n")).alias("mean"))
-                .collect()
-            )
-            moved = list(centres)
-            for row in means:
-                moved[int(row.bin)] = row.mean
-            if max(abs(a - b) for a, b in zip(moved, centres)) < 1e-9:
-                break
-            centres = sorted(moved)
-        return [(a + b) / 2 for a, b in zip(centres, centres[1:])]
-    finally:
-        counts.unpersist()
+    found = df.filter(F.col(value).isNotNull()).groupBy(F.col(value).cast("double").alias("_v")).agg(F.count("*").alias("n"))
+    counts = settle(found, "value-counts")
+    low, high = counts.agg(F.min("_v"), F.max("_v")).first()
+    width = (high - low) / bins
+    centres = [low + width * (i + 0.5) for i in range(bins)]
+    for _ in range(max_steps):
+        edges = [(a + b) / 2 for a, b in zip(centres, centres[1:])]
+        nearest = Bucketizer(splits=[-math.inf, *edges, math.inf], inputCol="_v", outputCol="bin")
+        means = (
+            nearest.transform(counts)
+            .groupBy("bin")
+            .agg((F.sum(F.col("_v") * F.col("n")) / F.sum("n")).alias("mean"))
+            .collect()
+        )
+        moved = list(centres)
+        for row in means:
+            moved[int(row.bin)] = row.mean
+        if max(abs(a - b) for a, b in zip(moved, centres)) < 1e-9:
+            break
+        centres = sorted(moved)
+    else:
+        raise RuntimeError(f"k-means still moves after {max_steps} steps")
+    return [(a + b) / 2 for a, b in zip(centres, centres[1:])]
 
 
 def bin_of(value: Column, edges: Sequence[float]) -> Column:
@@ -123,36 +119,29 @@ def yeo_johnson(value: Column, power: Column | float) -> Column:
     return F.when(value >= 0, positive).otherwise(negative)
 
 
-def yeo_johnson_power(df: DataFrame, value: str, low: float = -2.0, high: float = 2.0, rounds: int = 6) -> float:
-    """Power of the largest likelihood, by a grid that narrows around its best point.
+def yeo_johnson_power(df: DataFrame, value: str, low: float = -2.0, high: float = 2.0, tolerance: float = 5e-6) -> float:
+    """Power of the largest likelihood, by a grid that narrows around its best point to the tolerance.
 
     A round is one aggregate per grid point over the counts of distinct values.
     """
-    counts = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(F.col(value).cast("double").alias("v"))
-        .agg(F.count("*").alias("n"))
-        .persist()
-    )
-    try:
-        v, n = F.col("v"), F.col("n")
-        best = 1.0
-        for _ in range(rounds):
-            grid = F.transform(F.sequence(F.lit(0), F.lit(20)), lambda i: F.lit(low) + F.lit((high - low) / 20) * i)
-            tried = counts.withColumn("power", F.explode(grid)).withColumn("t", yeo_johnson(v, F.col("power")))
-            sums = tried.groupBy("power").agg(
-                F.sum(n).alias("n"),
-                F.sum(n * F.signum(v) * F.log1p(F.abs(v))).alias("jacobian"),
-                (F.sum(n * F.col("t")) / F.sum(n)).alias("mean"),
-                (F.sum(n * F.col("t") * F.col("t")) / F.sum(n)).alias("square"),
-            )
-            variance = F.greatest(F.col("square") - F.col("mean") ** 2, F.lit(1e-300))
-            score = -F.col("n") / 2 * F.log(variance) + (F.col("power") - 1) * F.col("jacobian")
-            best = sums.select("power", score.alias("score")).orderBy(F.col("score").desc(), "power").first().power
-            low, high = best - (high - low) / 20, best + (high - low) / 20
-        return best
-    finally:
-        counts.unpersist()
+    found = df.filter(F.col(value).isNotNull()).groupBy(F.col(value).cast("double").alias("v")).agg(F.count("*").alias("n"))
+    counts = settle(found, "value-counts")
+    v, n = F.col("v"), F.col("n")
+    best = 1.0
+    while high - low > tolerance:
+        grid = F.transform(F.sequence(F.lit(0), F.lit(20)), lambda i: F.lit(low) + F.lit((high - low) / 20) * i)
+        tried = counts.withColumn("power", F.explode(grid)).withColumn("t", yeo_johnson(v, F.col("power")))
+        sums = tried.groupBy("power").agg(
+            F.sum(n).alias("n"),
+            F.sum(n * F.signum(v) * F.log1p(F.abs(v))).alias("jacobian"),
+            (F.sum(n * F.col("t")) / F.sum(n)).alias("mean"),
+            (F.sum(n * F.col("t") * F.col("t")) / F.sum(n)).alias("square"),
+        )
+        variance = F.greatest(F.col("square") - F.col("mean") ** 2, F.lit(1e-300))
+        score = -F.col("n") / 2 * F.log(variance) + (F.col("power") - 1) * F.col("jacobian")
+        best = sums.select("power", score.alias("score")).orderBy(F.col("score").desc(), "power").first().power
+        low, high = best - (high - low) / 20, best + (high - low) / 20
+    return best
 
 
 def hash_draw(key: Column, seed: int, size: int) -> Column:

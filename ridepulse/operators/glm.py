@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_LEVELS = 200
+from ..session import settle
 
 
 @dataclass
@@ -30,9 +30,6 @@ class Design:
     def of(cls, df: DataFrame, numeric: Sequence[str] = (), factors: Sequence[str] = ()) -> Design:
         levels = {}
         if factors:
-            wide = df.agg(*[F.count_distinct(f).alias(f) for f in factors]).first()
-            if too_wide := [f for f in factors if wide[f] > MAX_LEVELS]:
-                raise ValueError(f"too many levels for dummy columns: {too_wide}")
             row = df.agg(*[F.array_sort(F.collect_set(F.col(f).cast("string"))).alias(f) for f in factors]).first()
             levels = {f: list(row[f]) for f in factors}
         return cls(list(numeric), levels)
@@ -191,30 +188,25 @@ def fit(
     design = Design.of(df, numeric, factors)
     p = len(design.names)
     y = F.col(target).cast("double")
-    cells = (
-        df.groupBy(*design.inputs)
-        .agg(F.count("*").alias("n"), F.sum(y).alias("sy"), F.sum(y * y).alias("syy"))
-        .select("n", "sy", "syy", F.array(*design.columns()).alias("x"))
-        .persist()
-    )
-    try:
-        n, total = cells.agg(F.sum("n"), F.sum("sy")).first()
-        if family == "gaussian":
-            matrix, right = _sums(cells, p, lambda x, n, sy, syy: (n, sy))
-            beta, steps = np.linalg.solve(matrix, right), 1
-        else:
-            beta, steps, moved = np.zeros(p), 0, math.inf
-            beta[0] = math.log(total / n)
-            while moved > tolerance and steps < max_steps:
-                matrix, right = _sums(cells, p, _log_link_step(beta, alpha))
-                new = np.linalg.solve(matrix, right)
-                moved, beta, steps = float(np.max(np.abs(new - beta))), new, steps + 1
-        inverse = np.linalg.inv(matrix)
-        spread, score = _sums(cells, p, _squared_scores(beta, inverse, family, alpha))
-        scale = score[0] / (n - p) if family == "gaussian" else 1.0
-        return Fit(design, target, family, alpha, beta, inverse * scale, inverse @ spread @ inverse, n, scale, steps)
-    finally:
-        cells.unpersist()
+    found = df.groupBy(*design.inputs).agg(F.count("*").alias("n"), F.sum(y).alias("sy"), F.sum(y * y).alias("syy"))
+    cells = settle(found.select("n", "sy", "syy", F.array(*design.columns()).alias("x")), "cells")
+    n, total = cells.agg(F.sum("n"), F.sum("sy")).first()
+    if family == "gaussian":
+        matrix, right = _sums(cells, p, lambda x, n, sy, syy: (n, sy))
+        beta, steps = np.linalg.solve(matrix, right), 1
+    else:
+        beta, steps, moved = np.zeros(p), 0, math.inf
+        beta[0] = math.log(total / n)
+        while moved > tolerance and steps < max_steps:
+            matrix, right = _sums(cells, p, _log_link_step(beta, alpha))
+            new = np.linalg.solve(matrix, right)
+            moved, beta, steps = float(np.max(np.abs(new - beta))), new, steps + 1
+        if moved > tolerance:
+            raise RuntimeError(f"the fit still moves by {moved} after {max_steps} steps")
+    inverse = np.linalg.inv(matrix)
+    spread, score = _sums(cells, p, _squared_scores(beta, inverse, family, alpha))
+    scale = score[0] / (n - p) if family == "gaussian" else 1.0
+    return Fit(design, target, family, alpha, beta, inverse * scale, inverse @ spread @ inverse, n, scale, steps)
 
 
 def _log_link_step(beta: np.ndarray, alpha: float) -> Weigh:
@@ -245,5 +237,5 @@ def _squared_scores(beta: np.ndarray, inverse: np.ndarray, family: str, alpha: f
 
 
 def without_influential(rows: DataFrame, n: int) -> DataFrame:
-    """Rows whose Cook's distance does not exceed 4/n."""
-    return rows.filter(F.col("cooks") <= F.lit(4 / n))
+    """Rows whose Cook's distance does not exceed 4/n, or that have none: those alone in their level."""
+    return rows.filter(F.coalesce(F.col("cooks") <= F.lit(4 / n), F.lit(True)))

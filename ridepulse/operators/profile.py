@@ -69,7 +69,7 @@ def zero_summary(df: DataFrame, by: Sequence[str] = (), value: str = "demand") -
     """Share of zeros in percent, mean, sample variance and deviation, row count."""
     v = F.col(value)
     return df.groupBy(*by).agg(
-        (F.count_if(v == 0) / F.count("*") * 100).alias("zeros_pct"),
+        (F.try_divide(F.count_if(v == 0), F.count("*")) * 100).alias("zeros_pct"),
         F.avg(v).alias("mean"),
         F.var_samp(v).alias("var"),
         F.stddev_samp(v).alias("std"),
@@ -120,10 +120,11 @@ def box_stats(df: DataFrame, value: str, factors: Sequence[str]) -> DataFrame:
 
 
 def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
-    """Equal-width bins between minimum and maximum, the last one closed on both sides."""
+    """Equal-width bins between minimum and maximum, the last one closed on both sides; a constant is one bin."""
     span = df.agg(F.struct(F.min(value).alias("lo"), F.max(value).alias("hi"))).scalar()
     width = (span["hi"] - span["lo"]) / F.lit(float(bins))
-    bin_no = F.least(F.floor((F.col(value) - span["lo"]) / width), F.lit(bins - 1)).cast("int")
+    at = F.when(F.col(value).isNotNull(), F.coalesce(F.try_divide(F.col(value) - span["lo"], width), F.lit(0.0)))
+    bin_no = F.least(F.floor(at), F.lit(bins - 1)).cast("int")
     return df.groupBy(bin_no.alias("bin")).agg(F.count("*").alias("n"))
 
 
@@ -152,7 +153,7 @@ def skewness(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def dispersion(df: DataFrame, value: str = "demand") -> DataFrame:
     """Variance over mean; above 2 counts are called overdispersed."""
-    ratio = F.var_samp(value) / F.avg(value)
+    ratio = F.try_divide(F.var_samp(value), F.avg(value))
     return df.agg(ratio.alias("dispersion")).withColumn("overdispersed", F.col("dispersion") > 2)
 
 
@@ -167,7 +168,7 @@ def outlier_share(df: DataFrame, limit: int, value: str = "demand") -> DataFrame
     v = F.col(value)
     return df.agg(
         F.count_if(v > limit).alias("outliers"),
-        F.round(F.count_if(v > limit) / F.count("*") * 100, 2).alias("outliers_pct"),
+        F.round(F.try_divide(F.count_if(v > limit), F.count("*")) * 100, 2).alias("outliers_pct"),
         F.round(F.avg(v), 2).alias("mean_all"),
         F.round(F.avg(F.when(v <= limit, v)), 2).alias("mean_without"),
     )

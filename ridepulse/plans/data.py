@@ -14,7 +14,8 @@ from ..operators.sessions import infer_starts
 GAP_SECONDS = 6 * 3600
 # Holiday days of the year.
 HOLIDAY_DAYS = {(1, 1): "New Year", (3, 17): "Patron Day", (12, 25): "Christmas Day", (12, 26): "Second Christmas Day"}
-HOLIDAY_YEARS = (2021, 2022, 2023, 2024)
+# The years any of the dates can have; a few days each.
+HOLIDAY_YEARS = (1900, 2199)
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -93,9 +94,10 @@ def ping_weather(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def holidays(spark: SparkSession) -> DataFrame:
-    """National holidays, a fixed dimension of a few days a year."""
-    days = ", ".join(f"make_date({y}, {m}, {d})" for y in HOLIDAY_YEARS for m, d in HOLIDAY_DAYS)
-    return spark.sql(f"SELECT explode(array({days})) AS date")
+    """National holidays, a dimension of a few days a year."""
+    days = ", ".join(f"make_date(y, {m}, {d})" for m, d in HOLIDAY_DAYS)
+    first, last = HOLIDAY_YEARS
+    return spark.sql(f"SELECT explode(array({days})) AS date FROM (SELECT explode(sequence({first}, {last})) AS y)")
 
 
 def hourly(spark: SparkSession, sf: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.pings import PING_KEY
-from ..session import scratch
+from ..session import scratch, settle
 from ..sources.files import WEATHER_JSON_SCHEMA, typed_weather
 from ..streaming import telemetry as T
 from ..streaming.landing import ingest_new_files
@@ -48,14 +48,15 @@ def new_files(spark, sf):
 
 @query("T2_unique_messages", "select bike_id, last_rental_start, last_gps_time, battery, state_id from pings")
 def unique_messages(spark, sf):
-    """Messages of state 1 are delivered twice."""
+    """Three deliveries: even days, then late odd days with messages of state 1 again, then from a new checkpoint."""
     folder = scratch(spark, "t2")
-    pings = data.pings(spark, sf).select(*PING_KEY, "battery", "state_id")
-    pings.write.parquet(f"{folder}/in")
-    pings.filter("state_id = 1").write.mode("append").parquet(f"{folder}/in")
-    stream = T.message_stream(spark, f"{folder}/in", pings.schema)
-    table = T.run_available(T.unique_messages(stream, PING_KEY, "last_gps_time"), f"{folder}/out", f"{folder}/state")
-    return table.withColumn("last_gps_time", F.col("last_gps_time").cast(NTZ))
+    pings = settle(data.pings(spark, sf).select(*PING_KEY, "battery", "state_id"), "pings")
+    odd = F.dayofmonth("last_gps_time") % 2 == 1
+    for delivery, state in ((~odd, "state"), (odd | F.expr("state_id = 1"), "state"), (F.expr("state_id = 2"), "other")):
+        pings.filter(delivery).write.mode("append").parquet(f"{folder}/in")
+        stream = T.message_stream(spark, f"{folder}/in", pings.schema)
+        stored = T.store_unique(stream, PING_KEY, "last_gps_time", f"{folder}/out", f"{folder}/{state}")
+    return stored
 
 
 @query(

@@ -154,5 +154,5 @@ def combine_forecast(entries: DataFrame) -> DataFrame:
                 F.max_by("rain", F.when(F.col("rain").isNotNull(), F.col("from_time"))), F.max("rain")
             ).alias("rain"),
         )
-        .filter(F.col("temp").isNotNull())
+        .filter(F.coalesce("temp", "rhum", "wind_ms").isNotNull())
     )

@@ -29,6 +29,11 @@ def new_files(
     )
 
 
+def batch_folder(batch: DataFrame, batch_id: int) -> str:
+    """A folder name of its own for each batch of each checkpoint."""
+    return f"batch={batch.sparkSession.sparkContext.getLocalProperty('sql.streaming.queryId')}-{batch_id}"
+
+
 def ingest_new_files(
     spark: SparkSession,
     folder: str,
@@ -42,9 +47,11 @@ def ingest_new_files(
 
     def store(batch: DataFrame, batch_id: int) -> None:
         good, bad = batch.filter(f"{CORRUPT} IS NULL").drop(CORRUPT), batch.filter(f"{CORRUPT} IS NOT NULL")
-        # one folder per batch: a batch that runs again replaces its own output only
-        good.write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
-        bad.select("file", CORRUPT).write.mode("overwrite").json(f"{errors}/batch_id={batch_id}")
+        # one folder per batch of a checkpoint: a batch that runs again replaces its own output only, and a new
+        # checkpoint on the same table adds to it
+        folder = batch_folder(batch, batch_id)
+        good.write.mode("overwrite").parquet(f"{table}/{folder}")
+        bad.select("file", CORRUPT).write.mode("overwrite").json(f"{errors}/{folder}")
 
     query = (
         new_files(spark, folder, schema, multi_line)

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from functools import reduce
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import settle
+from .landing import batch_folder
+
 MERGE_EARLY = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
 
 
@@ -22,22 +23,32 @@ def event_time(stream: DataFrame, column: str, delay: str) -> DataFrame:
     return stream.withColumn(column, F.col(column).cast("timestamp")).withWatermark(column, delay)
 
 
-def thin_copies(stream: DataFrame, key: list[str]) -> DataFrame:
-    """Drop copies that meet in one Arrow batch, so that a message sent millions of times shuffles few rows."""
-
-    def first_of_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = pa.Table.from_batches([batch])
-            numbered = rows.select(key).append_column("_row", pa.array(np.arange(len(rows))))
-            kept = numbered.group_by(key).aggregate([("_row", "min")])["_row_min"]
-            yield from rows.take(kept).combine_chunks().to_batches()
-
-    return stream.mapInArrow(first_of_each, stream.schema)
+def store_unique(stream: DataFrame, key: list[str], ts: str, table: str, checkpoint: str) -> DataFrame:
+    """Append the messages whose key the table does not have yet, however late they come; gives the table.
 
-
-def unique_messages(stream: DataFrame, key: list[str], ts: str, delay: str = "1 hour") -> DataFrame:
-    """Each message once, as long as its copies arrive within the delay."""
-    return event_time(thin_copies(stream, key), ts, delay).dropDuplicatesWithinWatermark(key)
+    The table is laid out by batch and by the date of ``ts``, so a batch compares with the dates it holds and a batch
+    that runs again replaces its own output. Copies inside a batch are combined before the shuffle.
+    """
+    spark, rest = stream.sparkSession, [c for c in stream.columns if c not in key]
+    schema = f"{', '.join(f'{c} {t}' for c, t in stream.dtypes)}, day date, batch string"
+
+    def known() -> DataFrame:
+        return spark.read.schema(schema).parquet(table)
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        own = batch_folder(batch, batch_id)
+        first = batch.groupBy(*key).agg(F.min(F.struct(*rest)).alias("_rest"))
+        rows = first.select(*[F.col(c) if c in key else F.col(f"_rest.{c}").alias(c) for c in batch.columns])
+        rows = settle(rows.withColumn("day", F.to_date(ts)), "messages")
+        # the stored keys of these days; a null is a key like any other
+        old = known().filter(F.col("batch") != own.partition("=")[2]).join(rows.select("day").distinct(), "day", "left_semi")
+        same = reduce(lambda a, b: a & b, [rows[c].eqNullSafe(old[c]) for c in ["day", *key]])
+        rows.join(old, same, "left_anti").write.mode("overwrite").partitionBy("day").parquet(f"{table}/{own}")
+
+    spark.createDataFrame([], stream.schema).withColumn("day", F.lit(None).cast("date")).write.mode("ignore").partitionBy("day").parquet(f"{table}/batch=none")
+    query = stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return known().select(*stream.columns)
 
 
 def inferred_rentals(stream: DataFrame, key: str, ts: str, gap: str = "6 hours", delay: str = "1 hour") -> DataFrame:

@@ -171,3 +171,28 @@ def test_preprocessor_layout(spark):
     unseen = spark.createDataFrame([("Noon", "fog", 2.0, 1)], df.schema)
     rows = model.transform(df.union(unseen)).select(vector_to_array("features").alias("v")).collect()
     assert [list(r.v) for r in rows] == [[1, 0, 1, -1], [0, 1, 4, 1], [0, 0, -1, 0]]
+
+
+def test_empty_constant_and_all_zero_inputs(spark):
+    from ridepulse.operators import profile as P
+
+    zeros = spark.createDataFrame([(0,), (0,)], "demand int")
+    assert P.dispersion(zeros).first().dispersion is None
+    assert [tuple(r) for r in P.histogram(zeros, "demand", 5).collect()] == [(0, 2)]
+    empty = zeros.filter("demand > 0")
+    assert P.zero_summary(empty).first().n == 0 and P.outlier_share(empty, 3).first().outliers == 0
+
+
+def test_rows_alone_in_their_level_are_kept(spark):
+    from ridepulse.operators import glm
+
+    rows = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("b", 3.0), ("b", 5.0), ("alone", 3.0)], "f string, y double")
+    measured = glm.fit(rows, "y", factors=["f"], family="gaussian").influence(rows)
+    assert glm.without_influential(measured, 5).filter("f = 'alone'").count() == 1
+
+
+def test_a_forecast_time_keeps_its_entry_without_temperature(spark):
+    from ridepulse.sources.files import combine_forecast
+
+    entries = spark.createDataFrame([(1, 1, None, 80.0, 2.0, None), (0, 1, None, None, None, 0.5), (1, 2, None, None, None, 0.1)], "from_time long, at_time long, temp double, rhum double, wind_ms double, rain double")
+    assert [(r.at_time, r.rhum, r.rain) for r in combine_forecast(entries).collect()] == [(1, 80.0, 0.5)]

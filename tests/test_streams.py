@@ -47,3 +47,23 @@ def test_stream_equals_batch(spark, tmp_path):
     assert set(rebuilt(store.rentals)) == set(by_hand(rows))
     stream_rentals(T.message_stream(spark, source, messages(spark, rows).schema), store, str(tmp_path / "state"))
     assert set(rebuilt(store.rentals)) == set(by_hand(rows)), "a run without new files adds nothing"
+
+
+def test_late_messages_and_new_checkpoints_keep_every_message_once(spark, tmp_path):
+    rows = [(i, f"2024-01-{day:02d} {hour:02d}:00:00", day) for i in range(3) for day, hour in ((5, 10), (1, 3), (5, 4), (5, 10))]
+    df = spark.createDataFrame(rows, "bike_id long, t string, battery int").selectExpr("bike_id", "cast(t as timestamp_ntz) last_gps_time", "battery")
+    for part, state in (("day(last_gps_time) = 5", "a"), ("true", "a"), ("bike_id = 1", "b")):
+        df.filter(part).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = T.message_stream(spark, str(tmp_path / "in"), df.schema)
+        stored = T.store_unique(stream, ["bike_id", "last_gps_time"], "last_gps_time", str(tmp_path / "out"), str(tmp_path / state))
+    assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, df.distinct().collect()))
+
+
+def test_a_new_checkpoint_adds_to_landed_rows(spark, tmp_path):
+    from ridepulse.streaming.landing import ingest_new_files
+
+    for bike in (7, 8):
+        (tmp_path / f"in{bike}").mkdir()
+        (tmp_path / f"in{bike}" / "x.json").write_text(f'[{{"BikeID": {bike}}}]')
+        ingest_new_files(spark, str(tmp_path / f"in{bike}"), str(tmp_path / "t"), str(tmp_path / "e"), str(tmp_path / f"s{bike}"), "BikeID LONG")
+    assert {r.BikeID for r in spark.read.parquet(str(tmp_path / "t")).collect()} == {7, 8}
