@@ -126,9 +126,10 @@ def test_gaussian_fit_with_robust_errors(sample, frame):
 
 
 def test_a_fit_that_does_not_settle_raises(frame):
-    """A level per row has no limit any more, but levels without events have no finite estimate."""
+    """The number of levels has no limit any more, but a level without events has no finite estimate."""
+    rows = frame.sparkSession.createDataFrame([("a", 0.0), ("a", 0.0), ("b", 2.0)], "f string, y double")
     with pytest.raises(RuntimeError, match="still moves"):
-        G.fit(frame, "y", factors=["i"])
+        G.fit(rows, "y", factors=["f"], max_steps=5)
 
 
 def test_kmeans_edges_are_a_fixed_point(sample, frame):
