@@ -139,15 +139,20 @@ def _start(rows: DataFrame) -> DataFrame:
 
 
 def _distances(rows: DataFrame, estimates: DataFrame) -> DataFrame:
-    """Squared Mahalanobis distance to the row's group, by forward substitution with the Cholesky factor."""
-    out = rows.join(estimates.withColumnRenamed("_group", "_g"), F.col("_group") == F.col("_g"))
+    """Squared Mahalanobis distance to the row's group, by forward substitution with the Cholesky factor.
+
+    The hash as a second key keeps a later aggregate by group from taking over the join's partitions, in which a
+    group's rows would meet before they are summed; it also leaves a hot group to be split.
+    """
+    sides = estimates.withColumnRenamed("_group", "_g").withColumn("_h", F.xxhash64("_g"))
+    out = rows.join(sides, (F.col("_group") == F.col("_g")) & (F.xxhash64("_group") == F.col("_h")))
     for i, x in enumerate(PARTS):
         rest = F.col(x) - F.col(f"m{i}")
         for j in range(i):
             rest = rest - F.col(f"l{i}{j}") * F.col(f"_z{j}")
         out = out.withColumn(f"_z{i}", rest / F.col(f"l{i}{i}"))
     squares = [F.col(f"_z{i}") * F.col(f"_z{i}") for i in range(P)]
-    return out.withColumn("distance", sum(squares[1:], squares[0])).drop("_g", *[f"_z{i}" for i in range(P)], *[c for c in estimates.columns if c != "_group"])
+    return out.withColumn("distance", sum(squares[1:], squares[0])).drop("_g", "_h", *[f"_z{i}" for i in range(P)], *[c for c in estimates.columns if c != "_group"])
 
 
 def _step(rows: DataFrame, estimates: DataFrame) -> DataFrame:
