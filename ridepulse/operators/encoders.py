@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.ordering import DOMAIN_ORDER
 from ..session import settle
 
+# How each predictor enters a model.
 CATEGORICAL = ["timesofday", "dayofweek", "holiday", "peak", "hour", "working_day", "season", "month"]
 NUMERIC = ["rain", "temp", "rhum", "wdsp", "temp_r"]
 ORDINAL = ["wind_speed_group", "rainfall_intensity"]

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import calendar as C
 from ..functions import weather as W
+from .encoders import bin_of
 
 
 def with_holiday_flag(df: DataFrame, holidays: DataFrame) -> DataFrame:
@@ -44,6 +47,11 @@ def hourly_features(fact: DataFrame, holidays: DataFrame) -> DataFrame:
     return scaled.withColumns(_derived())
 
 
+def with_bins(df: DataFrame, edges: Mapping[str, Sequence[float]]) -> DataFrame:
+    """A column ``<name>_bin`` per column with learnt inner edges; an unknown value has no bin."""
+    return df.withColumns({f"{name}_bin": bin_of(F.col(name), found) for name, found in edges.items()})
+
+
 def trip_features(trips: DataFrame, weather: DataFrame, holidays: DataFrame) -> DataFrame:
     """Rentals with the weather of their hour and the same features."""
     keyed = trips.withColumns({"date": F.to_date("start"), "hour": F.hour("start")})

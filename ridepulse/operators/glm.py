@@ -53,7 +53,11 @@ class Design:
 
 
 def _dot(xs: Sequence[Column], weights: Sequence[float]) -> Column:
-    return reduce(lambda a, b: a + b, [x * F.lit(float(b)) for x, b in zip(xs, weights)])
+    """The weighted sum as a tree, which stays shallow for wide designs."""
+    terms = [x * F.lit(float(b)) for x, b in zip(xs, weights)]
+    while len(terms) > 1:
+        terms = [reduce(lambda a, b: a + b, terms[i : i + 2]) for i in range(0, len(terms), 2)]
+    return terms[0]
 
 
 Weigh = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
@@ -128,23 +132,31 @@ class Fit:
         return df.withColumn("fitted", mu).withColumn("residual", F.col(self.target) - F.col("fitted"))
 
     def influence(self, df: DataFrame) -> DataFrame:
-        """Leverage, studentised residual and Cook's distance per row, all as expressions."""
+        """Leverage, studentised residual and Cook's distance per row; the quadratic form is taken batch by batch."""
         xs, p = self.design.columns(), len(self.beta)
         inverse = self.covariance / self.scale
-        form = reduce(
-            lambda a, b: a + b,
-            [
-                F.lit(float(inverse[i, j] * (1 if i == j else 2))) * xs[i] * xs[j]
-                for i in range(p)
-                for j in range(i, p)
-            ],
-        )
+
+        @F.pandas_udf("double")
+        def form(x: pd.Series) -> pd.Series:
+            rows = np.stack(x.to_numpy()) if len(x) else np.zeros((0, p))
+            return pd.Series(((rows @ inverse) * rows).sum(1))
+
         mu, h = F.col("fitted"), F.col("leverage")
-        out = self.predict(df).withColumn("leverage", self._weight(mu) * form)
+        out = self.predict(df).withColumn("leverage", self._weight(mu) * form(F.array(*xs)))
         pearson = F.col("residual") / F.sqrt(self._variance(mu) * F.lit(self.scale))
         out = out.withColumn("studentized", F.when(h < 1, pearson / F.sqrt(1 - h)))
         return out.withColumn("cooks", F.when(h < 1, F.col("studentized") ** 2 / p * h / (1 - h)))
 
+    def score_equations(self, df: DataFrame) -> DataFrame:
+        """Per design column its total and the mean score, which is zero where the likelihood is largest."""
+        mu = F.col("fitted")
+        share = F.col("residual") / (1 + F.lit(self.alpha) * mu) if self.family == "negative_binomial" else F.col("residual")
+        parts = self.predict(df).select(F.posexplode(F.array(*self.design.columns())), share.alias("_share"))
+        names = F.array(*[F.lit(name) for name in self.design.names])
+        return parts.groupBy("pos").agg(F.sum("col").alias("total"), F.avg(F.col("col") * F.col("_share")).alias("score")).select(
+            F.get(names, F.col("pos")).alias("term"), "total", "score"
+        )
+
     def information(self, df: DataFrame) -> DataFrame:
         """Log-likelihood, AIC, and BIC in the likelihood and the deviance form."""
         y, mu, a = F.col(self.target).cast("double"), F.col("fitted"), F.lit(self.alpha)

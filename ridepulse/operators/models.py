@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
@@ -16,10 +16,11 @@ from pyspark.sql import functions as F
 from ..functions.weather import is_high_demand, round_half_away
 from .encoders import hash_draw, preprocessor, with_fold
 from .features import forecast_features
-from .ranking import ordinal_shuffled
+from .ranking import buckets_for, ordinal_shuffled
 
 TARGET = "demand"
 WEATHER = ["temp", "rhum", "wdsp", "rain"]
+# The predictors of the forecast and of the explained model.
 FORECAST = ["temp", "rhum", "dayofweek", "timesofday", "wdsp", "rainfall_intensity", "working_day", "hour", "season"]
 ALL = ["temp_r", "rhum", "holiday", "dayofweek", "timesofday", "wind_speed_group", "rainfall_intensity", "peak", "working_day"]
 
@@ -107,20 +108,35 @@ def filter_scores(scores: DataFrame, model: str = "", metric: str = "") -> DataF
     return scores.filter(F.upper("model").contains(model.upper()) & F.upper("metric").contains(metric.upper()))
 
 
+def against_baseline(scores: DataFrame, train: DataFrame, validation: DataFrame) -> DataFrame:
+    """Score rows beside those of the training mean, and whether they are better."""
+    both = train.withColumn("part", F.lit("train")).unionByName(validation.withColumn("part", F.lit("validation")))
+    base = score_table(metrics(mean_baseline(train, both), ["part"]).withColumn("model", F.lit("mean")))
+    named = base.select("metric", F.col("train").alias("baseline_train"), F.col("validation").alias("baseline_validation"))
+    better = {f"better_{part}": F.col(part) < F.col(f"baseline_{part}") for part in ("train", "validation")}
+    return scores.join(named, "metric").withColumns(better)
+
+
 def grid_search(
     df: DataFrame,
     predictors: Sequence[str],
-    depths: Sequence[int],
-    trees: Sequence[int],
+    axes: Mapping[str, Sequence],
     key: Column,
     folds: int = 3,
     parallelism: int = 2,
 ) -> CrossValidatorModel:
-    """Forest settings with the best cross-validated RMSE. Preprocessing runs once, before the folds."""
+    """Forest settings with the best cross-validated RMSE. Preprocessing runs once, before the folds.
+
+    ``axes`` are the values to try of any parameters of Spark's forest, such as ``maxDepth``, ``numTrees``,
+    ``featureSubsetStrategy`` or ``minInstancesPerNode``.
+    """
     stages = preprocessor(df, predictors)
     ready = with_fold(stages.fit(df).transform(df), hash_draw(key, 2022, folds), folds).select("features", TARGET, "fold")
     model = forest()
-    grid = ParamGridBuilder().addGrid(model.maxDepth, list(depths)).addGrid(model.numTrees, list(trees)).build()
+    builder = ParamGridBuilder()
+    for name, values in axes.items():
+        builder = builder.addGrid(model.getParam(name), list(values))
+    grid = builder.build()
     search = CrossValidator(
         estimator=model,
         estimatorParamMaps=grid,
@@ -159,10 +175,10 @@ def permutation_importance(
     """
     base = df.select(*predictors, TARGET, *[k.alias(f"_k{i}") for i, k in enumerate(key)])
     keys = [F.col(f"_k{i}") for i in range(len(key))]
-    runs = []
+    buckets, runs = buckets_for(base), []
     for repeat in range(repeats):
-        rows = ordinal_shuffled(base, keys, 2 * repeat, "_at")
-        donors = ordinal_shuffled(base, keys, 2 * repeat + 1, "_at")
+        rows = ordinal_shuffled(base, keys, 2 * repeat, "_at", buckets)
+        donors = ordinal_shuffled(base, keys, 2 * repeat + 1, "_at", buckets)
         donors = donors.select("_at", *[F.col(c).alias(f"_other_{c}") for c in predictors])
         runs.append(rows.join(donors, "_at").withColumn("_repeat", F.lit(repeat)))
     mixed = reduce(DataFrame.unionByName, runs)

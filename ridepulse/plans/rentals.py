@@ -9,6 +9,7 @@ from ..operators import pings as P
 from ..operators import rentals as R
 from ..operators.joins import spread_join
 from ..operators.profile import value_counts
+from ..session import settle
 from ..sources.store import insert_ignore
 from . import data
 from .catalog import query
@@ -204,17 +205,18 @@ def processing_audit(spark, sf):
 
 @query(
     "A3_rental_history",
-    """select last_rental_start, bike_id, max(last_gps_time) as last_gps_time,
+    """select last_rental_start, bike_id, cast(last_gps_time as date) as day, max(latest) as last_gps_time,
        string_agg(battery, ',' order by last_gps_time desc) as batteries,
        cast(sum(case when latitude is null then 0 else 1 end) as integer) as positions,
        round(max_by(latitude, case when latitude is not null then last_gps_time end), 6) as newest_latitude
-       from clean_pings group by 1, 2""",
+       from (select *, max(last_gps_time) over (partition by last_rental_start, bike_id) as latest from clean_pings) group by 1, 2, 3""",
 )
 def rental_history(spark, sf):
     history = R.rental_history(data.cleaned(spark, sf))
     known = F.filter("coordinates", lambda c: c[0].isNotNull())
     return history.select(
         *R.RENTAL_KEY,
+        "day",
         "last_gps_time",
         F.concat_ws(",", F.transform("battery", lambda b: b.cast("string"))).alias("batteries"),
         F.size(known).alias("positions"),
@@ -228,7 +230,7 @@ def rental_history(spark, sf):
        from clean_pings group by 1, 2""",
 )
 def first_valid_battery(spark, sf):
-    return R.first_valid_battery(R.rental_history(data.cleaned(spark, sf)))
+    return R.first_valid_battery(data.cleaned(spark, sf))
 
 
 GROUPED = """select last_rental_start, bike_id, max(last_gps_time) as last_gps_time,
@@ -324,11 +326,10 @@ def rental_duration(spark, sf):
 )
 def insert_ignored(spark, sf):
     """Finished orders are in the store; the others arrive later and lose against a row with their key."""
-    status = data.table(spark, sf, "orders").select(F.col("o_orderkey").alias("trip_id"), "o_orderstatus")
-    trips = data.trips(spark, sf).join(status, "trip_id")
+    trips = data.trips(spark, sf, "o_orderstatus")
     columns = ["start", "bike_id", "battery_start", "duration"]
     key = ["start", "bike_id"]
     nothing = trips.filter(F.lit(False))
-    stored = insert_ignore(nothing, trips.filter("o_orderstatus = 'F'"), key, ["trip_id"])
+    stored = settle(insert_ignore(nothing, trips.filter("o_orderstatus = 'F'"), key, ["trip_id"]), "stored-trips")
     added = insert_ignore(stored, trips.filter("o_orderstatus <> 'F'"), key, ["trip_id"])
     return stored.select(*columns).unionByName(added.select(*columns))

@@ -38,7 +38,7 @@ def test_scores_and_filter(spark):
 
 
 def test_forecast_has_fifteen_rounded_hours(spark, sf):
-    found = plans.demand_forecast(spark, sf)
+    _, found = plans.forecast_hours(spark, sf)
     rows = found.collect()
     assert len(rows) == 15 and found.schema["Predicted Demand"].dataType.simpleString() == "int"
     assert [r["High Demand"] for r in rows] == [r["Predicted Demand"] > 8 for r in rows]

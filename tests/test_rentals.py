@@ -6,6 +6,7 @@ import datetime as dt
 import random
 from collections import defaultdict
 
+import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ridepulse.operators import pings as P
 from ridepulse.operators import rentals as R
-from ridepulse.operators.ranking import ordinal_by_time, ordinal_shuffled, running_total
+from ridepulse.operators.ranking import exact_percentiles, ordinal_by_time, ordinal_shuffled, running_total
 from ridepulse.operators.sessions import infer_starts
 from ridepulse.sources.store import insert_ignore
 
@@ -108,24 +109,25 @@ def test_rank_matches_order(spark):
     assert got == want
 
 
-def test_history_in_segments(spark):
+def test_history_by_day(spark):
     rows = skewed(9)
     pings = frame(spark, rows).withColumn("battery", P.normal_battery(F.col("battery")))
     got = defaultdict(dict)
-    for r in R.rental_history(pings, segment_size=5).collect():
-        assert len(r.battery) <= 5 and len(r.coordinates) == len(r.battery)
-        got[(r.bike_id, r.last_rental_start)][r.segment] = (r.battery, r.last_gps_time)
+    for r in R.rental_history(pings).collect():
+        assert len(r.coordinates) == len(r.battery)
+        got[(r.bike_id, r.last_rental_start)][r.day] = (r.battery, r.last_gps_time)
     groups = defaultdict(list)
     for r in rows:
         battery = -1 if r[3] is None or r[3] < 0 else min(r[3], 100)
         groups[(r[0], r[1])].append((r[2], battery))
     assert set(got) == set(groups)
-    first_valid = {(r.bike_id, r.last_rental_start): r.start_battery for r in R.first_valid_battery(R.rental_history(pings, 5)).collect()}
+    first_valid = {(r.bike_id, r.last_rental_start): r.start_battery for r in R.first_valid_battery(pings).collect()}
     direct = {(r.bike_id, r.last_rental_start): r.start_battery for r in R.grouped_rentals(pings).collect()}
     for key, g in groups.items():
         newest_first = [b for _, b in sorted(g, reverse=True)]
-        assert sum((got[key][s][0] for s in sorted(got[key])), []) == newest_first
-        assert got[key][0][1] == max(t for t, _ in g)
+        assert set(got[key]) == {t.date() for t, _ in g}
+        assert sum((got[key][d][0] for d in sorted(got[key], reverse=True)), []) == newest_first
+        assert {latest for _, latest in got[key].values()} == {max(t for t, _ in g)}
         assert first_valid[key] == direct[key] == next((b for b in reversed(newest_first) if b > 0), -1)
 
 
@@ -197,7 +199,7 @@ def test_shuffled_numbers_and_running_total(spark):
     assert sorted(one) == sorted(two) == list(range(1, 501)) and one != two
     rng = random.Random(4)
     counts = {round(rng.gauss(0, 5), 2): rng.randrange(1, 9) for _ in range(200)}
-    got = running_total(spark.createDataFrame(list(counts.items()), "v double, n long"), "v", "n", buckets=8)
+    got = running_total(spark.createDataFrame(list(counts.items()), "v double, n long"), "v", "n")
     total, want = 0, {}
     for v in sorted(counts):
         total += counts[v]
@@ -205,3 +207,27 @@ def test_shuffled_numbers_and_running_total(spark):
     assert {r.v: r.upto for r in got.collect()} == want
     single = spark.createDataFrame([(3, 7)], "v int, n long")
     assert running_total(single, "v", "n").first().upto == 7
+
+
+def test_running_total_and_percentiles_by_key(spark):
+    """An outlier, a hot key and a continuous column: the ranges stay of like size and the results exact."""
+    rng = random.Random(8)
+    rows = [("a", rng.gauss(0, 1)) for _ in range(3000)] + [("a", 1e12), ("b", 4.0)] + [("c", float(i % 3)) for i in range(30)]
+    counts = spark.createDataFrame(rows, "k string, v double").groupBy("k", "v").count().withColumnRenamed("count", "n")
+    upto = running_total(counts, "v", "n", keys=["k"]).collect()
+    for k in "abc":
+        mine = sorted(v for key, v in rows if key == k)
+        assert {r.v: r.upto for r in upto if r.k == k} == {v: i + 1 for i, v in enumerate(mine)}
+    got = exact_percentiles(counts, "v", "n", (0, 0.25, 0.9, 1), ("lo", "q1", "p90", "hi"), ["k"]).collect()
+    assert len(got) == 3
+    for r in got:
+        mine = [v for key, v in rows if key == r.k]
+        assert [r.lo, r.q1, r.p90, r.hi] == pytest.approx(np.quantile(mine, [0, 0.25, 0.9, 1]).tolist())
+    assert exact_percentiles(counts.filter("k = 'z'"), "v", "n", (0.5,), ("m",)).first().m is None
+
+
+def test_running_total_spreads_an_outlier(spark):
+    counts = spark.range(20_000).selectExpr("CAST(id AS DOUBLE) AS v", "1L AS n").union(spark.sql("SELECT 1e15D, 1L"))
+    ranges = counts.repartitionByRange(8, "v").groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in ranges) < 5_000
+    assert running_total(counts, "v", "n").agg(F.max("upto")).first()[0] == 20_001
