@@ -198,10 +198,3 @@ def test_a_forecast_time_keeps_its_entry_without_temperature(spark):
 
     entries = spark.createDataFrame([(1, 1, None, 80.0, 2.0, None), (0, 1, None, None, None, 0.5), (1, 2, None, None, None, 0.1)], "from_time long, at_time long, temp double, rhum double, wind_ms double, rain double")
     assert [(r.at_time, r.rhum, r.rain) for r in combine_forecast(entries).collect()] == [(1, 80.0, 0.5)]
-
-
-def test_many_levels_fit_and_give_influence(spark):
-    rows = spark.range(2000).selectExpr("CONCAT('l', LPAD(CAST(id % 250 AS STRING), 3, '0')) AS f", "CAST(id % 7 AS DOUBLE) AS y")
-    fit = G.fit(rows, "y", factors=["f"], family="gaussian")
-    seen = fit.influence(rows).agg(F.count("cooks").alias("n"), F.min("leverage").alias("lo"), F.max("leverage").alias("hi")).first()
-    assert seen.n == 2000 and seen.lo == pytest.approx(0.125) and seen.hi == pytest.approx(0.125)
