@@ -1,21 +1,24 @@
 """Language-model scores by a weighted backoff automaton.
 
-The model is a bigram model with absolute discounting over add-0.1 word probabilities. States are the words that make
-up at least one in ``STATES`` training tokens, the start of a text, and the empty state; there are at most
-``STATES`` + 2 of them, whatever the corpus. An arc (state, word) carries the smoothed log-probability of a bigram
-seen at least twice; every other word takes the state's failure arc, which carries the state's left-over mass, to
-the empty state and goes on from there. Counts are over all training texts, and arcs grow with them.
-
-No task holds the model. Texts lie in chunks of bounded size with their distinct words and bigrams; these are counted
-over all chunks, and each chunk gets back the counts of its own words and arcs, a sub-automaton it can traverse.
+The model is a bigram model with absolute discounting over add-0.1 word probabilities. States are all words and the
+start of a text. An arc (state, word) carries the smoothed log-probability of a bigram seen at least ``LEAST`` times,
+at every size of the corpus; every other word takes the state's failure arc, which carries the state's left-over mass,
+and goes on with its own probability. Counts are over all training texts; states and arcs grow with them. A word that
+begins no such bigram has all its mass left over, so its state is as good as the empty one.
+
+No task and no driver holds the model. Texts lie in chunks of bounded size with their distinct words and bigrams; these
+are counted over all chunks, bigrams by the 64-bit ids of their two words, and each chunk gets back the counts of its
+own words and arcs and the masses of its own states, a sub-automaton it can traverse.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard as zstd
 from pyspark.sql import Column, DataFrame, Window
@@ -25,13 +28,16 @@ from .common import store
 
 #: A chunk is closed at so many bytes of text; a longer text is a chunk of its own.
 CHUNK_BYTES = 8 << 20
-STATES = 50_000
+#: States are not bounded, and a bigram needs so many occurrences for an arc, whatever the corpus.
+STATES, LEAST = math.inf, 2
 #: Discount of a bigram, and the count added to every word (fixed by the base score).
 DISCOUNT, ADDED = 0.75, 0.1
 #: Texts are traversed in segments of so many tokens, all segments of a chunk side by side.
 SEGMENT = 512
-EMPTY, START = 0, 1
-WORD_BITS = 17
+#: What a chunk gets back: counts of its words, counts of its arcs, and what arcs use of its states.
+WORDS, ARCS, MASSES = 0, 1, 2
+#: States of a chunk: the start of a text, then its words by number. A pair is a state above so many bits and the next.
+START, STATE_BITS = 0, 32
 
 
 def word_id(word: bytes) -> int:
@@ -39,6 +45,10 @@ def word_id(word: bytes) -> int:
     return xxhash.xxh64_intdigest(word) - 2**63
 
 
+#: The start of a text as a context; no word is a blank.
+START_ID = word_id(b" ")
+
+
 def _chunks(df: DataFrame, key: str, text: str, held_out: Column) -> DataFrame:
     """One row per chunk: keys, held-out marks and lengths of its texts, token numbers, and its words' ids and counts."""
     kind = df.schema[key].dataType.simpleString()
@@ -84,20 +94,6 @@ def _unpack(row: dict) -> np.ndarray:
     return np.frombuffer(zstd.ZstdDecompressor().decompress(row["tokens"]), "<i4")
 
 
-class States:
-    """The state each word of a chunk leads to, from the sorted ids of the state words."""
-
-    def __init__(self, ids: np.ndarray):
-        self.ids = ids
-
-    def of(self, words: list[int]) -> np.ndarray:
-        if not len(self.ids):
-            return np.full(len(words), EMPTY)
-        words = np.array(words, np.int64)
-        at = np.minimum(np.searchsorted(self.ids, words), len(self.ids) - 1)
-        return np.where(self.ids[at] == words, at + 2, EMPTY)
-
-
 def _before(states: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The state in which each token is read: that of the token before, or the start of a text."""
     before = np.empty(len(states), np.int64)
@@ -106,38 +102,40 @@ def _before(states: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return before
 
 
-def _bigrams(chunks: DataFrame, states: States) -> DataFrame:
-    """Training counts of each chunk's own bigrams of a state and a state word; the end counts as one."""
+def _pairs(tokens: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The pair of each token: the state in which it is read, and the one it leads to."""
+    read = tokens.astype(np.int64) + 1
+    return _before(read, lengths) << STATE_BITS | read
+
+
+def _bigrams(chunks: DataFrame) -> DataFrame:
+    """Training counts of each chunk's own bigrams by the ids of their words; ``number`` is the rank of the chunk's pair."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(batch.num_rows):
                 row = batch.slice(at, 1).to_pylist()[0]
                 tokens, lengths = _unpack(row), np.array(row["lengths"])
-                read = states.of(row["words"])[tokens]
-                before = _before(read, lengths)
                 train = np.repeat(~np.array(row["held"]), lengths)
-                some = (before != EMPTY) & (read != EMPTY)
-                pairs, where = np.unique((before << WORD_BITS | read)[some], return_inverse=True)
-                counts = np.bincount(where, weights=train[some], minlength=len(pairs)).astype(np.int64)
-                chunk = np.full(len(pairs), row["chunk"])
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (chunk, pairs, counts)], ["chunk", "pair", "n"])
+                pairs, where = np.unique(_pairs(tokens, lengths), return_inverse=True)
+                counts = np.bincount(where, weights=train, minlength=len(pairs)).astype(np.int64)
+                ids = np.array([START_ID, *row["words"]], np.int64)
+                before, word = ids[pairs >> STATE_BITS], ids[pairs & ((1 << STATE_BITS) - 1)]
+                columns = [np.full(len(pairs), row["chunk"]), np.arange(len(pairs), dtype=np.int32), before, word, counts]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["chunk", "number", "before", "word", "n"])
 
-    return chunks.select("chunk", "tokens", "lengths", "held", "words").mapInArrow(run, "chunk long, pair long, n long")
+    fields = "chunk long, number int, before long, word long, n long"
+    return chunks.select("chunk", "tokens", "lengths", "held", "words").mapInArrow(run, fields)
 
 
 class Automaton:
-    """States, arcs and failure arcs of one chunk; ``words`` are its words by number."""
-
-    def __init__(self, word_logs: np.ndarray, word_states: np.ndarray, pairs: np.ndarray, counts: np.ndarray, seen: np.ndarray, mass: np.ndarray):
-        order = np.argsort(pairs)
-        self.arcs = pairs[order]
-        self.word_logs, self.word_states, self.mass = word_logs, word_states, mass
-        state = self.arcs >> WORD_BITS
-        by_state = np.full(len(seen), -1)
-        by_state[word_states] = np.arange(len(word_states))
-        lower = 10.0 ** word_logs[by_state[self.arcs & ((1 << WORD_BITS) - 1)]]
-        self.arc_logs = np.log10((counts[order] - DISCOUNT) / seen[state] + mass[state] * lower)
+    """States, arcs and failure arcs of one chunk: ``seen`` and ``mass`` by state, ``pairs`` in rising order."""
+
+    def __init__(self, word_logs: np.ndarray, pairs: np.ndarray, counts: np.ndarray, seen: np.ndarray, mass: np.ndarray):
+        self.arcs, self.word_logs, self.mass = pairs, word_logs, mass
+        state = pairs >> STATE_BITS
+        lower = 10.0 ** word_logs[(pairs & ((1 << STATE_BITS) - 1)) - 1]
+        self.arc_logs = np.log10((counts - DISCOUNT) / seen[state] + mass[state] * lower)
         with np.errstate(divide="ignore"):
             self.failure_logs = np.log10(mass)
 
@@ -152,7 +150,7 @@ class Automaton:
         nth = np.arange(len(text)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
         first = (ends - lengths)[text] + nth * SEGMENT
         size = np.minimum(ends[text] - first, SEGMENT)
-        state = np.where(nth == 0, START, self.word_states[tokens[first - (nth > 0)]])
+        state = np.where(nth == 0, START, tokens[first - (nth > 0)].astype(np.int64) + 1)
         order = np.argsort(-size, kind="stable")
         first, size, state, text = first[order], size[order], state[order], text[order]
         active = np.searchsorted(-size, -np.arange(SEGMENT), "left")
@@ -162,8 +160,8 @@ class Automaton:
             if not n:
                 break
             word = tokens[first[:n] + step]
-            now, read = state[:n], self.word_states[word]
-            pair = now << WORD_BITS | read
+            now, read = state[:n], word.astype(np.int64) + 1
+            pair = now << STATE_BITS | read
             at = np.searchsorted(self.arcs, pair)
             hit = np.zeros(n, bool) if not len(self.arcs) else (self.arcs[np.minimum(at, len(self.arcs) - 1)] == pair)
             fallen = self.failure_logs[now] + self.word_logs[word]
@@ -189,41 +187,41 @@ def score(df: DataFrame, key: str, text: str, held_out: Column) -> DataFrame:
     counted = counted.select(
         "chunk", "number", "word", F.sum("n").over(same).alias("total"), (F.col("chunk") == F.min("chunk").over(same)).alias("first")
     )
-    # the id is only kept where it can make a state
-    frequent = F.col("first") & (F.col("total") * STATES >= max(total, 1))
-    words = store(
-        counted.select("chunk", "number", "total", (F.col("first") & (F.col("total") > 0)).alias("new"), F.when(frequent, F.col("word")).alias("state")),
-        "lm-words",
-    )
+    words = store(counted.select("chunk", "number", "total", (F.col("first") & (F.col("total") > 0)).alias("new")), "lm-words")
     vocabulary = words.filter("new").count()
-    # at most STATES words and their counts
-    known = sorted((r.state, r.total) for r in words.filter("state is not null").select("state", "total").collect())
-    states = States(np.array([k[0] for k in known], np.int64))
-    seen = np.array([1, max(texts, 1), *[k[1] for k in known]], float)
-    same_pair = Window.partitionBy("pair")
-    pairs = _bigrams(chunks, states).select(
-        "chunk", "pair", F.sum("n").over(same_pair).alias("total"), (F.col("chunk") == F.min("chunk").over(same_pair)).alias("first")
+    same_pair = Window.partitionBy("before", "word")
+    pairs = _bigrams(chunks).select(
+        "chunk", "number", "before", F.sum("n").over(same_pair).alias("total"), (F.col("chunk") == F.min("chunk").over(same_pair)).alias("first")
     )
-    arcs = store(pairs.filter("total >= 2"), "lm-arcs")
-    out_of = arcs.filter("first").groupBy(F.shiftright("pair", WORD_BITS).alias("state"))
-    mass = np.ones(len(seen))
-    # at most STATES + 1 rows
-    for row in out_of.agg(F.sum("total").alias("s"), F.count("*").alias("t")).collect():
-        mass[row.state] = 1 - (row.s - DISCOUNT * row.t) / seen[row.state]
+    # the context is only kept where its arc is counted
+    arcs = store(pairs.filter(F.col("total") >= LEAST).select("chunk", "number", "total", F.when(F.col("first"), F.col("before")).alias("context")), "lm-arcs")
+    used = (F.sum("total") - DISCOUNT * F.count("*")).alias("used")
+    contexts = store(arcs.filter("context is not null").groupBy("context").agg(used), "lm-contexts")
+    start = contexts.filter(F.col("context") == START_ID).first()
+    of_start, started = max(texts, 1), start.used if start else 0.0
+    states = own.select("chunk", "number", F.col("w.words").alias("word")).join(contexts, F.col("word") == F.col("context"))
     floor = total + ADDED * (vocabulary + 1)
     kind = chunks.schema["keys"].dataType.elementType.simpleString()
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         row = left.to_pylist()[0]
-        of_words = right.filter(right.column("arc").is_null())
-        counts = np.zeros(len(row["words"]))
-        counts[np.asarray(of_words.column("number"))] = np.asarray(of_words.column("total"))
-        of_arcs = right.filter(right.column("arc").is_valid())
-        automaton = Automaton(
-            np.log10((counts + ADDED) / floor), states.of(row["words"]), np.asarray(of_arcs.column("arc"), np.int64),
-            np.asarray(of_arcs.column("total"), float), seen, mass,
-        )
         tokens, lengths = _unpack(row), np.array(row["lengths"])
+
+        def part(kind: int) -> tuple[np.ndarray, np.ndarray]:
+            rows = right.filter(pc.equal(right.column("kind"), kind))
+            return np.asarray(rows.column("number"), np.int64), np.asarray(rows.column("value"), float)
+
+        numbers, found = part(WORDS)
+        counts = np.zeros(len(row["words"]))
+        counts[numbers] = found
+        seen, mass = np.append(of_start, counts), np.ones(len(counts) + 1)
+        mass[START] -= started / of_start
+        numbers, found = part(MASSES)
+        mass[numbers + 1] -= found / seen[numbers + 1]
+        numbers, found = part(ARCS)
+        order = np.argsort(numbers)
+        pairs_of = np.unique(_pairs(tokens, lengths))[numbers[order]]
+        automaton = Automaton(np.log10((counts + ADDED) / floor), pairs_of, found[order], seen, mass)
         text_of = np.repeat(np.arange(len(lengths)), lengths)
         base = np.bincount(text_of, weights=automaton.word_logs[tokens], minlength=len(lengths))
         found = np.bincount(text_of, weights=counts[tokens] > 0, minlength=len(lengths)).astype(np.int64)
@@ -233,9 +231,9 @@ def score(df: DataFrame, key: str, text: str, held_out: Column) -> DataFrame:
         ]
         return pa.table(columns, names=[key, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    back = words.select("chunk", "number", F.lit(None).cast("long").alias("arc"), "total").unionByName(
-        arcs.select("chunk", F.lit(None).cast("int").alias("number"), F.col("pair").alias("arc"), "total")
-    )
+    parts = [(WORDS, words, "total"), (ARCS, arcs, "total"), (MASSES, states, "used")]
+    back = [rows.select("chunk", F.lit(mark).alias("kind"), "number", F.col(value).cast("double").alias("value")) for mark, rows, value in parts]
+    back = back[0].unionByName(back[1]).unionByName(back[2])
     fields = f"{key} {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     texts_of = chunks.select("chunk", "keys", "held", "lengths", "tokens", "words")
     return texts_of.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInArrow(run, fields)

@@ -260,6 +260,18 @@ def test_scores_of_awkward_tables(spark):
     assert all(r.n_known == 0 and math.isclose(r.score, r.base_score) for r in held)
 
 
+def test_a_bigram_seen_twice_has_an_arc_in_a_corpus_of_any_size(spark):
+    rows = [(0, "a " * 200_000), (1, "rare pair"), (2, "rare pair"), (10, "rare pair")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in lm.score(df, "doc_id", "text", F.col("doc_id") == 10).collect()}[10]
+    total, seen = 200_007, {"rare": 2, "pair": 2, "end": 3}
+    logs = {w: (n + 0.1) / (total + 0.1 * 5) for w, n in seen.items()}
+    # start to rare, rare to pair and pair to the end were seen twice each, and no other bigram begins like the last two
+    want = (2 - 0.75) / 3 + (1 - (2 - 0.75) / 3) * logs["rare"]
+    want *= ((2 - 0.75) / 2 + 0.75 / 2 * logs["pair"]) * ((2 - 0.75) / 2 + 0.75 / 2 * logs["end"])
+    assert got.train_tokens == total and math.isclose(got.score, math.log10(want), rel_tol=1e-9)
+
+
 def test_ledger_scans_only_unseen_blobs(spark):
     first = awkward(spark)
     one = scan(first, "text")
