@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+import textwrap
 import zlib
 from collections import Counter
 
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from ridepulse.llm import lm, packing, quality, simhash, tokenstore, toxicity
+from ridepulse.llm import licenses, lm, packing, quality, simhash, tokenstore, toxicity
 from ridepulse.llm.decontamination import contamination
 from ridepulse.llm.graph import components
 from ridepulse.llm.licenses import scan as license_scan
@@ -372,6 +373,24 @@ def test_licenses_come_from_the_nearest_directory(spark):
     assert license_scan(df.limit(0), "path", "text", F.lit(True)).count() == 0
 
 
+def wrapped(text, mark=""):
+    paragraphs = [textwrap.wrap(" ".join(p.split()), 70) for p in re.split(r"\n\s*\n", text)]
+    return "\n".join(f"{mark}{line}".rstrip() for p in paragraphs for line in [*p, ""])
+
+
+def test_wrapped_notices_headers_and_licence_files_are_found(spark):
+    names = [(name, text) for name, texts in licenses.FULL.items() for text in texts]
+    code = "\nint y = other(thing, value);" * 200
+    files = [(f"{name}|{i}|{kind}", body) for i, (name, text) in enumerate(names) for kind, body in (
+        ("file", wrapped(text)), ("hash", wrapped(text, "# ") + code), ("block", "/*\r\n" + wrapped(text, " * ").replace("\n", "\r\n") + " */" + code),
+    )]
+    files.append(("BSD-3-Clause||clauses", wrapped(licenses.TEMPLATES["BSD-3-Clause"][1], "// ") + code))
+    files.append(("None||none", "This program is distributed to any person.\n" + code))
+    df = spark.createDataFrame(files, "path string, text string")
+    out = {r.path: r.own_license for r in license_scan(df, "path", "text", F.lit(False)).collect()}
+    assert {path: str(found) for path, found in out.items()} == {path: path.split("|")[0] for path, _ in files}
+
+
 def test_every_stage_takes_awkward_tables(spark, sf):
     for docs in (awkward(spark), nothing(spark)):
         for name, stage in corpus_pipeline.STAGES:
