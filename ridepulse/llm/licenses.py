@@ -233,11 +233,18 @@ def notices(
 
 
 def scan(
-    df: DataFrame, path: str, text: str, licence_file: Column, templates: Mapping[str, Sequence[str]] = TEMPLATES, similarity: float = SIMILARITY
+    df: DataFrame,
+    path: str,
+    text: str,
+    licence_file: Column,
+    templates: Mapping[str, Sequence[str]] = TEMPLATES,
+    similarity: float = SIMILARITY,
+    covering: float | None = None,
 ) -> DataFrame:
     """All rows with own_license, similarity, license and source_directory.
 
-    ``path`` is a file path with ``/``; ``licence_file`` marks files whose notice holds for their directory. If a
+    ``path`` is a file path with ``/``; ``licence_file`` marks files whose notice holds for their directory; with
+    ``covering`` so do those whose notice or licence text has at least that share of their words, however long. If a
     directory has several, the most similar counts, then the first license by name. The root is the empty directory.
     Files with equal paths share one result, the best notice among them. A null path is a file in no directory and
     inherits nothing; its own notice is found if its text alone has one. Columns with the new names are replaced.
@@ -249,7 +256,9 @@ def scan(
     # the directory with a closing slash, so that the root is one too
     rows = rows.withColumn(folder, F.when(F.col(path).isNotNull(), F.concat(F.lit("/"), F.regexp_extract(F.ltrim(F.col(path), F.lit("/")), "^(.*/)?", 0))))
     own = store(notices(rows.select(file, text), file, text, templates, similarity), "notices")
-    holders = rows.filter(F.col(mark) & F.col(folder).isNotNull()).select(file, F.col(folder).alias("_at")).distinct().join(own, file)
+    placed = rows.filter(F.col(folder).isNotNull()).select(file, F.col(folder).alias("_at"), mark)
+    marked = F.col(mark) if covering is None else F.col(mark) | (F.col("covered") >= covering)
+    holders = placed.join(own, file).filter(marked).drop(mark).distinct()
     directories = holders.groupBy("_at").agg(F.min(F.struct((-F.col("similarity")).alias("s"), "license")).alias("b")).select("_at", F.col("b.license").alias("_license"))
     directories = store(directories, "directory-licenses")
     parts = F.split(F.col(folder), "/")

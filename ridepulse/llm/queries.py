@@ -142,11 +142,12 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
     """The license of every document: its own notice, or that of the nearest directory with a licence file.
 
     Documents are files in a tree that their source and the digits of their id span: document 1234 of src1 is
-    src1/1/2/3/4. A short text, of fewer than 50 words, that has a notice is its directory's licence file.
+    src1/1/2/3/4. A text of which a notice or a licence has at least half the words, however long, is its directory's
+    licence file, and so is any text of fewer than 50 words that has a notice.
     """
     docs = table(spark, sf, "documents").select("doc_id", "source", "text")
     digits = F.concat_ws("/", F.filter(F.split(F.col("doc_id").cast("string"), ""), lambda c: c != ""))
     files = docs.withColumn("path", F.concat(F.coalesce("source", F.lit("")), F.lit("/"), digits))
     short = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"\S+")) < 50
-    found = license_scan(files, "path", "text", short)
+    found = license_scan(files, "path", "text", short, covering=0.5)
     return found.select("doc_id", "path", "own_license", "similarity", "license", "source_directory")

@@ -391,6 +391,16 @@ def test_wrapped_notices_headers_and_licence_files_are_found(spark):
     assert {path: str(found) for path, found in out.items()} == {path: path.split("|")[0] for path, _ in files}
 
 
+def test_a_licence_text_of_any_length_holds_for_its_directory(spark, tmp_path):
+    mit, gpl = licenses.FULL["MIT"][0], licenses.FULL["GPL-3.0"][0]
+    rows = [(1, "s", mit), (12, "s", "int x;"), (2, "s", gpl), (234, "s", "int y;"), (3, "s", "word " * 100 + "\nReleased under the MIT License."), (31, "s", "int z;")]
+    # document 10 is s/1/0, so its text holds for s/1/ and document 12; document 20 holds for s/2/ and document 234 below it
+    rows += [(10, "s", mit), (20, "s", gpl)]
+    spark.createDataFrame(rows, "doc_id long, source string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    out = {r.doc_id: (r.license, r.source_directory) for r in QUERIES["op10_license_scan"](spark, str(tmp_path)).collect()}
+    assert out[12] == ("MIT", "/s/1/") and out[234] == ("GPL-3.0", "/s/2/") and out[10] == ("MIT", None) and out[31][0] != out[3][0] == "MIT"
+
+
 def test_every_stage_takes_awkward_tables(spark, sf):
     for docs in (awkward(spark), nothing(spark)):
         for name, stage in corpus_pipeline.STAGES:
