@@ -338,6 +338,19 @@ def test_quality_of_awkward_tables(spark):
     assert abs(quality.chi_square_quantile(0.95, 5) - 11.0705) < 1e-3
 
 
+def test_repeated_lines_or_words_alone_reject_a_document(spark):
+    draw = np.random.default_rng(2)
+    words = ["w" + "".join(draw.choice(list("abcdefgh"), 5)) for _ in range(5000)]
+    texts = [" ".join(draw.permutation(words)[: int(n)]) for n in draw.integers(150, 250, 300)]
+    head = texts[0].split()
+    # 8 duplicate lines of one word in some 200 words, and a quarter of the words in repeated runs
+    texts += ["\n".join([" ".join(head), *["line"] * 9]), " ".join([*head, *head[: len(head) // 7]])]
+    df = spark.createDataFrame([(i, t, "en", "s") for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string")
+    rows = {r.doc_id: r for r in quality.quality(df, "text", "lang", "source", ["doc_id"]).collect()}
+    assert not rows[300].base_failed and not rows[300].kept and not rows[301].base_failed and not rows[301].kept
+    assert sum(rows[i].kept for i in range(300)) > 280
+
+
 def test_token_files_round_trip(spark):
     folder = scratch(spark, "tokens")
     tokenstore.write_tokens(awkward(spark), "doc_id", "text", folder, PATH)
