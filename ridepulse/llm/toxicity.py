@@ -5,25 +5,28 @@ character pairs, which every word has. Texts are read in overlapping windows; th
 by attention and give the window's probability. A text scores as its worst window. A training text's label belongs
 to some window of it, so the network learns from the windows that it finds worst, text by text.
 
-The network is fitted on a bounded sample; scoring runs over all windows of all texts inside the tasks.
+The network is fitted on a bounded sample of rows. Their whole texts stay in the tasks, which count words, rank windows
+and hand on the few that a round learns from; scoring runs over all windows of all texts inside the tasks.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import drawn, fresh
+from .common import drawn, fresh, store_rows
 
-#: At most so many labelled rows of each class, those with the smallest key hash, and so many characters of each.
-SAMPLE_ROWS, SAMPLE_CHARACTERS = 1000, 20_000
+#: At most so many labelled rows of each class, those with the smallest key hash; their texts are read whole.
+SAMPLE_ROWS = 1000
 #: Words of a window, and between the starts of neighbours.
 WINDOW, STRIDE = 64, 48
 WORDS = re.compile(r"[^\W\d_]+")
@@ -196,13 +199,18 @@ class Network:
 
 
 def _new_network(texts: list[list[str]], labels: np.ndarray, seed: int) -> Network:
-    """Small random weights; the first number of a word's embedding starts as its log odds in the training texts."""
-    draw = np.random.default_rng(seed)
+    """A network for the words of these texts."""
     seen, toxic = Counter(), Counter()
     for words, label in zip(texts, labels):
         seen.update(set(words))
         if label:
             toxic.update(set(words))
+    return _network_of(seen, toxic, labels, seed)
+
+
+def _network_of(seen: Mapping[str, int], toxic: Mapping[str, int], labels: np.ndarray, seed: int) -> Network:
+    """Small random weights; the first number of a word's embedding starts as its log odds in the training texts."""
+    draw = np.random.default_rng(seed)
     frequent = sorted((w for w in seen if seen[w] >= SEEN), key=lambda w: (-seen[w], w))[:VOCABULARY]
     vocabulary = {w: i for i, w in enumerate(frequent)}
 
@@ -220,38 +228,45 @@ def _new_network(texts: list[list[str]], labels: np.ndarray, seed: int) -> Netwo
     return Network(vocabulary, weights)
 
 
-def train(texts: list[str], labels: list[int], seed: int = 0) -> Network:
-    """Fit on whole labelled texts. Without both classes the network stays as it starts."""
-    docs, y = [split_words(t) for t in texts], np.array(labels, np.float32)
-    network, draw = _new_network(docs, y, seed), np.random.default_rng(seed)
+def _ranked(network: Network, docs: list[list[str]], odds: bool, ranks: list[list[int]]) -> list[list[list[str]]]:
+    """The words of the windows of each text that have the wanted ranks, from the worst on."""
+    if odds:
+        # before any training the word odds name the worst window
+        first = network.weights["words"][:, 0]
+        spans = [(i, s, n) for i, words in enumerate(docs) for s, n in windows_of(len(words))]
+        found = np.array([max((first[network.vocabulary.get(w, -1)] for w in docs[i][s : s + n]), default=0) for i, s, n in spans])
+    else:
+        found, spans = network.probabilities(docs)
+    by_text: list[list[int]] = [[] for _ in docs]
+    for k, (i, _, _) in enumerate(spans):
+        by_text[i].append(k)
+    out = []
+    for i, own in enumerate(by_text):
+        ranked = sorted(own, key=lambda k: -found[k])
+        out.append([docs[i][spans[ranked[r]][1] : spans[ranked[r]][1] + spans[ranked[r]][2]] for r in ranks[i]])
+    return out
+
+
+Choice = Callable[[Network, bool, list[list[int]]], list[list[list[str]]]]
+
+
+def _learn(network: Network, y: np.ndarray, sizes: list[int], choose: Choice, seed: int) -> Network:
+    """Fit from the windows that ``choose`` gives for wanted ranks; ``sizes`` are the numbers of windows of the texts."""
+    draw = np.random.default_rng(seed)
     if not 0 < y.sum() < len(y):
         return network
     moment = {k: np.zeros_like(v) for k, v in network.weights.items()}
     square = {k: np.zeros_like(v) for k, v in network.weights.items()}
     step = 0
     for turn in range(ROUNDS):
-        if turn:
-            found, spans = network.probabilities(docs)
-        else:
-            # before any training the word odds name the worst window
-            odds = network.weights["words"][:, 0]
-            spans = [(i, s, n) for i, words in enumerate(docs) for s, n in windows_of(len(words))]
-            found = np.array([max((odds[network.vocabulary.get(w, -1)] for w in docs[i][s : s + n]), default=0) for i, s, n in spans])
-        by_text: list[list[int]] = [[] for _ in docs]
-        for k, (i, _, _) in enumerate(spans):
-            by_text[i].append(k)
+        ranks = [[0] if label else [0, *(1 + draw.permutation(n - 1)[: CLEAN_WINDOWS - 1]).tolist()] for label, n in zip(y, sizes)]
         worst, clean = [], []
-        for i, own in enumerate(by_text):
-            ranked = sorted(own, key=lambda k: -found[k])
-            if y[i]:
-                worst.append(ranked[0])
-            else:
-                clean += [ranked[0], *draw.permutation(ranked[1:])[: CLEAN_WINDOWS - 1].tolist()]
+        for label, windows in zip(y, choose(network, not turn, ranks)):
+            (worst if label else clean).extend(windows)
         for _ in range(STEPS):
-            part = [(k, 1.0) for k in draw.choice(worst, TOXIC_SHARE)] + [(k, 0.0) for k in draw.choice(clean, BATCH - TOXIC_SHARE)]
-            part.sort(key=lambda c: -spans[c[0]][2])
-            words = [docs[spans[k][0]][spans[k][1] : spans[k][1] + spans[k][2]] for k, _ in part]
-            grad = network.gradients(words, np.array([label for _, label in part], np.float32))
+            part = [(worst[k], 1.0) for k in draw.choice(len(worst), TOXIC_SHARE)] + [(clean[k], 0.0) for k in draw.choice(len(clean), BATCH - TOXIC_SHARE)]
+            part.sort(key=lambda c: -len(c[0]))
+            grad = network.gradients([words for words, _ in part], np.array([label for _, label in part], np.float32))
             step += 1
             for name, g in grad.items():
                 moment[name] = 0.9 * moment[name] + 0.1 * g
@@ -261,22 +276,78 @@ def train(texts: list[str], labels: list[int], seed: int = 0) -> Network:
     return network
 
 
-def fit(df: DataFrame, key: str, text: str, labels: DataFrame, label_key: str, label: str, allowed: Column) -> Network:
+def train(texts: list[str], labels: list[int], seed: int = 0) -> Network:
+    """Fit on whole labelled texts. Without both classes the network stays as it starts."""
+    docs, y = [split_words(t) for t in texts], np.array(labels, np.float32)
+    sizes = [len(windows_of(len(words))) for words in docs]
+    return _learn(_new_network(docs, y, seed), y, sizes, lambda network, odds, ranks: _ranked(network, docs, odds, ranks), seed)
+
+
+def fit(df: DataFrame, key: str, text: str, labels: DataFrame, label_key: str, label: str, allowed: Column, seed: int = 0) -> Network:
     """Train on a bounded sample of the labelled rows that ``allowed`` (of the label's key) is true for.
 
-    Rows of either class are taken in the order of a hash of their key, so the sample is the same on any cluster.
+    Rows of either class are taken in the order of a hash of their key, so the sample is the same on any cluster. Their
+    texts are stored and read whole inside the tasks; the driver gets the vocabulary and the windows it learns from.
     """
     known = labels.filter(allowed & F.col(label).isNotNull()).select(F.col(label_key).alias("_key"), F.col(label).cast("int").alias("_label"))
-    texts = df.select(F.col(key).alias("_key"), F.substring(F.col(text), 1, SAMPLE_CHARACTERS).alias("_text"))
+    texts = df.select(F.col(key).alias("_key"), F.col(text).cast("string").alias("_text"))
     draw = F.xxhash64(F.col("_key")).alias("_draw")
-    texts_of, labels_of = [], []
+    parts = []
     for value in (0, 1):
         # the keys are drawn first, so that only their texts travel
         chosen = drawn(known.filter(F.col("_label") == value).select("_key").distinct(), "_key", SAMPLE_ROWS).select("_key", draw)
-        rows = texts.join(chosen.orderBy("_draw", "_key").limit(SAMPLE_ROWS), "_key").orderBy("_draw", "_key", "_text").limit(SAMPLE_ROWS).collect()
-        texts_of += [row["_text"] for row in rows]
-        labels_of += [value] * len(rows)
-    return train(texts_of, labels_of)
+        parts.append(texts.join(chosen.orderBy("_draw", "_key").limit(SAMPLE_ROWS), "_key").withColumn("_label", F.lit(value)))
+    sample = store_rows(parts[0].unionByName(parts[1]), "toxicity-sample")
+    order = ["_draw", "_key", F.md5(F.coalesce("_text", F.lit(""))), "_row"]
+    y, number = [], {}
+    for value in (0, 1):
+        # at most SAMPLE_ROWS row ids
+        for row in sample.filter(F.col("_label") == value).orderBy(*order).select("_row").limit(SAMPLE_ROWS).collect():
+            number[row["_row"]] = len(y)
+            y.append(value)
+
+    def over(work: Callable[[list[int], list[list[str]]], Iterator[tuple]], fields: str) -> DataFrame:
+        """The rows that ``work`` gives for the numbers and words of some texts at a time."""
+        schema = T.StructType.fromDDL(fields)
+        kinds = to_arrow_schema(schema)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                numbers: list[int] = []
+                docs: list[list[str]] = []
+                chars = 0
+                for at, (row, value) in enumerate(zip(batch.column("_row").to_pylist(), batch.column("_text"))):
+                    if row in number:
+                        read = value.as_py() or ""
+                        numbers.append(number[row])
+                        docs.append(split_words(read))
+                        chars += len(read)
+                    if docs and (chars > SLICE or at + 1 == batch.num_rows):
+                        columns = list(zip(*work(numbers, docs))) or [()] * len(kinds)
+                        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, kinds)], schema=kinds)
+                        numbers, docs, chars = [], [], 0
+
+        return sample.select("_row", "_text").mapInArrow(run, schema)
+
+    found = over(lambda numbers, docs: ((w, y[i]) for i, words in zip(numbers, docs) for w in sorted(set(words))), "word string, toxic int")
+    words = found.groupBy("word").agg(F.count("*").alias("n"), F.sum("toxic").alias("t")).filter(F.col("n") >= SEEN)
+    # at most VOCABULARY words
+    frequent = words.orderBy(F.desc("n"), "word").limit(VOCABULARY).collect()
+    sizes_of = over(lambda numbers, docs: ((i, len(windows_of(len(words)))) for i, words in zip(numbers, docs)), "i int, n int").collect()
+    sizes = [n for _, n in sorted((row["i"], row["n"]) for row in sizes_of)]
+
+    def choose(network: Network, odds: bool, ranks: list[list[int]]) -> list[list[list[str]]]:
+        def windows(numbers: list[int], docs: list[list[str]]) -> Iterator[tuple]:
+            for i, own in zip(numbers, _ranked(network, docs, odds, [ranks[i] for i in numbers])):
+                yield i, [" ".join(window) for window in own]
+
+        # at most CLEAN_WINDOWS windows of each text
+        rows = sorted((row["i"], row["windows"]) for row in over(windows, "i int, windows array<string>").collect())
+        return [[window.split(" ") if window else [] for window in own] for _, own in rows]
+
+    labels_of = np.array(y, np.float32)
+    network = _network_of({row["word"]: row["n"] for row in frequent}, Counter({row["word"]: row["t"] for row in frequent}), labels_of, seed)
+    return _learn(network, labels_of, sizes, choose, seed)
 
 
 def score(df: DataFrame, keep: list[str], text: str, network: Network, name: str = "score") -> DataFrame:

@@ -191,6 +191,18 @@ def test_toxicity_on_held_out_labels(spark):
     assert hit > 0.5 and false < 0.03
 
 
+def test_training_reads_whole_texts(spark):
+    fill = "plain words about the weather and the harbour " * 600
+    rows = [(i, f"{fill} zorkish blaggard" if i % 2 else fill) for i in range(24)]
+    assert len(fill) > 20_000
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(24)], "doc_id long, toxic int")
+    network = toxicity.fit(docs, "doc_id", "text", labels, "doc_id", "toxic", F.lit(True))
+    assert {"zorkish", "blaggard"} <= set(network.vocabulary)
+    worst = network.score([toxicity.split_words(t) for _, t in rows[:2]])
+    assert worst[1] > 0.9 and worst[0] < 0.1
+
+
 def test_toxicity_of_awkward_tables(spark):
     network = toxicity.train(["you idiot moron", "a fine day", "idiot again", "words and more"] * 4, [1, 0, 1, 0] * 4)
     rows = toxicity.score(awkward(spark), ["doc_id", "text"], "text", network).collect()
