@@ -20,8 +20,6 @@ from pyspark.sql import types as T
 from .common import fresh, part_of, part_starts, store, store_rows
 from .tokens import encoded
 
-#: Sources with a queue of their own, the largest ones; all others share one more queue.
-OWN_QUEUES = 1023
 #: Window counts are worked out in tables of so many numbers, of which the last few are kept.
 TABLE_CELLS, TABLES = 1 << 18, 16
 #: Output rows are handed on in batches of about so many bytes.
@@ -96,10 +94,9 @@ class Mixture:
         return [np.concatenate(x) for x in zip(*parts)]
 
 
-def _queue_names(df: DataFrame, text: str, queue: str) -> list:
-    """The sources with a queue of their own: the largest by bytes of text."""
-    size = F.sum(F.octet_length(F.coalesce(F.col(text), F.lit(""))) + 1)
-    found = df.groupBy(F.col(queue).cast("string").alias("q")).agg(size.alias("n")).orderBy(F.desc("n"), "q").limit(OWN_QUEUES)
+def _queue_names(df: DataFrame, queue: str) -> list:
+    """All sources; each has a queue of its own."""
+    found = df.select(F.col(queue).cast("string").alias("q")).distinct()
     return sorted((row.q for row in found.collect()), key=lambda q: (q is not None, q))
 
 
@@ -117,13 +114,12 @@ def pack(
 
     A document is the ids of its whole text (null: none) and then ``end_id``, so an empty one is a piece of one token.
     ``targets`` are the wanted token shares per source (those not named weigh 1e-6); by default the shares the tokens
-    have. Shares hold in every window to less than a token per queue until a queue is empty. Null is a source like any
+    have. Every source is a queue, however many there are; a window costs time in proportion to them. Shares hold in every window to less than a token per queue until a queue is empty. Null is a source like any
     other. Rows with equal contents are packed each. Only the last sequence may be short. An empty table gives no rows.
 
     Output: the ``keep`` columns, start, length, doc_tokens, sequence_id, offset, ids (little-endian unsigned 32-bit).
     """
-    names = _queue_names(df, text, queue)
-    lane_of, rest = {name: i for i, name in enumerate(names)}, len(names)
+    lane_of = {name: i for i, name in enumerate(_queue_names(df, queue))}
     end = np.array([end_id], "<u4").tobytes()
     taken = [*keep, text]
     lane, ids, n, before, row = (fresh(taken, c) for c in ("_lane", "_ids", "_n", "_before", "_row"))
@@ -131,9 +127,9 @@ def pack(
     rows = df.select(*keep, F.col(queue).cast("string").alias(lane), F.col(text).cast("string").alias(ids))
 
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        served = [0] * (rest + 1)
+        served = [0] * len(lane_of)
         for batch in batches:
-            lanes = [lane_of.get(value, rest) for value in batch.column(lane).to_pylist()]
+            lanes = [lane_of[value] for value in batch.column(lane).to_pylist()]
             out, size, at = [], 0, 0
             for found in encoded(path, batch.column(ids)):
                 out.append(found + end)
@@ -156,7 +152,7 @@ def pack(
     if targets is None:
         shares = [totals[q] for q in lanes]
     else:
-        weight = {lane_of.get(name, rest): share for name, share in targets.items()}
+        weight = {lane_of[name]: share for name, share in targets.items() if name in lane_of}
         shares = [max(weight.get(q, 0.0), 1e-6) for q in lanes]
     shares = [x / sum(shares) for x in shares]
     place = {q: i for i, q in enumerate(lanes)}

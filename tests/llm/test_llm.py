@@ -139,6 +139,21 @@ def test_mixture_keeps_shares_in_every_window():
     assert (served[-1] == totals).all() and (np.diff(served.sum(1))[:-1] <= 100).all()
 
 
+def test_every_source_has_its_share_in_every_window(spark):
+    many = spark.range(1100).selectExpr("id doc_id", "repeat(' one', cast(if(id < 1000, 60, 30) as int)) text", "concat('s', id) source")
+    targets = {f"s{i}": 1.0 + i % 2 for i in range(1100)}
+    for wanted in (None, targets):
+        pieces = packing.pack(many, "text", "source", ["doc_id"], PATH, length=2200, targets=wanted).collect()
+        total, served = Counter(), Counter()
+        for p in pieces:
+            total[p.doc_id] += p.length
+            served[p.doc_id] += p.length if p.sequence_id < 8 else 0
+        weight = total if wanted is None else {i: 1.0 + i % 2 for i in total}
+        for i, n in total.items():
+            ideal = 8 * 2200 * weight[i] / sum(weight.values())
+            assert ideal < n and abs(served[i] - ideal) < 2
+
+
 def brute_fingerprint(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if c.isascii() else c for c in text or ""))
     shingles = [" ".join(words[i : i + 3]) for i in range(len(words) - 2)] or ([" ".join(words)] if words else [])
