@@ -161,7 +161,9 @@ def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 
 def near_duplicates(df: DataFrame, key: str, text: str, words: int = 3, radius: int = RADIUS) -> DataFrame:
-    """Per row: ``key``, ``_digest`` (of key and text), ``_print`` and ``_component``, the smallest key reachable.
+    """Per row: ``key``, ``_digest`` (of key and text), ``_print``, ``_component``, the smallest key reachable, and ``_root``.
+
+    ``_root`` is the root fingerprint of the group, which tells groups apart whatever their keys.
 
     Null and empty texts have fingerprint 0 and are linked like any other; a null key never names a component with
     other keys in it, so a component of null keys only is null. Repeated rows each get a row. Other columns are not
@@ -173,8 +175,8 @@ def near_duplicates(df: DataFrame, key: str, text: str, words: int = 3, radius:
     rooted = prints.join(roots, F.col("_print") == F.col("node"), "left").withColumn("_root", F.coalesce("root", "_print"))
     rooted = store(rooted.select("_print", "_root", "_least"), "print-components")
     least = store(rooted.groupBy("_root").agg(F.min("_least").alias("_component")), "components")
-    named = store(rooted.select("_print", "_root").join(least, "_root").select("_print", "_component"), "named-prints")
-    return rows.join(named, "_print").select(F.col("_key").alias(key), "_digest", "_print", "_component")
+    named = store(rooted.select("_print", "_root").join(least, "_root").select("_print", "_component", "_root"), "named-prints")
+    return rows.join(named, "_print").select(F.col("_key").alias(key), "_digest", "_print", "_component", "_root")
 
 
 def representatives(df: DataFrame, key: str, text: str, words: int = 3, radius: int = RADIUS) -> DataFrame:
@@ -184,10 +186,8 @@ def representatives(df: DataFrame, key: str, text: str, words: int = 3, radius:
     """
     digest = fresh(df.columns, "_row_digest")
     found = store(near_duplicates(df, key, text, words, radius), "near-duplicates")
-    # a component of null keys is told apart by its fingerprint's root no more, so each such print keeps a row
     first = F.min(F.struct(F.col(key).isNull().alias("n"), F.col(key).alias("k"), F.col("_digest").alias("d"))).alias("m")
-    group = [F.col("_component"), F.when(F.col("_component").isNull(), F.col("_print")).alias("p")]
-    chosen = found.groupBy(*group).agg(first).select(F.col("m.d").alias(digest))
+    chosen = found.groupBy("_root").agg(first).select(F.col("m.d").alias(digest))
     counts = found.groupBy(F.col("_digest").alias(digest)).agg(F.count("*").alias("_n"))
     kept = store(chosen.join(counts, digest), "representatives")
     rows = df.withColumn(digest, row_key(key, text))

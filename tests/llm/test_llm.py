@@ -191,6 +191,17 @@ def test_near_duplicates_of_awkward_tables(spark):
     assert simhash.representatives(nothing(spark), "doc_id", "text").count() == 0
 
 
+def test_groups_that_share_an_id_or_have_none_keep_a_row_each(spark):
+    one, two = "red green blue cyan", "dog cat bird fish"
+    rows = spark.createDataFrame([(1, one), (1, two), (2, one + " "), (3, two + " ")], "doc_id long, text string")
+    assert sorted((r.doc_id, r.text) for r in simhash.representatives(rows, "doc_id", "text").collect()) == [(1, two), (1, one)]
+    assert simhash.representatives(rows.withColumn("doc_id", F.lit(None).cast("long")), "doc_id", "text").count() == 2
+    pairs = ([" ".join([*(f"w{i}" for i in range(n)), f"x{k}"]) for k in range(2)] for n in range(100, 400))
+    a, b = next(p for p in pairs if 0 < (simhash.fingerprint(p[0]) ^ simhash.fingerprint(p[1])).bit_count() <= 2)
+    near = spark.createDataFrame([(None, a), (None, b)], "doc_id long, text string")
+    assert simhash.representatives(near, "doc_id", "text").count() == 1
+
+
 def test_components_of_a_long_path(spark):
     edges = spark.range(200).selectExpr("(id * 37) % 211 a", "((id + 1) * 37) % 211 b").unionByName(spark.createDataFrame([(900, 901), (901, 900), (7, 7)], "a long, b long"))
     roots = {r.node: r.root for r in components(edges).collect()}
