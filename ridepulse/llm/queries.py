@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure, scratch
-from . import oracles, toxicity
+from . import oracles, toxicity, whitening
+from .alignment import align
 from .decontamination import contamination
 from .licenses import scan as license_scan
 from .lm import score
@@ -151,3 +152,22 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
     short = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"\S+")) < 50
     found = license_scan(files, "path", "text", short, covering=0.5)
     return found.select("doc_id", "path", "own_license", "similarity", "license", "source_directory")
+
+
+PIECES = "piece_bpe_32k.model"
+
+
+@query("op11_token_alignment")
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    """Groups and links of two tokenizers over every document, with the corpus counts of the linked id pairs."""
+    return align(table(spark, sf, "documents"), "doc_id", "text", public_tokenizers.path(TOKENIZER), public_tokenizers.path(PIECES))
+
+
+@query("op12_spectrum_whitening")
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    """The leading 32 whitened components of every embedding."""
+    rows = table(spark, sf, "embeddings")
+    model = whitening.fit(rows, "embedding", components=32)
+    white = whitening.whiten(rows, "vec_id", "embedding", model)
+    error = whitening.identity_error(rows, "embedding", model)
+    return white.withColumn("n", F.lit(model.n).cast("long")).withColumn("identity_error", F.lit(error).cast("double"))
