@@ -12,6 +12,7 @@ from ..session import configure, scratch
 from . import oracles, toxicity, whitening
 from .alignment import align
 from .decontamination import contamination
+from .jaccard import jaccard_components
 from .licenses import scan as license_scan
 from .lm import score
 from .packing import pack
@@ -171,3 +172,9 @@ def op12(spark: SparkSession, sf: str) -> DataFrame:
     white = whitening.whiten(rows, "vec_id", "embedding", model)
     error = whitening.identity_error(rows, "embedding", model)
     return white.withColumn("n", F.lit(model.n).cast("long")).withColumn("identity_error", F.lit(error).cast("double"))
+
+
+@query("op13_prefix_tree_join")
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    """Components of documents whose sets of 3-word shingles have a Jaccard similarity of 0.9 or more."""
+    return jaccard_components(table(spark, sf, "documents"), "doc_id", "text", words=3, threshold=90)
