@@ -28,7 +28,7 @@ from .common import store
 from .tokens import SLICE, Encoder, WordCache, groups, slices, word_lists
 
 #: A chunk ends at so many bytes of text; a longer text is cut into parts of about a slice.
-CHUNK = 1 << 22
+CHUNK = 1 << 21
 #: How sentencepiece writes a space (fixed value).
 PIECE_SPACE = "▁"
 
