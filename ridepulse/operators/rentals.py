@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.calendar import rental_duration
+from ..session import settle
 from .joins import spread_join
 from .pings import has_position
 from .ranking import ordinal_by_time
@@ -70,9 +71,10 @@ def summarize(pings: DataFrame) -> DataFrame:
 def reconstruct(pings: DataFrame) -> DataFrame:
     """Completed rentals with battery at start and end and the duration in minutes.
 
-    Messages shrink to one row per rental before anything is joined, so the only wide shuffle is the aggregate's.
+    Messages shrink to one row per rental before anything is joined, so the only wide shuffle is the aggregate's. The
+    rentals are written once, as their newest starts are taken from them too.
     """
-    rentals = summarize(pings)
+    rentals = settle(summarize(pings), "rentals")
     newest = latest_starts(rentals)
     return spread_join(rentals, newest, ["bike_id"], "inner").filter("last_rental_start < open_start").drop("open_start")
 
@@ -98,12 +100,16 @@ def orphans(coordinates: DataFrame, rentals: DataFrame) -> DataFrame:
 
 
 def audit(pings: DataFrame, remaining: DataFrame) -> DataFrame:
-    """Rentals processed, and errors: rentals left over beyond the open ones."""
-    before = count_pending(pings).scalar()
-    left = count_pending(remaining).scalar()
-    return latest_starts(pings).agg(F.count("*").alias("open")).select(
-        (before - F.col("open")).alias("processed"), (left - F.col("open")).alias("errors")
-    )
+    """Rentals processed, and errors: rentals left over beyond the open ones, of which each bike has one.
+
+    One aggregate per rental and one per bike, over the messages before and after.
+    """
+    both = pings.select(*RENTAL_KEY, F.lit(0).alias("_left")).unionByName(remaining.select(*RENTAL_KEY, F.lit(1).alias("_left")))
+    rentals = both.groupBy(*RENTAL_KEY).agg(F.max("_left").alias("_left"))
+    bikes = rentals.groupBy("bike_id").agg(F.count("*").alias("before"), F.sum("_left").alias("left"))
+    totals = bikes.agg(F.count("*").alias("open"), F.sum("before").alias("before"), F.sum("left").alias("left"))
+    counts = {"processed": F.col("before") - F.col("open"), "errors": F.col("left") - F.col("open")}
+    return totals.select(*[F.coalesce(c, F.lit(0)).cast("long").alias(name) for name, c in counts.items()])
 
 
 @dataclass
@@ -115,8 +121,11 @@ class ProcessedBatch:
 
 
 def process_batch(pings: DataFrame) -> ProcessedBatch:
-    """The daily job: completed rentals, their coordinates, the raw rest and the audit row."""
-    completed = completed_pairs(pings)
+    """The daily job: completed rentals, their coordinates, the raw rest and the audit row.
+
+    The keys of the completed rentals are written once for the steps that need them.
+    """
+    completed = settle(completed_pairs(pings), "completed")
     remaining = purge(pings, completed)
     return ProcessedBatch(
         reconstruct(pings), rental_coordinates(pings, completed), remaining, audit(pings, remaining)

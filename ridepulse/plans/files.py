@@ -375,7 +375,7 @@ def run_log(spark, sf):
     from ..session import settle
 
     path = scratch(spark, "run-log")
-    first = process_batch(data.pings(spark, sf))
+    first = process_batch(settle(data.pings(spark, sf), "pings"))
     store.log_run(spark, path, "2024-01-31 06:00:00", first.log)
     left = settle(first.remaining, "remaining")
     store.log_run(spark, path, "2024-02-01 06:00:00", process_batch(left).log)

@@ -200,7 +200,7 @@ def completed_coordinates(spark, sf):
        from ranked_rentals""",
 )
 def processing_audit(spark, sf):
-    return R.process_batch(data.pings(spark, sf)).log
+    return R.process_batch(settle(data.pings(spark, sf), "pings")).log
 
 
 @query(

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
+import pytest
+
+from ridepulse.streaming import open_rentals
 from ridepulse.streaming import telemetry as T
 from ridepulse.streaming.rentals import RentalStore, stream_rentals
 from test_rentals import at, by_hand, frame, ping, rebuilt, skewed
@@ -20,8 +25,87 @@ def test_late_message_rules(spark, tmp_path):
     assert rebuilt(store.rentals) == {(1, at(0)): (90, 80, 10)}, "the rental row stays as it was"
     assert store.coordinates.count() == 3, "the late position is added"
     assert {r.batch_id: r.processed for r in store.log.collect()} == {0: 1, 1: 1}, "and counted again"
-    left = spark.read.parquet(str(tmp_path / "store/raw/batch_id=1")).collect()
-    assert [r.last_rental_start for r in left] == [at(100)], "and purged"
+    assert [r.last_rental_start for r in store.raw.collect()] == [at(100)], "and purged"
+
+
+def test_a_new_checkpoint_adds_to_the_store(spark, tmp_path):
+    store = RentalStore.create(spark, str(tmp_path / "store"))
+    for bike, state in ((1, "a"), (2, "b")):
+        df = messages(spark, [ping(bike, 0, 0), ping(bike, 0, 10), ping(bike, 100, 100)])
+        df.write.parquet(str(tmp_path / f"in{bike}"))
+        stream_rentals(T.message_stream(spark, str(tmp_path / f"in{bike}"), df.schema), store, str(tmp_path / state))
+    assert set(rebuilt(store.rentals)) == {(1, at(0)), (2, at(0))}
+    assert {r.bike_id for r in store.raw.collect()} == {1, 2} and store.coordinates.count() == 4 and store.log.count() == 2
+
+
+def test_a_half_written_batch_is_never_seen(spark, tmp_path, monkeypatch):
+    store = RentalStore.create(spark, str(tmp_path / "store"))
+    store.apply(messages(spark, [ping(1, 0, 0), ping(1, 0, 10), ping(1, 100, 100)]), 0)
+    before = rebuilt(store.rentals), store.raw.count(), store.log.count()
+    second = messages(spark, [ping(1, 100, 130), ping(1, 200, 200)])
+    write = RentalStore._write
+
+    def broken(self, df, table, version, mode="overwrite"):
+        if table == "raw":
+            raise OSError("lost")
+        write(self, df, table, version, mode)
+
+    monkeypatch.setattr(RentalStore, "_write", broken)
+    with pytest.raises(OSError):
+        store.apply(second, 1)
+    assert (rebuilt(store.rentals), store.raw.count(), store.log.count()) == before
+    monkeypatch.setattr(RentalStore, "_write", write)
+    store.apply(second, 1)
+    assert set(rebuilt(store.rentals)) == {(1, at(0)), (1, at(100))} and store.log.count() == 2
+
+
+def test_a_batch_reads_the_days_of_its_rentals_only(spark, tmp_path):
+    store = RentalStore.create(spark, str(tmp_path / "store"))
+    for day in range(4):
+        store.apply(messages(spark, [ping(1, day * 1440, day * 1440), ping(1, day * 1440 + 100, day * 1440 + 100)]), day)
+    days = [at(0).date(), None]
+    found = store.finished_on(days, store.versions())
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "isnull(day" in plan and found.count() == 2
+    scan = next(line for line in plan.splitlines() if "PartitionFilters" in line)
+    assert str(days[0]) in scan or "18718" in scan, scan
+    assert len(found.inputFiles()) <= len(store.rentals.inputFiles())
+
+
+def test_messages_without_a_time_are_stored_once(spark, tmp_path):
+    rows = [(1, None, 5), (2, "2024-01-05 10:00:00", 6)]
+    df = spark.createDataFrame(rows, "bike_id long, t string, battery int").selectExpr("bike_id", "cast(t as timestamp_ntz) last_gps_time", "battery")
+    for _ in range(3):
+        df.write.mode("append").parquet(str(tmp_path / "in"))
+        stream = T.message_stream(spark, str(tmp_path / "in"), df.schema)
+        stored = T.store_unique(stream, ["bike_id", "last_gps_time"], "last_gps_time", str(tmp_path / "out"), str(tmp_path / "state"))
+    assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_rentals_followed_from_open_to_completed(spark, tmp_path):
+    rows = [r for r in skewed(23, 500) if r[2] >= r[1]]
+    done, newest = by_hand(rows), max(r[2] for r in rows)
+    starts = {b: sorted({r[1] for r in rows if r[0] == b}) for b in {r[0] for r in rows}}
+    delay = dt.timedelta(minutes=300)
+    due = {(b, s): v for (b, s), v in done.items() if starts[b][starts[b].index(s) + 1] < newest - delay}
+    rows.sort(key=lambda r: r[2])
+    cuts, source, held = [0, 100, 200, 300, 400, len(rows)], str(tmp_path / "in"), []
+    for a, b in zip(cuts, cuts[1:]):
+        late = [r for r in rows[a:b] if r[2] > rows[b - 1][2] - dt.timedelta(minutes=200) and r[5] == 3] if b < len(rows) else []
+        part = held + [r for r in rows[a:b] if r not in late] + rows[max(0, a - 20) : a]
+        held = late
+        messages(spark, part).repartition(2).write.mode("append").parquet(source)
+        stream = open_rentals.ended_rentals(T.message_stream(spark, source, messages(spark, rows[:1]).schema), "300 minutes")
+        table = T.run_available(stream, str(tmp_path / "out"), str(tmp_path / "state"), open_rentals.CONF)
+    assert rebuilt(table) == due and table.count() == len(due) > 100
+    again = T.run_available(stream, str(tmp_path / "out"), str(tmp_path / "state"), open_rentals.CONF)
+    assert again.count() == len(due), "a restart without new files changes nothing"
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass").endswith("HDFSBackedStateStoreProvider")
+
+
+def test_sightings_merge_in_any_order():
+    a, b = (5, 50, 9, None), (3, None, 7, 70)
+    assert open_rentals.merged(a, b) == open_rentals.merged(b, a) == (3, None, 9, None) == open_rentals.merged(None, (3, None, 9, None))
 
 
 def test_repeated_batch_changes_nothing(spark, tmp_path):
