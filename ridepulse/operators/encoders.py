@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from bisect import bisect_right
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.ordering import DOMAIN_ORDER
 from ..session import settle
+from .ranking import cut_points
 
 # How each predictor enters a model.
 CATEGORICAL = ["timesofday", "dayofweek", "holiday", "peak", "hour", "working_day", "season", "month"]
@@ -19,28 +21,45 @@ NUMERIC = ["rain", "temp", "rhum", "wdsp", "temp_r"]
 ORDINAL = ["wind_speed_group", "rainfall_intensity"]
 
 
+#: Ranges of values whose sums are kept at hand while bins are sought.
+RANGES = 2048
+
+
 def kmeans_edges(df: DataFrame, value: str, bins: int, max_steps: int = 300) -> list[float]:
     """Inner bin edges from one-dimensional k-means that starts at the centres of equal-width bins.
 
-    Steps run over the counts of distinct values; a step brings back one mean per bin.
+    Values are cut into ranges whose counts and sums are fetched once; a step adds them up. Only where an edge falls
+    between two values of one range does a step ask Spark for the sums on both sides. Missing values are left out, and
+    NaN counts as missing; without values, or with equal values alone, all edges are that value.
     """
-    found = df.filter(F.col(value).isNotNull()).groupBy(F.col(value).cast("double").alias("_v")).agg(F.count("*").alias("n"))
+    given = F.col(value).cast("double")
+    found = df.filter(given.isNotNull() & ~F.isnan(given)).groupBy(given.alias("_v")).agg(F.count("*").alias("n"))
     counts = settle(found, "value-counts")
-    low, high = counts.agg(F.min("_v"), F.max("_v")).first()
+    cuts = counts.agg(cut_points(F.col("_v"), RANGES)).first()[0] or []
+    sums = [F.min("_v").alias("lo"), F.max("_v").alias("hi"), F.sum("n").alias("n"), F.sum(F.col("_v") * F.col("n")).alias("s")]
+
+    def by_bin(edges: Sequence[float]) -> list:
+        cut = Bucketizer(splits=[-math.inf, *edges, math.inf], inputCol="_v", outputCol="bin").transform(counts)
+        return cut.groupBy("bin").agg(*sums).orderBy("bin").collect()
+
+    ranges = by_bin(cuts) if cuts else []
+    if not ranges:
+        return []
+    low, high = ranges[0].lo, ranges[-1].hi
+    if low == high:
+        return [low] * (bins - 1)
     width = (high - low) / bins
     centres = [low + width * (i + 0.5) for i in range(bins)]
     for _ in range(max_steps):
         edges = [(a + b) / 2 for a, b in zip(centres, centres[1:])]
-        nearest = Bucketizer(splits=[-math.inf, *edges, math.inf], inputCol="_v", outputCol="bin")
-        means = (
-            nearest.transform(counts)
-            .groupBy("bin")
-            .agg((F.sum(F.col("_v") * F.col("n")) / F.sum("n")).alias("mean"))
-            .collect()
-        )
-        moved = list(centres)
-        for row in means:
-            moved[int(row.bin)] = row.mean
+        parts = ranges
+        if any(r.lo < e <= r.hi for r in ranges for e in edges):
+            parts = by_bin(edges)
+        n, s = [0] * bins, [0.0] * bins
+        for part in parts:
+            at = bisect_right(edges, part.lo)
+            n[at], s[at] = n[at] + part.n, s[at] + part.s
+        moved = [s[i] / n[i] if n[i] else centres[i] for i in range(bins)]
         if max(abs(a - b) for a, b in zip(moved, centres)) < 1e-9:
             break
         centres = sorted(moved)
@@ -120,28 +139,56 @@ def yeo_johnson(value: Column, power: Column | float) -> Column:
     return F.when(value >= 0, positive).otherwise(negative)
 
 
+#: Points of the power that one aggregate tries.
+PROBES = 21
+
+
+def yeo_johnson_likelihood(counts: DataFrame, powers: Column) -> DataFrame:
+    """Log-likelihood per power, over counts ``n`` of values ``v``; minus infinity where the transform overflows.
+
+    Squares are taken around the transform of the mean value, so that a narrow spread far from zero keeps its digits.
+    """
+    v, n, power = F.col("v"), F.col("n"), F.col("power")
+    middle = counts.agg(F.sum(v * n) / F.sum(n)).scalar()
+    tried = counts.withColumn("_middle", middle).withColumn("power", F.explode(powers))
+    tried = tried.withColumn("t", yeo_johnson(v, power) - yeo_johnson(F.col("_middle"), power))
+    sums = tried.groupBy("power").agg(
+        F.sum(n).alias("n"),
+        F.sum(n * F.signum(v) * F.log1p(F.abs(v))).alias("jacobian"),
+        (F.sum(n * F.col("t")) / F.sum(n)).alias("mean"),
+        (F.sum(n * F.col("t") * F.col("t")) / F.sum(n)).alias("square"),
+    )
+    variance = F.col("square") - F.col("mean") ** 2
+    score = -F.col("n") / 2 * F.log(variance) + (power - 1) * F.col("jacobian")
+    finite = (variance > 0) & (variance < F.lit(math.inf))
+    return sums.select("power", F.when(finite, score).otherwise(F.lit(-math.inf)).alias("score"))
+
+
 def yeo_johnson_power(df: DataFrame, value: str, low: float = -2.0, high: float = 2.0, tolerance: float = 5e-6) -> float:
-    """Power of the largest likelihood, by a grid that narrows around its best point to the tolerance.
+    """Power of the largest likelihood: the bracket grows until its best point is inside, and then narrows around it.
 
-    A round is one aggregate per grid point over the counts of distinct values.
+    A round is one aggregate over the counts of distinct values, for all points it tries. Missing values are left out;
+    values that are all equal, or none, keep the power 1. Raises where the likelihood still rises at a power of a million.
     """
-    found = df.filter(F.col(value).isNotNull()).groupBy(F.col(value).cast("double").alias("v")).agg(F.count("*").alias("n"))
+    given = F.col(value).cast("double")
+    found = df.filter(given.isNotNull() & ~F.isnan(given)).groupBy(given.alias("v")).agg(F.count("*").alias("n"))
     counts = settle(found, "value-counts")
-    v, n = F.col("v"), F.col("n")
-    best = 1.0
-    while high - low > tolerance:
-        grid = F.transform(F.sequence(F.lit(0), F.lit(20)), lambda i: F.lit(low) + F.lit((high - low) / 20) * i)
-        tried = counts.withColumn("power", F.explode(grid)).withColumn("t", yeo_johnson(v, F.col("power")))
-        sums = tried.groupBy("power").agg(
-            F.sum(n).alias("n"),
-            F.sum(n * F.signum(v) * F.log1p(F.abs(v))).alias("jacobian"),
-            (F.sum(n * F.col("t")) / F.sum(n)).alias("mean"),
-            (F.sum(n * F.col("t") * F.col("t")) / F.sum(n)).alias("square"),
-        )
-        variance = F.greatest(F.col("square") - F.col("mean") ** 2, F.lit(1e-300))
-        score = -F.col("n") / 2 * F.log(variance) + (F.col("power") - 1) * F.col("jacobian")
-        best = sums.select("power", score.alias("score")).orderBy(F.col("score").desc(), "power").first().power
-        low, high = best - (high - low) / 20, best + (high - low) / 20
+    if len(counts.limit(2).collect()) < 2:
+        return 1.0
+    bracketed = False
+    while not bracketed or high - low > tolerance:
+        width = high - low
+        grid = [low + width / (PROBES - 1) * i for i in range(PROBES)]
+        scores = {r.power: r.score for r in yeo_johnson_likelihood(counts, F.array(*map(F.lit, grid))).collect()}
+        at = max(range(PROBES), key=lambda i: (scores[grid[i]], -i))
+        if at in (0, PROBES - 1) and not bracketed:
+            if width > 1e6:
+                raise ArithmeticError(f"the likelihood still rises at a power of {grid[at]}")
+            low, high = (low - 2 * width, low + width) if at == 0 else (high - width, high + 2 * width)
+            continue
+        bracketed = True
+        best, step = grid[at], width / (PROBES - 1)
+        low, high = best - step, best + step
     return best
 
 

@@ -44,14 +44,22 @@ class Design:
         return ["Intercept", *dummies, *self.numeric]
 
     def columns(self) -> list[Column]:
+        """The design of a row; a missing level or number is a null, not the base level."""
         dummies = [
-            F.when(F.col(f).cast("string") == level, 1.0).otherwise(0.0)
+            F.when(F.col(f).isNotNull(), F.when(F.col(f).cast("string") == level, 1.0).otherwise(0.0))
             for f, levels in self.levels.items()
             for level in levels[1:]
         ]
         return [F.lit(1.0), *dummies, *[F.col(c).cast("double") for c in self.numeric]]
 
 
+def complete(df: DataFrame, target: str, numeric: Sequence[str] = (), factors: Sequence[str] = ()) -> DataFrame:
+    """Rows whose target and predictors are all there; a NaN counts as missing."""
+    numbers = [F.col(c).cast("double") for c in (target, *numeric)]
+    there = [c.isNotNull() & ~F.isnan(c) for c in numbers] + [F.col(f).isNotNull() for f in factors]
+    return df.filter(reduce(lambda a, b: a & b, there))
+
+
 def _dot(xs: Sequence[Column], weights: Sequence[float]) -> Column:
     """The weighted sum as a tree, which stays shallow for wide designs."""
     terms = [x * F.lit(float(b)) for x, b in zip(xs, weights)]
@@ -106,6 +114,8 @@ class Fit:
     n: int
     scale: float
     iterations: int
+    #: Rows left out of the fit because the target or a predictor is missing.
+    dropped: int = 0
 
     def _mean(self, xs: Sequence[Column]) -> Column:
         eta = _dot(xs, self.beta)
@@ -138,11 +148,12 @@ class Fit:
 
         @F.pandas_udf("double")
         def form(x: pd.Series) -> pd.Series:
-            rows = np.stack(x.to_numpy()) if len(x) else np.zeros((0, p))
+            rows = np.array(x.tolist(), float).reshape(len(x), p)
             return pd.Series(((rows @ inverse) * rows).sum(1))
 
         mu, h = F.col("fitted"), F.col("leverage")
-        out = self.predict(df).withColumn("leverage", self._weight(mu) * form(F.array(*xs)))
+        leverage = self._weight(mu) * form(F.array(*xs))
+        out = self.predict(df).withColumn("leverage", F.when(mu.isNotNull(), leverage))
         pearson = F.col("residual") / F.sqrt(self._variance(mu) * F.lit(self.scale))
         out = out.withColumn("studentized", F.when(h < 1, pearson / F.sqrt(1 - h)))
         return out.withColumn("cooks", F.when(h < 1, F.col("studentized") ** 2 / p * h / (1 - h)))
@@ -151,7 +162,8 @@ class Fit:
         """Per design column its total and the mean score, which is zero where the likelihood is largest."""
         mu = F.col("fitted")
         share = F.col("residual") / (1 + F.lit(self.alpha) * mu) if self.family == "negative_binomial" else F.col("residual")
-        parts = self.predict(df).select(F.posexplode(F.array(*self.design.columns())), share.alias("_share"))
+        rows = complete(df, self.target, self.design.numeric, list(self.design.levels))
+        parts = self.predict(rows).select(F.posexplode(F.array(*self.design.columns())), share.alias("_share"))
         names = F.array(*[F.lit(name) for name in self.design.names])
         return parts.groupBy("pos").agg(F.sum("col").alias("total"), F.avg(F.col("col") * F.col("_share")).alias("score")).select(
             F.get(names, F.col("pos")).alias("term"), "total", "score"
@@ -160,6 +172,7 @@ class Fit:
     def information(self, df: DataFrame) -> DataFrame:
         """Log-likelihood, AIC, and BIC in the likelihood and the deviance form."""
         y, mu, a = F.col(self.target).cast("double"), F.col("fitted"), F.lit(self.alpha)
+        df = complete(df, self.target, self.design.numeric, list(self.design.levels))
         rows, p = self.predict(df), len(self.beta)
         if self.family == "negative_binomial":
             r = 1 / self.alpha
@@ -196,29 +209,37 @@ def fit(
     tolerance: float = 1e-10,
     max_steps: int = 50,
 ) -> Fit:
-    """Fit by iterated weighted least squares; the Gaussian family takes a single step."""
-    design = Design.of(df, numeric, factors)
+    """Fit by iterated weighted least squares; the Gaussian family takes a single step.
+
+    Rows with a missing target or predictor are left out and counted in ``dropped``. Raises where the fit does not
+    settle, and where no row is complete.
+    """
+    kept = complete(df, target, numeric, factors)
+    design = Design.of(kept, numeric, factors)
     p = len(design.names)
     y = F.col(target).cast("double")
-    found = df.groupBy(*design.inputs).agg(F.count("*").alias("n"), F.sum(y).alias("sy"), F.sum(y * y).alias("syy"))
+    found = kept.groupBy(*design.inputs).agg(F.count("*").alias("n"), F.sum(y).alias("sy"), F.sum(y * y).alias("syy"))
     cells = settle(found.select("n", "sy", "syy", F.array(*design.columns()).alias("x")), "cells")
     n, total = cells.agg(F.sum("n"), F.sum("sy")).first()
+    if not n:
+        raise ValueError("no complete rows to fit")
     if family == "gaussian":
         matrix, right = _sums(cells, p, lambda x, n, sy, syy: (n, sy))
         beta, steps = np.linalg.solve(matrix, right), 1
     else:
         beta, steps, moved = np.zeros(p), 0, math.inf
         beta[0] = math.log(total / n)
-        while moved > tolerance and steps < max_steps:
+        while not moved <= tolerance and steps < max_steps:
             matrix, right = _sums(cells, p, _log_link_step(beta, alpha))
             new = np.linalg.solve(matrix, right)
             moved, beta, steps = float(np.max(np.abs(new - beta))), new, steps + 1
-        if moved > tolerance:
+        if not moved <= tolerance:
             raise RuntimeError(f"the fit still moves by {moved} after {max_steps} steps")
     inverse = np.linalg.inv(matrix)
     spread, score = _sums(cells, p, _squared_scores(beta, inverse, family, alpha))
     scale = score[0] / (n - p) if family == "gaussian" else 1.0
-    return Fit(design, target, family, alpha, beta, inverse * scale, inverse @ spread @ inverse, n, scale, steps)
+    dropped = df.count() - n
+    return Fit(design, target, family, alpha, beta, inverse * scale, inverse @ spread @ inverse, n, scale, steps, dropped)
 
 
 def _log_link_step(beta: np.ndarray, alpha: float) -> Weigh:

@@ -2,21 +2,24 @@
 
 from __future__ import annotations
 
+import random
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from math import gcd
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.weather import is_high_demand, round_half_away
+from ..session import settle
 from .encoders import hash_draw, preprocessor, with_fold
 from .features import forecast_features
-from .ranking import buckets_for, ordinal_shuffled
+from .ranking import BUCKET_ROWS, ordinal_shuffled
 
 TARGET = "demand"
 WEATHER = ["temp", "rhum", "wdsp", "rain"]
@@ -149,20 +152,85 @@ def grid_search(
     return search.fit(ready)
 
 
+def patient_length(losses: Sequence[float], patience: int) -> tuple[int, bool]:
+    """Rounds to keep: up to the least loss before ``patience`` rounds bring no gain; and whether that point was seen."""
+    best = 0
+    for at, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = at
+        elif at - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
+def fit_patiently(
+    train: DataFrame, held_out: DataFrame, rounds: int = 5000, patience: int = 30, first: int = 48, **params
+) -> tuple[GBTRegressionModel, int]:
+    """Boosted trees and the number of rounds to keep by the loss on the held-out rows.
+
+    Every round of a fit is scored in one pass over the held-out rows. Where ``patience`` rounds without gain were not
+    seen, the fit is made again with twice the rounds: the same seed grows the same trees first.
+    """
+    length = min(max(first, patience + 1), rounds)
+    while True:
+        model = boosted(length, **params).fit(train)
+        keep, seen = patient_length(model.evaluateEachIteration(held_out, "squared"), patience)
+        if seen or length == rounds:
+            return model, keep
+        length = min(2 * length, rounds)
+
+
 def kfold_scores(df: DataFrame, predictors: Sequence[str], key: Column, folds: int = 3, **params) -> DataFrame:
-    """Mean RMSE and MAE over folds; each fold's held-out rows also stop its boosting early."""
-    cut = with_fold(df, hash_draw(key, 2022, folds), folds)
-    parts = []
+    """Per fold: rounds kept by patience on its held-out rows, and RMSE and MAE of those rounds on both parts."""
+    cut, found = with_fold(df, hash_draw(key, 2022, folds), folds), []
     for fold in range(folds):
-        flagged = cut.withColumn("held_out", F.col("fold") == fold)
-        train = flagged.filter(~F.col("held_out"))
-        ready = preprocessor(train, predictors).fit(train).transform(flagged)
-        scored = metrics(boosted(validation="held_out", **params).fit(ready).transform(ready), ["held_out"])
-        parts.append(scored.withColumn("fold", F.lit(fold)))
-    scores = reduce(DataFrame.unionByName, parts)
-    part = F.when(F.col("held_out"), "validation").otherwise("train")
-    means = scores.groupBy(part.alias("part")).agg(F.avg("rmse").alias("rmse"), F.avg("mae").alias("mae"))
-    return score_table(means.withColumn("model", F.lit(f"boosted trees, {folds} folds")))
+        train, held_out = cut.filter(F.col("fold") != fold), cut.filter(F.col("fold") == fold)
+        ready = preprocessor(train, predictors).fit(train)
+        train, held_out = (settle(ready.transform(part).select("features", TARGET), "fold") for part in (train, held_out))
+        model, keep = fit_patiently(train, held_out, **params)
+        errors = [
+            float(model.evaluateEachIteration(part, loss)[keep - 1]) for loss in ("squared", "absolute") for part in (train, held_out)
+        ]
+        found.append((fold, keep, errors[0] ** 0.5, errors[1] ** 0.5, errors[2], errors[3]))
+    names = "fold int, rounds_kept int, rmse_train double, rmse_validation double, mae_train double, mae_validation double"
+    return df.sparkSession.createDataFrame(found, names)
+
+
+def mean_over_folds(scores: DataFrame, model: str) -> DataFrame:
+    """Fold scores as one row per metric, in the form of ``score_table``."""
+    parts = [
+        scores.agg(F.avg(f"rmse_{part}").alias("rmse"), F.avg(f"mae_{part}").alias("mae")).withColumn("part", F.lit(part))
+        for part in ("train", "validation")
+    ]
+    return score_table(reduce(DataFrame.unionByName, parts).withColumn("model", F.lit(model)))
+
+
+def bijection(at: Column, rows: int, seed: int) -> Column:
+    """Another position for each of the positions 0 to ``rows`` - 1, no two the same, by arithmetic alone.
+
+    Multiplication by a number without a factor in common with ``rows``, and a shift, are one-to-one on the remainders.
+    """
+    draw = random.Random(seed)
+    factor = next(f for f in iter(lambda: draw.randrange(1, rows + 1), None) if gcd(f, rows) == 1)
+    shift = draw.randrange(rows)
+    wide = "decimal(38,0)" if rows > 1 << 31 else "long"
+    return F.pmod(at.cast(wide) * F.lit(factor).cast(wide) + F.lit(shift).cast(wide), F.lit(rows).cast(wide)).cast("long")
+
+
+def with_donors(df: DataFrame, columns: Sequence[str], key: Sequence[Column], repeats: int) -> DataFrame:
+    """Every row ``repeats`` times, each with the columns of another row as ``_other_<column>``; every row lends once a repeat.
+
+    Rows are numbered once, in a pseudo-random order of their key, and the numbering is written; a repeat then names each
+    row's donor by arithmetic and finds it by one equi-join.
+    """
+    rows = df.count()
+    if not rows:
+        return df.withColumn("_repeat", F.lit(0)).withColumns({f"_other_{c}": F.col(c) for c in columns})
+    numbered = settle(ordinal_shuffled(df, key, 2022, "_at", rows // BUCKET_ROWS + 1), "numbered")
+    numbered = numbered.withColumn("_at", F.col("_at") - 1)
+    donors = numbered.select(F.col("_at").alias("_donor"), *[F.col(c).alias(f"_other_{c}") for c in columns])
+    named = [F.struct(F.lit(k).alias("_repeat"), bijection(F.col("_at"), rows, k).alias("_donor")) for k in range(repeats)]
+    return numbered.select("*", F.inline(F.array(*named))).join(donors, "_donor").drop("_at", "_donor")
 
 
 def permutation_importance(
@@ -170,27 +238,19 @@ def permutation_importance(
 ) -> DataFrame:
     """Mean rise of the RMSE when one predictor is shuffled over the rows.
 
-    Rows are numbered in two independent pseudo-random orders, and row i of the first lends its predictors to
-    row i of the second: one equi-join per repeat serves all predictors.
+    The rows without a shuffle are scored once; one join with the donors serves all predictors and repeats.
     """
     base = df.select(*predictors, TARGET, *[k.alias(f"_k{i}") for i, k in enumerate(key)])
-    keys = [F.col(f"_k{i}") for i in range(len(key))]
-    buckets, runs = buckets_for(base), []
-    for repeat in range(repeats):
-        rows = ordinal_shuffled(base, keys, 2 * repeat, "_at", buckets)
-        donors = ordinal_shuffled(base, keys, 2 * repeat + 1, "_at", buckets)
-        donors = donors.select("_at", *[F.col(c).alias(f"_other_{c}") for c in predictors])
-        runs.append(rows.join(donors, "_at").withColumn("_repeat", F.lit(repeat)))
-    mixed = reduce(DataFrame.unionByName, runs)
-    options = [F.struct(F.lit("").alias("_swap"), *[F.col(c) for c in predictors])]
+    mixed = with_donors(base, predictors, [F.col(f"_k{i}") for i in range(len(key))], repeats)
+    options = []
     for swapped in predictors:
         values = [F.col(f"_other_{c}").alias(c) if c == swapped else F.col(c) for c in predictors]
         options.append(F.struct(F.lit(swapped).alias("_swap"), *values))
     variants = mixed.select("_repeat", TARGET, F.inline(F.array(*options)))
-    scores = metrics(model.transform(variants), ["_repeat", "_swap"]).select("_repeat", "_swap", "rmse")
-    plain = scores.filter("_swap = ''").select("_repeat", F.col("rmse").alias("plain"))
-    rise = scores.filter("_swap <> ''").join(plain, "_repeat")
-    return rise.groupBy(F.col("_swap").alias("predictor")).agg(F.avg(F.col("rmse") - F.col("plain")).alias("importance"))
+    scores = metrics(model.transform(variants), ["_repeat", "_swap"])
+    plain = metrics(model.transform(base)).select("rmse").scalar()
+    rise = F.avg("rmse") - F.first(plain)
+    return scores.groupBy(F.col("_swap").alias("predictor")).agg(rise.alias("importance"))
 
 
 def actual_and_predicted(predicted: DataFrame) -> DataFrame:

@@ -105,24 +105,51 @@ def running_total(counts: DataFrame, value: str, n: str, name: str = "upto", key
     )
 
 
+#: Ranges that a key's values are cut into to find the ranks of its percentiles.
+CUTS = 64
+
+
+def cut_points(value: Column, cuts: int) -> Column:
+    """Aggregate: values that cut the rows into about equal parts, rising. The sketch behind it has a bounded size."""
+    sketch = F.kll_sketch_agg_double(value.cast("double"), F.lit(800))
+    return F.array_distinct(F.kll_sketch_get_quantile_double(sketch, F.array(*[F.lit(i / cuts) for i in range(1, cuts)])))
+
+
 def exact_percentiles(
     counts: DataFrame, value: str, n: str, probs: Sequence[float], names: Sequence[str], keys: Sequence[str] = ()
 ) -> DataFrame:
-    """Interpolated percentiles per key from value counts, by rank: no task holds the values of a key.
+    """Interpolated percentiles per key from value counts, by rank, with no sort of all values.
 
-    Unknown values have no rank. Keys without a known value are left out; without keys that is one row of nulls.
+    A sketch of the values cuts each key into ranges, rows are counted per range, and only the ranges that hold a wanted
+    rank are ranked. The sketch decides where the cuts lie and nothing else, so the result is exact. Unknown values have no
+    rank. Keys without a known value are left out; without keys that is one row of nulls.
     """
-    known = counts.filter(F.col(value).isNotNull())
-    ranked = running_total(known, value, n, "_upto", keys)
-    total = known.groupBy(*keys).agg(F.sum(n).alias("_total"))
-    rows = spread_join(ranked, total, keys, "inner") if keys else ranked.withColumn("_total", total.scalar())
+    known, v = counts.filter(F.col(value).isNotNull()), F.col(value)
+    spans = known.groupBy(*keys).agg(cut_points(v, CUTS).alias("_cuts"), F.sum(n).alias("_total"))
+    if keys:
+        rows = spread_join(known, spans, keys, "inner")
+    else:
+        rows = known.withColumn("_span", spans.select(F.struct("_cuts", "_total")).scalar()).select("*", "_span.*").drop("_span")
+    # NaN is above every number here, as it is in an order
+    rows = rows.withColumn("_range", F.size(F.filter("_cuts", lambda cut: cut < v.cast("double")))).drop("_cuts")
+    group = [F.col(k) for k in keys] or [F.lit(0)]
+    before = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sums = rows.groupBy(*keys, "_range").agg(F.sum(n).alias("_n"), F.max("_total").alias("_total"))
+    sums = sums.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
     at = [F.lit(float(p)) * (F.col("_total") - 1) for p in probs]
-
-    def ranks(place: Column, i: int) -> list[Column]:
-        low, high = F.floor(place), F.ceil(place)
-        return [F.min(F.when(F.col("_upto") > rank, F.col(value))).alias(f"_{side}{i}") for side, rank in (("lo", low), ("hi", high))]
-
-    found = rows.groupBy(*keys).agg(F.max("_total").alias("_total"), *[c for i, place in enumerate(at) for c in ranks(place, i)])
+    wanted = [rank for place in at for rank in (F.floor(place), F.ceil(place))]
+    held = [(F.col("_before") <= rank) & (rank < F.col("_before") + F.col("_n")) for rank in wanted]
+    ranges = sums.filter(F.exists(F.array(*held), lambda hit: hit)).select(*keys, "_range", "_before")
+    inside = Window.partitionBy(*keys, "_range").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = spread_join(rows, ranges, [*keys, "_range"], "inner").withColumn("_upto", F.sum(n).over(inside) + F.col("_before"))
+
+    # the first value that reaches a rank, in the range that holds it
+    firsts = [
+        F.min(F.when((F.col("_before") <= rank) & (F.col("_upto") > rank), v)).alias(f"_{side}{i}")
+        for i, place in enumerate(at)
+        for side, rank in (("lo", F.floor(place)), ("hi", F.ceil(place)))
+    ]
+    found = ranked.groupBy(*keys).agg(F.max("_total").alias("_total"), *firsts)
     between = [
         (F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * (place - F.floor(place))).cast("double").alias(name)
         for i, (place, name) in enumerate(zip(at, names))

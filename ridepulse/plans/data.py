@@ -17,8 +17,8 @@ from .oracle import BINS, TRAIN
 GAP_SECONDS = 6 * 3600
 # Holiday days of the year.
 HOLIDAY_DAYS = {(1, 1): "New Year", (3, 17): "Patron Day", (12, 25): "Christmas Day", (12, 26): "Second Christmas Day"}
-# The years any of the dates can have; a few days each.
-HOLIDAY_YEARS = (1900, 2199)
+# All years that a date can have; four days each.
+HOLIDAY_YEARS = (1, 9999)
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:

@@ -6,12 +6,14 @@ from pyspark.sql import functions as F
 
 from ..operators import kpis as K
 from ..operators import pings as P
+from ..operators.features import calendar
 from ..session import scratch
 from ..sources import files as S
 from ..sources import store
 from ..streaming.landing import ingest_new_files
 from . import data
 from .catalog import query
+from .oracle import SEASON, WEEKDAY
 
 
 def degrees(column):
@@ -232,6 +234,21 @@ def holiday_feed(spark, sf):
     return S.read_holiday_feed(spark, path, multi_line=False)
 
 
+@query(
+    "F21_calendar_from_feed",
+    f"""select date, {WEEKDAY} as dayofweek, date in (select date from ({HOLIDAYS})) as holiday,
+        isodow(date) < 6 and date not in (select date from ({HOLIDAYS})) as working_day, {SEASON} as season
+        from (select cast(unnest(generate_series(a, b - 1, interval 1 day)) as date) as date from
+        (select cast(min(o_orderdate) as date) as a, cast(max(o_orderdate) as date) as b from orders))""",
+)
+def calendar_from_feed(spark, sf):
+    """The calendar with the holidays of the feed's file, whatever days they are."""
+    span = data.table(spark, sf, "orders").agg(
+        F.to_date(F.min("o_orderdate")).alias("first_day"), F.to_date(F.max("o_orderdate")).alias("end_day")
+    )
+    return calendar(span, holidays_json(spark, sf))
+
+
 def forecast_files(spark, sf):
     """A forecast document: the state of every hour, and the rain of every hour but those at 2."""
     path = scratch(spark, "forecast-xml")

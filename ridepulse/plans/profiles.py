@@ -367,8 +367,8 @@ def partial_autocorrelation(spark, sf):
 
 # The factors that are tested.
 KW_FACTORS = [
-    "season", "hour", "holiday", "working_day", "peak", "timesofday", "rainfall_intensity", "dayofweek",
-    "wind_speed_group", "temp_bin", "rhum_bin", "month",
+    "season", "hour", "holiday", "working_day", "peak", "timesofday", "rainfall_intensity", "dayofweek", "temp_bin",
+    "rhum_bin", "wind_speed_group", "wind_bft",
 ]
 
 _RANKED = "(select *, (cum - (t - 1) / 2e0) as rk from (select f.*, t, cum from binned f join (select demand, t, sum(t) over (order by demand) as cum from (select demand, count(*) as t from fact group by 1)) r on f.demand = r.demand))"

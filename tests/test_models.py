@@ -42,3 +42,34 @@ def test_forecast_has_fifteen_rounded_hours(spark, sf):
     rows = found.collect()
     assert len(rows) == 15 and found.schema["Predicted Demand"].dataType.simpleString() == "int"
     assert [r["High Demand"] for r in rows] == [r["Predicted Demand"] > 8 for r in rows]
+
+
+def test_patience_keeps_the_best_prefix():
+    assert M.patient_length([5, 4, 3, 3.5, 3.2, 3.1], 3) == (3, True)
+    assert M.patient_length([5, 4, 3, 3.5, 3.2, 2.9], 4) == (6, False)
+    assert M.patient_length([1, 2, 3], 5) == (1, False)
+
+
+def test_patient_fit_stops_where_the_held_out_rows_say(rows):
+    known = rows.withColumn("demand", (F.col("hour") % 5).cast("double"))
+    ready = M.preprocessor(known, ["hour", "temp"]).fit(known).transform(known).select("features", M.TARGET, "k")
+    train, held_out = ready.filter("k % 3 <> 0").cache(), ready.filter("k % 3 = 0").cache()
+    model, keep = M.fit_patiently(train, held_out, rounds=12, patience=2, first=4, depth=2, rate=0.9)
+    losses = model.evaluateEachIteration(held_out, "squared")
+    assert keep == M.patient_length(losses, 2)[0] and losses[keep - 1] <= min(losses[:keep])
+
+
+def test_every_row_lends_once_a_repeat(rows):
+    few = rows.select("k", "temp").limit(997)
+    lent = M.with_donors(few, ["k", "temp"], [F.col("k")], 3).groupBy("_repeat").agg(
+        F.count("*").alias("n"), F.count_distinct("_other_k").alias("donors"), F.count_if(F.col("k") == F.col("_other_k")).alias("own")
+    )
+    assert all(r.n == r.donors == 997 and r.own < 20 for r in lent.collect()) and lent.count() == 3
+    assert M.with_donors(few.filter("false"), ["temp"], [F.col("k")], 2).count() == 0
+
+
+@pytest.mark.parametrize("n", [1, 2, 12, 30, 97, 360])
+def test_bijection_of_positions(spark, n):
+    for seed in range(4):
+        got = [r[0] for r in spark.range(n).select(M.bijection(F.col("id"), n, seed)).collect()]
+        assert sorted(got) == list(range(n))

@@ -151,6 +151,20 @@ def test_yeo_johnson(sample, frame):
         return -n / 2 * math.log(t.var()) + (p - 1) * np.log1p(y).sum()
 
     assert likelihood(power) >= max(likelihood(p) for p in np.linspace(-2, 2, 2001)) - 1e-6
+    spark = frame.sparkSession
+    # exact quantiles of a law whose power is about -4.5: far outside the first bracket
+    normal = [-0.06 + 0.03 * math.sin(i) + 0.0001 * i for i in range(400)]
+    far = [(1 - 4.5 * (0.1 + t)) ** (-1 / 4.5) - 1 for t in normal]
+    found = E.yeo_johnson_power(spark.createDataFrame([(v,) for v in far], "v double"), "v")
+
+    def far_likelihood(p):
+        values = np.array(far)
+        t = ((1 + values) ** p - 1) / p
+        return -len(far) / 2 * math.log(t.var()) + (p - 1) * np.log1p(values).sum()
+
+    assert far_likelihood(found) >= max(far_likelihood(p) for p in np.arange(-12, 12, 0.0503)) - 1e-6 and abs(found) > 2.3
+    for none in ([(None,), (math.nan,)], [(2.0,), (2.0,)]):
+        assert E.yeo_johnson_power(spark.createDataFrame(none, "v double"), "v") == 1.0
     signed = frame.sparkSession.createDataFrame([(-2.0,), (0.0,), (3.0,)], "v double")
     for p in (0.0, 0.5, 2.0):
         got = [r[0] for r in signed.select(E.yeo_johnson(F.col("v"), p)).collect()]
