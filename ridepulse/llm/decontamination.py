@@ -2,8 +2,9 @@
 
 Both sides hash every run of ``GRAM`` words and keep the smallest hash of every ``reach`` neighbouring runs. Any
 ``window`` words that a document shares with an item hold the same hashes on both sides, so they share a kept one:
-no shared window can be missed. Kept hashes are joined, each hit names a diagonal (an offset between document and
-item), and along each diagonal the words themselves are compared, which extends the hits to whole shared spans.
+no shared window can be missed. Kept hashes, each once per text, are joined and name the texts that may hold an item. In
+those alone every window is hashed as a whole and joined with the items' windows; windows that occur are extended to the
+spans they cover. A text has one row per position at most, however often a phrase repeats in it or in the items.
 """
 
 from __future__ import annotations
@@ -32,75 +33,77 @@ def count_words(text: Column) -> Column:
     return F.size(F.array_remove(F.split(F.coalesce(text, F.lit("")), ANY_BETWEEN, -1), "")).cast("long")
 
 
-def fingerprints(words: Column, gram: int, reach: int) -> Column:
-    """Positions and hashes kept by winnowing: the first smallest hash among any ``reach`` neighbours."""
-    if reach == 1:
-        return let(words, lambda w: F.transform(word_grams(w, gram), lambda h, i: F.struct(i.alias("at"), h.alias("hash"))))
+def kept_hashes(words: Column, gram: int, reach: int) -> Column:
+    """The distinct hashes kept by winnowing: the smallest of any ``reach`` neighbouring runs of ``gram`` words."""
 
     def kept(hashes: Column) -> Column:
-        def smallest(h: Column, i: Column) -> Column:
-            return let(F.slice(hashes, i + 1, reach), lambda s: i + F.array_position(s, F.array_min(s)).cast("int") - 1)
-
         starts = F.slice(hashes, 1, F.greatest(F.size(hashes) - (reach - 1), F.lit(0)))
-        return F.transform(F.array_distinct(F.transform(starts, smallest)), lambda i: F.struct(i.alias("at"), F.get(hashes, i).alias("hash")))
+        return F.transform(starts, lambda h, i: F.array_min(F.slice(hashes, i + 1, reach)))
+
+    return F.array_distinct(let(word_grams(words, gram), kept) if reach > 1 else word_grams(words, gram))
+
+
+def _tagged(hashes: Column, n: int) -> Column:
+    """Hashes of runs for items of one length, apart from those of other lengths."""
+    return F.transform(hashes, lambda h: F.xxhash64(F.lit(n), h))
+
+
+def _seeds(words: Column, lengths: list[int], window: int) -> Column:
+    """The hashes that a text has in common with an item of one of the lengths if it holds a window of it."""
+    found = []
+    for n in lengths:
+        gram, reach = (GRAM, n - GRAM + 1) if n == window and n > GRAM else (n, 1)
+        found.append(_tagged(kept_hashes(words, gram, reach), n))
+    return F.concat(*found)
+
+
+def _windows(words: Column, n: int) -> Column:
+    """Every window of ``n`` words: its position, and 96 bits that name it."""
+
+    def at(word: Column, i: Column) -> Column:
+        run = [F.get(words, i + k) for k in range(n)]
+        return F.struct(i.alias("at"), F.xxhash64(*run).alias("h"), F.hash(*run).alias("g"))
 
-    return let(words, lambda w: let(word_grams(w, gram), kept))
+    return F.transform(F.slice(words, 1, F.greatest(F.size(words) - (n - 1), F.lit(0))), at)
 
 
-def _seeds(texts: DataFrame, gram: int, reach: int) -> DataFrame:
-    kept = fingerprints(F.col("words"), gram, reach)
-    return texts.select(*[c for c in texts.columns if c != "words"], F.explode(kept).alias("f")).select(
-        *[c for c in texts.columns if c != "words"], F.col("f.at").alias("at"), F.xxhash64(F.lit(gram), "f.hash").alias("hash")
-    )
+def _all_windows(rows: DataFrame, key: str, lengths: list[int]) -> DataFrame:
+    """(key, n, at, h, g) of every window of each length; ``rows`` has the key, words and, for items, their own length."""
+    own = F.col("n") if "n" in rows.columns else None
+    lists = []
+    for n in lengths:
+        found = _windows(F.col("words"), n) if own is None else F.when(own == n, _windows(F.col("words"), n))
+        lists.append(F.struct(F.lit(n).alias("n"), found.alias("w")))
+    each = rows.select(key, F.inline(F.array(*lists)))
+    return each.select(key, "n", F.inline("w"))
 
 
-def shared_spans(texts: DataFrame, items: DataFrame, window: int = 13) -> DataFrame:
-    """Spans of document words that occur in an item: digest, item, start, end (words, end exclusive).
+def shared_windows(texts: DataFrame, items: DataFrame, window: int = 13) -> tuple[DataFrame, DataFrame]:
+    """Windows of texts that occur in an item (digest, start, end: words, end exclusive), and (digest, item) pairs.
 
-    ``texts`` has digest and text, ``items`` has item and text. A span is at least ``window`` words long, or as long
-    as the whole item if that is shorter. Items without words never match.
+    ``texts`` has digest and text, ``items`` has item and text. A window is ``window`` words long, or as long as the
+    whole item if that is shorter. Items without words never match.
     """
     items = items.select("item", words_of(F.col("text")).alias("words")).filter(F.size("words") > 0).distinct()
     items = store(items.withColumn("n", F.least(F.size("words"), F.lit(window))), "items")
     # at most ``window`` lengths, whatever the size of the benchmark
     lengths = sorted(row.n for row in items.select("n").distinct().collect())
-    docs = texts.select("digest", words_of(F.col("text")).alias("words"))
-    found = []
-    for n in lengths:
-        gram, reach = (GRAM, n - GRAM + 1) if n == window and n > GRAM else (n, 1)
-        own = store(_seeds(items.filter(F.col("n") == n).select("item", "words"), gram, reach), "item-seeds")
-        hits = _seeds(docs, gram, reach).join(own.withColumnRenamed("at", "item_at"), "hash")
-        found.append(hits.select("digest", "item", (F.col("at") - F.col("item_at")).alias("shift")))
-    if not found:
-        return texts.sparkSession.createDataFrame([], "digest binary, item string, start int, end int")
-    diagonals = found[0]
-    for more in found[1:]:
-        diagonals = diagonals.unionByName(more)
-    diagonals = store(diagonals.distinct(), "diagonals")
-    wanted = diagonals.select("digest").distinct()
-    chosen = store(texts.join(wanted, "digest", "left_semi").dropDuplicates(["digest"]), "candidates")
-    bodies = store(chosen.select("digest", words_of(F.col("text")).alias("body")), "candidate-words")
-    lines = diagonals.join(items, "item").join(bodies, "digest")
-    ahead, behind = F.greatest("shift", F.lit(0)), F.greatest(-F.col("shift"), F.lit(0))
-    size = F.least(F.size("body") - ahead, F.size("words") - behind)
-    beside = lines.select(
-        "digest", "item", "n", ahead.alias("ahead"), F.slice("body", ahead + 1, size).alias("a"), F.slice("words", behind + 1, size).alias("b")
-    )
-    return beside.select("digest", "item", "ahead", F.explode(_equal_runs(F.col("a"), F.col("b"), F.col("n"))).alias("run")).select(
-        "digest", "item", (F.col("ahead") + F.col("run.start")).alias("start"), (F.col("ahead") + F.col("run.end")).alias("end")
-    )
-
-
-def _equal_runs(a: Column, b: Column, least: Column) -> Column:
-    """Stretches of at least ``least`` positions at which two arrays of one length agree."""
-    unequal = F.filter(F.transform(F.arrays_zip(a.alias("a"), b.alias("b")), lambda p, i: F.when(p["a"] != p["b"], i)), lambda i: i.isNotNull())
-    edges = F.concat(F.array(F.lit(-1)), unequal, F.array(F.size(a)))
-
-    def between(all_edges: Column) -> Column:
-        ends = F.slice(all_edges, 2, F.size(all_edges) - 1)
-        return F.transform(ends, lambda end, i: F.struct((F.get(all_edges, i) + 1).alias("start"), end.alias("end")))
-
-    return F.filter(let(edges, between), lambda run: run["end"] - run["start"] >= least)
+    if not lengths:
+        none = texts.sparkSession.createDataFrame([], "digest binary, start int, end int")
+        return none, none.select("digest", F.lit("").alias("item"))
+    of_length = [F.when(F.col("n") == n, _seeds(F.col("words"), [n], window)) for n in lengths]
+    wanted = store(items.select(F.explode(F.coalesce(*of_length)).alias("hash")).distinct(), "item-seeds")
+    seeds = texts.select("digest", F.explode(let(words_of(F.col("text")), lambda w: _seeds(w, lengths, window))).alias("hash"))
+    maybe = store(seeds.join(wanted, "hash", "left_semi").select("digest").distinct(), "maybe")
+    chosen = texts.join(maybe, "digest", "left_semi").dropDuplicates(["digest"])
+    bodies = store(chosen.select("digest", words_of(F.col("text")).alias("words")), "candidate-words")
+    of_items = store(_all_windows(items, "item", lengths).select("item", "n", "h", "g").distinct(), "item-windows")
+    name = ["n", "h", "g"]
+    hits = _all_windows(bodies, "digest", lengths).join(of_items.select(*name).distinct(), name, "left_semi")
+    hits = store(hits, "window-hits")
+    pairs = hits.select("digest", *name).distinct().join(of_items, name).select("digest", "item").distinct()
+    spans = hits.select("digest", F.col("at").alias("start"), (F.col("at") + F.col("n")).alias("end")).distinct()
+    return spans, pairs
 
 
 def contamination(df: DataFrame, text: str, benchmark: DataFrame, item: str, item_text: str, window: int = 13) -> DataFrame:
@@ -118,13 +121,12 @@ def contamination(df: DataFrame, text: str, benchmark: DataFrame, item: str, ite
     texts = df.select(address.alias("digest"), F.col(text).alias("text"))
     items = benchmark.select(F.col(item).cast("string").alias("item"), F.col(item_text).alias("text"))
     # an id that is null still has to meet its own words
-    spans = store(shared_spans(texts, items.withColumn("item", F.coalesce(F.concat(F.lit("i"), "item"), F.lit("-"))), window), "spans")
+    spans, pairs = shared_windows(texts, items.withColumn("item", F.coalesce(F.concat(F.lit("i"), "item"), F.lit("-"))), window)
     upto = Window.partitionBy("digest").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
     new_words = F.greatest(F.col("end") - F.greatest("start", F.coalesce(F.max("end").over(upto), F.lit(0))), F.lit(0))
-    hits = spans.withColumn("new_words", new_words).groupBy("digest").agg(
-        F.sum("new_words").alias("n_hit"),
-        F.array_sort(F.collect_set(F.when(F.col("item") != "-", F.substring("item", 2, 1 << 30)))).alias("items"),
-    )
+    words_hit = spans.withColumn("new_words", new_words).groupBy("digest").agg(F.sum("new_words").alias("n_hit"))
+    named = F.array_sort(F.collect_set(F.when(F.col("item") != "-", F.substring("item", 2, 1 << 30)))).alias("items")
+    hits = words_hit.join(pairs.groupBy("digest").agg(named), "digest")
     hits = store(hits.select(F.col("digest").alias(digest), F.col("n_hit").cast("long").alias("n_hit"), "items"), "contamination")
     counted = rows.withColumn(digest, address).withColumn("n_words", count_words(F.col(text)))
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))

@@ -209,11 +209,13 @@ def fit(df: DataFrame, vector: str, components: int = COMPONENTS) -> Fit:
     taken out in whole numbers of any size, so each covariance is exact before its one rounding. Empty vectors count
     as null. No vectors, or vectors that are all equal, have no components. Vectors of different lengths are an error.
     """
-    first = _summed(df, vector, lambda rows: [len(rows), *map(int, rows.sum(0))])
-    n, sums = first.get(0, 0), [first[i] for i in range(1, len(first))]
+    first = _summed(df, vector, lambda rows: [len(rows), rows.size, *map(int, rows.sum(0))])
+    n, sums = first.get(0, 0), [first[i] for i in range(2, len(first))]
     if not n:
         return Fit(0, [], 0.0, np.zeros(0), np.zeros((0, 0)))
     size = len(sums)
+    if first[1] != n * size:
+        raise ValueError("vectors of different lengths")
     centre = np.array([round(s / n) if abs(s) < SAFE else s // n for s in sums], np.int64)
     upper = np.triu_indices(size)
     found = _summed(df, vector, lambda rows: list(map(int, _products(rows - centre)[upper])))
