@@ -249,8 +249,8 @@ def permutation_importance(
     variants = mixed.select("_repeat", TARGET, F.inline(F.array(*options)))
     scores = metrics(model.transform(variants), ["_repeat", "_swap"])
     plain = metrics(model.transform(base)).select("rmse").scalar()
-    rise = F.avg("rmse") - F.first(plain)
-    return scores.groupBy(F.col("_swap").alias("predictor")).agg(rise.alias("importance"))
+    shuffled = scores.groupBy(F.col("_swap").alias("predictor")).agg(F.avg("rmse").alias("_shuffled"))
+    return shuffled.select("predictor", (F.col("_shuffled") - plain).alias("importance"))
 
 
 def actual_and_predicted(predicted: DataFrame) -> DataFrame:

@@ -620,7 +620,7 @@ def linear_many_levels(spark, sf):
 def leverage_many_levels(spark, sf):
     f = data.fact(spark, sf).select("date", "hour", "demand")
     fit = W.fit_wide(f, "demand", factors=["date"], family="gaussian")
-    return rounded(fit.influence(f).select("date", "hour", "leverage"), "leverage").withColumn("leverage", F.round("leverage", 9))
+    return fit.influence(f).select("date", "hour", F.round("leverage", 9).alias("leverage"))
 
 
 @query(
