@@ -109,12 +109,13 @@ def pack(
     length: int = 2048,
     end_id: int = 1,
     targets: Mapping[str, float] | None = None,
+    rest: float | None = None,
 ) -> DataFrame:
     """Pack the tokens of all rows into sequences of ``length``; one output row per piece of a document.
 
     A document is the ids of its whole text (null: none) and then ``end_id``, so an empty one is a piece of one token.
-    ``targets`` are the wanted token shares per source (those not named weigh 1e-6); by default the shares the tokens
-    have. Every source is a queue, however many there are; a window costs time in proportion to them. Shares hold in every window to less than a token per queue until a queue is empty. Null is a source like any
+    ``targets`` are the wanted token shares per source, and ``rest`` the share that all sources not named there have
+    together, dealt by their tokens; a source without a share is an error. By default shares are those of the tokens. Every source is a queue, however many there are; a window costs time in proportion to them. Shares hold in every window to less than a token per queue until a queue is empty. Null is a source like any
     other. Rows with equal contents are packed each. Only the last sequence may be short. An empty table gives no rows.
 
     Output: the ``keep`` columns, start, length, doc_tokens, sequence_id, offset, ids (little-endian unsigned 32-bit).
@@ -153,7 +154,10 @@ def pack(
         shares = [totals[q] for q in lanes]
     else:
         weight = {lane_of[name]: share for name, share in targets.items() if name in lane_of}
-        shares = [max(weight.get(q, 0.0), 1e-6) for q in lanes]
+        others = [q for q in lanes if q not in weight]
+        if others and not rest or any(share <= 0 for share in weight.values()):
+            raise ValueError("every source needs a share above zero; `rest` is the share of those not named")
+        shares = [weight[q] if q in weight else rest * totals[q] / sum(totals[o] for o in others) for q in lanes]
     shares = [x / sum(shares) for x in shares]
     place = {q: i for i, q in enumerate(lanes)}
 

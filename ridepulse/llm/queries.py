@@ -17,7 +17,7 @@ from .licenses import scan as license_scan
 from .lm import score
 from .packing import pack
 from .quality import quality
-from .secrets import RULES, scan, with_findings
+from .secrets import RULES, Ledger, with_findings
 from .sharding import assign_shards, number_in_shards
 from .simhash import near_duplicates
 from .tokenstore import block_starts, read_tokens, write_tokens
@@ -93,9 +93,13 @@ def op4(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("op7_secret_scan", oracles.SECRETS)
 def op7(spark: SparkSession, sf: str) -> DataFrame:
-    """Secrets in every document, found once per distinct text."""
+    """Secrets in every document, which come in two deliveries; texts that the first one held are not scanned again."""
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    rows = with_findings(docs, "text", scan(docs, "text").findings).drop("text")
+    ledger = Ledger(spark, scratch(spark, "secret-ledger"))
+    early = F.crc32(F.encode(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "UTF-8")) % 2 == 0
+    for delivery in (docs.filter(early), docs.filter(~early)):
+        ledger.add(delivery, "text")
+    rows = with_findings(docs, "text", ledger.findings).drop("text")
     marks = F.transform("spans", lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
 
     def count(kind: str) -> Column:
@@ -144,14 +148,13 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
     """The license of every document: its own notice, or that of the nearest directory with a licence file.
 
     Documents are files in a tree that their source and the digits of their id span: document 1234 of src1 is
-    src1/1/2/3/4. A text of which a notice or a licence has at least half the words, however long, is its directory's
-    licence file, and so is any text of fewer than 50 words that has a notice.
+    src1/1/2/3/4. A text of which a notice or a licence has at least half the words, however long or short, is its
+    directory's licence file.
     """
     docs = table(spark, sf, "documents").select("doc_id", "source", "text")
     digits = F.concat_ws("/", F.filter(F.split(F.col("doc_id").cast("string"), ""), lambda c: c != ""))
     files = docs.withColumn("path", F.concat(F.coalesce("source", F.lit("")), F.lit("/"), digits))
-    short = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"\S+")) < 50
-    found = license_scan(files, "path", "text", short, covering=0.5)
+    found = license_scan(files, "path", "text", F.lit(False), covering=0.5)
     return found.select("doc_id", "path", "own_license", "similarity", "license", "source_directory")
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 import hashlib
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import fresh, store
@@ -59,6 +59,8 @@ class Scan:
 
     findings: DataFrame
     ledger: DataFrame
+    new_findings: DataFrame
+    new_entries: DataFrame
 
 
 def scan(
@@ -102,12 +104,44 @@ def scan(
         "blob", F.lit(version).alias("rule_version"), "kind", "rank", "start", "end", F.col("m.hit").alias("hit")
     )
     fresh_findings = store(fresh_findings, "findings")
-    entries = scanned.select("blob", F.lit(version).alias("rule_version"))
+    new_entries = entries = scanned.select("blob", F.lit(version).alias("rule_version"))
+    new_findings = fresh_findings
     if ledger is not None:
         entries = ledger.select("blob", "rule_version").unionByName(entries)
     if findings is not None:
         fresh_findings = findings.unionByName(fresh_findings)
-    return Scan(fresh_findings, entries)
+    return Scan(fresh_findings, entries, new_findings, new_entries)
+
+
+@dataclass(frozen=True)
+class Ledger:
+    """A stored ledger and its findings; every delivery adds what it is the first to hold."""
+
+    spark: SparkSession
+    folder: str
+
+    def _table(self, name: str, schema: str) -> DataFrame:
+        path = f"{self.folder}/{name}"
+        self.spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
+        return self.spark.read.schema(schema).parquet(path)
+
+    @property
+    def entries(self) -> DataFrame:
+        return self._table("ledger", LEDGER)
+
+    @property
+    def findings(self) -> DataFrame:
+        return self._table("findings", FINDING)
+
+    def add(self, delivery: DataFrame, text: str, rules: tuple[Rule, ...] = RULES) -> None:
+        """Scan the blobs of a delivery that no delivery before it held under these rules.
+
+        Findings are stored before their ledger entries: a run that breaks off between the two scans these blobs
+        again, and findings that are stored twice count once.
+        """
+        found = scan(delivery, text, self.entries, rules=rules)
+        found.new_findings.write.mode("append").parquet(f"{self.folder}/findings")
+        found.new_entries.write.mode("append").parquet(f"{self.folder}/ledger")
 
 
 def _matches(rule: Rule) -> Column:

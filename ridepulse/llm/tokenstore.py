@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 from .common import drawn, part_of, part_starts, store
 from .tokens import encoded, encoder
 
-#: The dictionary is trained on so many documents, those with the smallest key hash, and so many characters of each.
+#: The dictionary is trained on so many documents, those with the smallest key hash, and so many characters of each,
+#: from a place that another hash picks.
 SAMPLE_DOCUMENTS, SAMPLE_CHARACTERS = 2000, 4096
 DICTIONARY_BYTES = 64 << 10
 #: A block is closed at so many bytes of frames or documents.
@@ -43,7 +44,8 @@ def _serial(ids: bytes, width: int) -> bytes:
 def train_dictionary(df: DataFrame, key: str, text: str, path: str, end_id: int = 0) -> bytes:
     """A dictionary from a bounded sample; where it is too small to train on, the sample itself serves as one."""
     width, end = width_of(path, end_id), np.array([end_id], "<u4").tobytes()
-    head = F.substring(F.col(text), 1, SAMPLE_CHARACTERS).alias("head")
+    room = F.greatest(F.length(text) - SAMPLE_CHARACTERS, F.lit(0)) + 1
+    head = F.col(text).substr((F.pmod(F.xxhash64(F.lit(1), key), room) + 1).cast("int"), F.lit(SAMPLE_CHARACTERS)).alias("head")
     draw = F.xxhash64(key).alias("draw")
     found = drawn(df, key, SAMPLE_DOCUMENTS).select(draw, head).filter(F.length("head") > 0).orderBy("draw", "head").limit(SAMPLE_DOCUMENTS).collect()
     samples = [_serial(ids + end, width) for ids in encoded(path, pa.array([r["head"] for r in found], pa.string()))]
