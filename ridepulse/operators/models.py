@@ -5,12 +5,14 @@ from __future__ import annotations
 import random
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from itertools import product
 from math import gcd
 
+from pyspark import SparkContext
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression, RandomForestRegressionModel, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -152,6 +154,70 @@ def grid_search(
     return search.fit(ready)
 
 
+def first_trees(model: RandomForestRegressionModel, trees: int) -> RandomForestRegressionModel:
+    """The forest of a fitted forest's first trees."""
+    context = SparkContext._active_spark_context
+    kind, own = context._jvm.org.apache.spark.ml.regression, model._java_obj.trees()
+    part = context._gateway.new_array(kind.DecisionTreeRegressionModel, trees)
+    for i in range(trees):
+        part[i] = own[i]
+    found = RandomForestRegressionModel(kind.RandomForestRegressionModel(model.uid, part, model.numFeatures))
+    return found.setFeaturesCol(model.getFeaturesCol())
+
+
+def nested_errors(model: RandomForestRegressionModel, df: DataFrame, trees: Sequence[int]) -> dict[int, float]:
+    """RMSE of the first trees of one forest, for several numbers of trees, in one pass."""
+    for n in trees:
+        df = first_trees(model, n).setPredictionCol(f"_first_{n}").transform(df)
+    errors = [F.sqrt(F.avg((F.col(TARGET) - F.col(f"_first_{n}")) ** 2)).alias(str(n)) for n in trees]
+    row = df.agg(*errors).first()
+    return {n: row[str(n)] for n in trees}
+
+
+def halving_search(
+    df: DataFrame,
+    predictors: Sequence[str],
+    axes: Mapping[str, Sequence],
+    trees: Sequence[int],
+    key: Column,
+    folds: int = 3,
+    rungs: int = 3,
+    share: int = 3,
+) -> DataFrame:
+    """Every point of a grid (the axes and ``trees``) with the last rung it reached and its cross-validated RMSE there.
+
+    The first rung takes a sample of the rows, each later one ``share`` times as many that include those before, the last
+    one all rows; the best 1/``share`` of the points go on to the next. The points that differ in the number of trees alone
+    come from one fit. Samples and folds follow from a hash of the key. One row per point reaches the driver.
+    """
+    names, sample = list(axes), hash_draw(key, 7, share ** (rungs - 1))
+    stages = preprocessor(df, predictors)
+    ready = with_fold(stages.fit(df).transform(df).withColumn("_sample", sample), hash_draw(key, 2022, folds), folds)
+    ready = settle(ready.select("features", TARGET, "fold", "_sample"), "grid-rows")
+    alive = [(*setting, n) for setting in product(*axes.values()) for n in trees]
+    found: dict[tuple, tuple[int, float]] = {}
+    for rung in range(rungs):
+        rows = ready.filter(F.col("_sample") < share**rung)
+        settings: dict[tuple, list[int]] = {}
+        for *setting, n in alive:
+            settings.setdefault(tuple(setting), []).append(n)
+        for setting, numbers in settings.items():
+            model, errors = forest(max(numbers)), {n: [] for n in numbers}
+            for name, value in zip(names, setting):
+                model.set(model.getParam(name), value)
+            for fold in range(folds):
+                fitted = model.fit(rows.filter(F.col("fold") != fold))
+                for n, rmse in nested_errors(fitted, rows.filter(F.col("fold") == fold), numbers).items():
+                    errors[n].append(rmse)
+            for n in numbers:
+                found[(*setting, n)] = rung, sum(errors[n]) / folds
+        alive = sorted(alive, key=lambda p: (found[p][1], p))[: -(-len(alive) // share)]
+    values = [*axes.values(), trees]
+    kinds = ["int" if isinstance(v[0], int) else "double" if isinstance(v[0], float) else "string" for v in values]
+    fields = ", ".join(f"{name} {kind}" for name, kind in zip([*names, "numTrees"], kinds))
+    return df.sparkSession.createDataFrame([(*point, *score) for point, score in found.items()], f"{fields}, rung int, rmse double")
+
+
 def patient_length(losses: Sequence[float], patience: int) -> tuple[int, bool]:
     """Rounds to keep: up to the least loss before ``patience`` rounds bring no gain; and whether that point was seen."""
     best = 0

@@ -56,10 +56,6 @@ def battery_status(df: DataFrame, battery: str) -> DataFrame:
     return labels.join(shares, "battery_status", "left")
 
 
-def grouped_stats(df: DataFrame, by: Sequence[str], **aggregates: Column) -> DataFrame:
-    return df.groupBy(*by).agg(*[column.alias(name) for name, column in aggregates.items()])
-
-
 def by_each(df: DataFrame, factors: Sequence[str], aggregates: Sequence[Column], fixed: Sequence[str] = ()) -> DataFrame:
     """The same aggregates once per factor from one scan, as rows (factor, level, ...).
 

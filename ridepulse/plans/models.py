@@ -404,6 +404,22 @@ def grid_beats_mean(spark, sf):
     return grid_scores(spark, sf).select("max_depth", "trees", "features", "smallest_leaf", *beside)
 
 
+#: The settings of the halving search; each comes with every number of trees.
+HALVED, TREES = {"maxDepth": [3, 6, 9], "featureSubsetStrategy": ["all", "sqrt"], "minInstancesPerNode": [1, 4]}, [4, 8, 16]
+
+
+def halved_scores(spark, sf):
+    return kept_scores(
+        spark, sf, "halved-scores", lambda: M.halving_search(prepared(spark, sf), M.FORECAST, HALVED, TREES, F.col("k"), folds=2)
+    )
+
+
+@query("M5_halving_search")
+def halving_search(spark, sf):
+    """All 36 points with the rung they reached and their RMSE there; points that differ in trees alone share a fit."""
+    return halved_scores(spark, sf).withColumn("rmse", F.round("rmse", 6))
+
+
 FOLDS = 5
 
 

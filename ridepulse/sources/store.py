@@ -17,10 +17,6 @@ def insert_ignore(existing: DataFrame, incoming: DataFrame, key: Sequence[str],
     return rows.join(existing.select(*key), key, "left_anti")
 
 
-def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    df.write.mode("append").partitionBy(*partition_by).parquet(path)
-
-
 def land_if_absent(df: DataFrame, path: str) -> None:
     """Write a landing folder unless it is there already."""
     df.write.mode("ignore").parquet(path)

@@ -73,3 +73,27 @@ def test_bijection_of_positions(spark, n):
     for seed in range(4):
         got = [r[0] for r in spark.range(n).select(M.bijection(F.col("id"), n, seed)).collect()]
         assert sorted(got) == list(range(n))
+
+
+def test_the_first_trees_of_a_forest(rows):
+    known = rows.withColumn("demand", (F.col("hour") % 5).cast("double"))
+    ready = M.preprocessor(known, ["hour", "temp"]).fit(known).transform(known).select("features", M.TARGET)
+    model = M.forest(6, 4).fit(ready)
+    own = [m.setPredictionCol(f"p{i}").setFeaturesCol("features") for i, m in enumerate(model.trees)]
+    scored = ready
+    for tree in own[:2]:
+        scored = tree.transform(scored)
+    want = scored.agg(F.sqrt(F.avg((F.col(M.TARGET) - (F.col("p0") + F.col("p1")) / 2) ** 2))).first()[0]
+    errors = M.nested_errors(model, ready, [2, 6])
+    assert errors[2] == pytest.approx(want) and errors[6] == pytest.approx(M.metrics(model.transform(ready)).first().rmse)
+
+
+def test_halving_finds_the_best_point_of_the_whole_grid(rows):
+    known = rows.withColumn("demand", (F.col("hour") % 5).cast("double"))
+    axes, trees = {"maxDepth": [1, 2, 6], "minInstancesPerNode": [1, 50]}, [2, 6]
+    one = M.halving_search(known, ["hour", "temp"], axes, trees, F.col("k"), folds=2, rungs=1).collect()
+    halved = M.halving_search(known, ["hour", "temp"], axes, trees, F.col("k"), folds=2, rungs=2).collect()
+    assert len(one) == len(halved) == 12 and sorted(r.rung for r in halved) == [0] * 8 + [1] * 4
+    best = min(one, key=lambda r: r.rmse)
+    last = min((r for r in halved if r.rung == 1), key=lambda r: r.rmse)
+    assert tuple(last)[:3] == tuple(best)[:3] and last.rmse == pytest.approx(best.rmse)
