@@ -1,9 +1,9 @@
 """Quality rules with robust multivariate outliers.
 
 Base rules drop very short and very repetitive texts. The statistics of the others are transformed to a vector, and
-the vectors of each language and source get a minimum-covariance-determinant estimate: from a robust start, the share
-``SUBSET`` of rows with the smallest Mahalanobis distance gives the next mean and covariance, a few times over. Rows
-far from their group's centre are rejected.
+the vectors of each language and source get a minimum-covariance-determinant estimate: from each of two starts, the share
+``SUBSET`` of rows with the smallest Mahalanobis distance gives the next mean and covariance, until no determinant falls
+any more, and the smaller determinant wins. Rows far from their group's centre are rejected.
 
 A step is one aggregate of counts, sums and cross products by group and distance class. No task holds a group, and a
 group's sums are combined before the shuffle, so one source may have most of the rows.
@@ -29,7 +29,8 @@ PARTS = ["x_words", "x_length", "x_symbols", "x_lines", "x_repeat"]
 FLOORS = [0.02, 0.01, 0.01, 0.02, 0.02]
 P = len(PARTS)
 SUBSET = 0.75
-STEPS = 4
+#: More steps than any group takes: a limit that raises.
+MOST_STEPS = 50
 #: A row is rejected beyond this quantile of the squared distance.
 QUANTILE = 0.99
 #: A smaller group is pooled: sources within their language, then languages.
@@ -136,7 +137,7 @@ def _start(rows: DataFrame) -> DataFrame:
     cells = [F.max(F.when(F.col("i") == i, middle)).alias(f"m{i}") for i in range(P)]
     cells += [F.sqrt(F.max(F.when(F.col("i") == i, spread)) ** 2 + f * f).alias(f"l{i}{i}") for i, f in enumerate(FLOORS)]
     zeros = [F.lit(0.0).alias(f"l{i}{j}") for i in range(P) for j in range(i)]
-    return store(found.groupBy("_group").agg(*cells).select("*", *zeros), "quality-start")
+    return store(found.groupBy("_group").agg(*cells).select("*", *zeros).withColumn("log_det", _log_det()), "quality-start")
 
 
 def _distances(rows: DataFrame, estimates: DataFrame) -> DataFrame:
@@ -156,22 +157,26 @@ def _distances(rows: DataFrame, estimates: DataFrame) -> DataFrame:
     return out.withColumn("distance", sum(squares[1:], squares[0])).drop("_g", "_h", *[f"_z{i}" for i in range(P)], *[c for c in estimates.columns if c != "_group"])
 
 
-def _step(rows: DataFrame, estimates: DataFrame) -> DataFrame:
-    """Mean and Cholesky factor from the closest rows of each group."""
-    # eight classes per doubling of the distance
-    near = _distances(rows, estimates).withColumn("_class", F.floor(8 * F.log2(F.greatest("distance", F.lit(1e-9)))))
-    sums = [F.sum(x).alias(f"s{i}") for i, x in enumerate(PARTS)]
-    sums += [F.sum(F.col(PARTS[i]) * F.col(PARTS[j])).alias(f"s{i}{j}") for i in range(P) for j in range(i + 1)]
-    classes = store(near.groupBy("_group", "_class").agg(F.count("*").alias("n"), *sums), "quality-classes")
-    before = F.sum("n").over(Window.partitionBy("_group").orderBy("_class")) - F.col("n")
-    wanted = F.ceil(SUBSET * F.sum("n").over(Window.partitionBy("_group")))
-    kept = classes.withColumn("_before", before).withColumn("_wanted", wanted).filter("_before < _wanted")
-    names = ["n", *[f"s{i}" for i in range(P)], *[f"s{i}{j}" for i in range(P) for j in range(i + 1)]]
-    out = kept.groupBy("_group").agg(*[F.sum(c).alias(c) for c in names])
-    out = out.withColumns({f"m{i}": F.col(f"s{i}") / F.col("n") for i in range(P)})
+#: Sums that an estimate is made of.
+SUMS = ["n", *[f"s{i}" for i in range(P)], *[f"s{i}{j}" for i in range(P) for j in range(i + 1)]]
+#: What an estimate holds: means, a Cholesky factor, and the logarithm of its determinant.
+ESTIMATE = [*[f"m{i}" for i in range(P)], *[f"l{i}{j}" for i in range(P) for j in range(i + 1)], "log_det"]
+
+
+def _sums() -> list[Column]:
+    return [
+        F.count("*").alias("n"),
+        *[F.sum(x).alias(f"s{i}") for i, x in enumerate(PARTS)],
+        *[F.sum(F.col(PARTS[i]) * F.col(PARTS[j])).alias(f"s{i}{j}") for i in range(P) for j in range(i + 1)],
+    ]
+
+
+def _estimate(sums: DataFrame, consistency: float) -> DataFrame:
+    """Mean, Cholesky factor and determinant per group from its sums."""
+    out = sums.withColumns({f"m{i}": F.col(f"s{i}") / F.col("n") for i in range(P)})
     for i in range(P):
         for j in range(i + 1):
-            value = CONSISTENCY * (F.col(f"s{i}{j}") / F.col("n") - F.col(f"m{i}") * F.col(f"m{j}"))
+            value = consistency * (F.col(f"s{i}{j}") / F.col("n") - F.col(f"m{i}") * F.col(f"m{j}"))
             if i == j:
                 value = F.greatest(value, F.lit(0.0)) + FLOORS[i] ** 2
             for k in range(j):
@@ -179,7 +184,54 @@ def _step(rows: DataFrame, estimates: DataFrame) -> DataFrame:
             # rounding may leave a hair less than the floor
             value = F.sqrt(F.greatest(value, F.lit(FLOORS[i] ** 2 / 4))) if i == j else value / F.col(f"l{j}{j}")
             out = out.withColumn(f"l{i}{j}", value)
-    return store(out.select("_group", *[f"m{i}" for i in range(P)], *[f"l{i}{j}" for i in range(P) for j in range(i + 1)]), "quality-estimates")
+    out = out.withColumn("log_det", _log_det())
+    return out.select("_group", *ESTIMATE)
+
+
+def _log_det() -> Column:
+    logs = [2 * F.log(F.col(f"l{i}{i}")) for i in range(P)]
+    return sum(logs[1:], logs[0])
+
+
+def _step(rows: DataFrame, estimates: DataFrame) -> DataFrame:
+    """Mean and Cholesky factor from the closest rows of each group."""
+    # eight classes per doubling of the distance
+    near = _distances(rows, estimates).withColumn("_class", F.floor(8 * F.log2(F.greatest("distance", F.lit(1e-9)))))
+    classes = store(near.groupBy("_group", "_class").agg(*_sums()), "quality-classes")
+    before = F.sum("n").over(Window.partitionBy("_group").orderBy("_class")) - F.col("n")
+    wanted = F.ceil(SUBSET * F.sum("n").over(Window.partitionBy("_group")))
+    kept = classes.withColumn("_before", before).withColumn("_wanted", wanted).filter("_before < _wanted")
+    return store(_estimate(kept.groupBy("_group").agg(*[F.sum(c).alias(c) for c in SUMS]), CONSISTENCY), "quality-estimates")
+
+
+def _settled(rows: DataFrame, start: DataFrame) -> DataFrame:
+    """Concentration steps from a start until no group's determinant falls any more; each group keeps its smallest.
+
+    The start is an estimate of another kind, so determinants are compared from the second step on.
+    """
+    best = _step(rows, _step(rows, start))
+    for _ in range(MOST_STEPS):
+        found = _smaller(best, _step(rows, best))
+        # determinants fall, so this ends; most groups stand still after a few steps
+        if not found.filter("fell").limit(1).count():
+            return best
+        best = found.drop("fell")
+    raise RuntimeError(f"estimates not settled after {MOST_STEPS} steps")
+
+
+def _smaller(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Per group the estimate with the smaller determinant, and whether that is the second one by more than rounding."""
+    other = b.select(F.col("_group"), *[F.col(c).alias(f"_{c}") for c in ESTIMATE])
+    fell = F.col("_log_det") < F.col("log_det") - 1e-9
+    chosen = [F.when(fell, F.col(f"_{c}")).otherwise(F.col(c)).alias(c) for c in ESTIMATE]
+    return store(a.join(other, "_group").select("_group", fell.alias("fell"), *chosen), "quality-smaller")
+
+
+def _minimum(rows: DataFrame) -> DataFrame:
+    """The smallest determinant that concentration reaches from two starts: medians and quartile ranges, and all rows."""
+    everything = store(rows.groupBy("_group").agg(*_sums()), "quality-sums")
+    robust, plain = _settled(rows, _start(rows)), _settled(rows, _estimate(everything, 1.0))
+    return _smaller(robust, plain).drop("fell")
 
 
 def quality(df: DataFrame, text: str, language: str, source: str, keep: Sequence[str]) -> DataFrame:
@@ -196,10 +248,7 @@ def quality(df: DataFrame, text: str, language: str, source: str, keep: Sequence
     rows = rows.withColumn("base_failed", base_failed())
     rows = store(rows.withColumns(dict(zip(PARTS, vector()))), "quality-rows")
     passed = store(_grouped(rows.filter("not base_failed"), l, s), "quality-passed")
-    estimates = _start(passed)
-    for _ in range(STEPS):
-        estimates = _step(passed, estimates)
-    far = _distances(passed, estimates).withColumn("kept", F.col("distance") <= CUTOFF)
+    far = _distances(passed, _minimum(passed)).withColumn("kept", F.col("distance") <= CUTOFF)
     short = rows.filter("base_failed").withColumn("distance", F.lit(None).cast("double")).withColumn("kept", F.lit(False))
     out = [*keep, *STATISTICS, "base_failed", "distance", "kept"]
     return far.select(*out).unionByName(short.select(*out))
