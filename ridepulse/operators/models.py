@@ -162,7 +162,9 @@ def first_trees(model: RandomForestRegressionModel, trees: int) -> RandomForestR
     for i in range(trees):
         part[i] = own[i]
     found = RandomForestRegressionModel(kind.RandomForestRegressionModel(model.uid, part, model.numFeatures))
-    return found.setFeaturesCol(model.getFeaturesCol())
+    # a forest divides by the number of trees that it was told
+    found._set(numTrees=trees).setFeaturesCol(model.getFeaturesCol())._transfer_params_to_java()
+    return found
 
 
 def nested_errors(model: RandomForestRegressionModel, df: DataFrame, trees: Sequence[int]) -> dict[int, float]:

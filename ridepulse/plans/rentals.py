@@ -212,7 +212,7 @@ def processing_audit(spark, sf):
        from (select *, max(last_gps_time) over (partition by last_rental_start, bike_id) as latest from clean_pings) group by 1, 2, 3""",
 )
 def rental_history(spark, sf):
-    history = R.rental_history(data.cleaned(spark, sf))
+    history = R.rental_history(settle(data.cleaned(spark, sf), "cleaned"))
     known = F.filter("coordinates", lambda c: c[0].isNotNull())
     return history.select(
         *R.RENTAL_KEY,
