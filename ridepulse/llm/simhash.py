@@ -182,7 +182,8 @@ def near_duplicates(df: DataFrame, key: str, text: str, words: int = 3, radius:
 def representatives(df: DataFrame, key: str, text: str, words: int = 3, radius: int = RADIUS) -> DataFrame:
     """One row of each component: a row with the smallest key, and among equal keys the smallest digest.
 
-    Rows whose key and text repeat leave one row. All columns come back as they were.
+    Rows whose key and text repeat leave one row, that whose columns have the smallest hash, so reruns agree. All columns
+    come back as they were.
     """
     digest = fresh(df.columns, "_row_digest")
     found = store(near_duplicates(df, key, text, words, radius), "near-duplicates")
@@ -192,5 +193,7 @@ def representatives(df: DataFrame, key: str, text: str, words: int = 3, radius:
     kept = store(chosen.join(counts, digest), "representatives")
     rows = df.withColumn(digest, row_key(key, text))
     single = rows.join(kept.filter("_n = 1").select(digest), digest, "left_semi")
-    several = rows.join(kept.filter("_n > 1").select(digest), digest, "left_semi").dropDuplicates([digest])
-    return single.unionByName(several).select(*df.columns)
+    several = rows.join(kept.filter("_n > 1").select(digest), digest, "left_semi")
+    whole = F.struct(*df.columns)
+    several = several.groupBy(digest).agg(F.min_by(whole, F.xxhash64(*df.columns)).alias("_whole")).select("_whole.*")
+    return single.select(*df.columns).unionByName(several)
