@@ -1,8 +1,11 @@
-"""Alignment, whitening and the Jaccard join: brute force beside them, and defined results for awkward tables."""
+"""Alignment, whitening, the Jaccard join and licenses: brute force beside them, and defined results for awkward tables."""
 
 from __future__ import annotations
 
 import hashlib
+import math
+import random
+import re
 from collections import Counter
 
 import duckdb
@@ -11,10 +14,11 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 from test_llm import awkward, nothing
 from tokenizers import Tokenizer
 
-from ridepulse.llm import alignment, jaccard, tokens, whitening
+from ridepulse.llm import alignment, jaccard, licenses, tokens, whitening
 from ridepulse.llm.queries import PIECES, QUERIES, TOKENIZER
 
 BYTES, PIECE = public_tokenizers.path(TOKENIZER), public_tokenizers.path(PIECES)
@@ -101,6 +105,16 @@ def test_alignment_of_odd_long_and_missing_texts(spark, monkeypatch):
     assert alignment.align(nothing(spark), "doc_id", "text", BYTES, PIECE).collect() == []
 
 
+def test_random_texts_align_as_whole_texts_do():
+    draw = random.Random(5)
+    pool = [*"aeé tT  \t\n\r\x0b\x0c.,'’!?-12٣ßﬁ\xa0\u2003\u200b\u0301日本한😀👩\u200d👧\x00\x1c\x7f\x85▁<|>/s0xA", " the", " don't", "  ", "\n\n", "<s>", "<|endoftext|>", "<0x41>"]
+    texts, plain, both = ["".join(draw.choice(pool) for _ in range(draw.randint(0, 40))) for _ in range(800)], Plain(), alignment.sides(BYTES, PIECE)
+    found = alignment.Aligned(pa.array(texts), both)
+    for k, text in enumerate(texts):
+        n_a, n_b, links, groups = plain.align(text)
+        assert (found.n_a[k], found.n_b[k], found.n_links[k], found.strings[k]) == (n_a, n_b, len(links), ";".join(groups)), text
+
+
 def test_a_long_text_aligns_part_by_part(monkeypatch):
     monkeypatch.setattr(tokens, "SLICE", 300)
     text = "So it goes on, word  by word, naïve 日本語\n\n and more. " * 40
@@ -252,3 +266,73 @@ def test_signatures_of_linked_sets_meet():
                 tested += 1
                 assert np.intersect1d(classes.signatures(base), classes.signatures(other)).size
     assert tested > 100
+
+
+def cosine_by_hand(texts: dict[str, str]) -> dict[str, tuple]:
+    """Per file with a notice: license, similarity, and the share of its words in its longest such piece."""
+    vectors = licenses.template_terms(licenses.TEMPLATES, licenses.FULL)
+    vocabulary = {t for counts in vectors.values() for t in counts}
+    words = {f: re.findall("[a-z0-9]+", t.lower()) for f, t in texts.items()}
+    having = Counter(t for own in words.values() for t in set(own) & vocabulary)
+    weight = {t: 1 + math.log((1 + len(texts)) / (1 + having[t])) for t in vocabulary}
+
+    def vector(counts: Counter) -> dict[str, float]:
+        return {t: n * weight.get(t, licenses.OTHER) for t, n in counts.items()}
+
+    def norm(v: dict[str, float]) -> float:
+        return math.sqrt(sum(x * x for x in v.values()))
+
+    out = {}
+    for file, text in texts.items():
+        found = []
+        # the texts here have no comments and no stops, so their pieces are lines and the whole
+        for piece in {*text.split("\n"), text}:
+            terms = re.findall("[a-z0-9]+", piece.lower())
+            own = vector(Counter(terms))
+            for (name, _, shared), counts in vectors.items():
+                other = vector(counts)
+                dot = sum(x * other.get(t, 0.0) for t, x in own.items())
+                if own and (alike := round(dot / norm(own) / norm(other), 9)) >= licenses.SIMILARITY:
+                    found.append((shared, -alike, -len(terms), name))
+        if found:
+            best = min(found)
+            out[file] = best[3], -best[1], max(-f[2] for f in found) / len(words[file])
+    return out
+
+
+def test_licenses_equal_dense_cosines_and_a_walk_up_the_tree(spark):
+    draw = random.Random(3)
+    stops = [s.rstrip(".") for texts in licenses.TEMPLATES.values() for t in texts for s in re.split(r"(?<=[.!?])\s+", t)]
+    stops = [s for s in stops if not re.search(r"[.!?]\s", s) and len(s.split()) > 3]
+    rows = {}
+    for i in range(160):
+        lines = [" ".join(draw.choice(["alpha", "beta", "the", "license", "of", "software", f"w{draw.randrange(99)}"]) for _ in range(draw.randint(1, 14)))]
+        for _ in range(draw.choice([0, 0, 1, 2])):
+            own = draw.choice(stops).split()
+            lines.append(" ".join(w for w in own if draw.random() > 0.1))
+        draw.shuffle(lines)
+        folder = "/".join(draw.choice("ab") for _ in range(draw.randint(0, 4)))
+        rows[f"{folder}/f{i}".lstrip("/")] = "\n".join(lines)
+    own = cosine_by_hand(rows)
+    holders: dict[str, tuple] = {}
+    for file, (name, alike, covered) in own.items():
+        if covered >= 0.5:
+            at = "/" + file.rpartition("/")[0] + "/" if "/" in file else "/"
+            holders[at] = min(holders.get(at, (1, "")), (-alike, name))
+    want = {}
+    for file in rows:
+        at, near = "/" + file.rpartition("/")[0] + "/" if "/" in file else "/", None
+        while near is None:
+            near = (at, holders[at][1]) if at in holders else None
+            if at == "/":
+                break
+            at = at[:-1].rpartition("/")[0] + "/"
+        mine = own.get(file)
+        want[file] = (mine[0], mine[1], mine[0], None) if mine else (None, None, near and near[1], near and near[0])
+    df = spark.createDataFrame(list(rows.items()), "path string, text string")
+    got = licenses.scan(df, "path", "text", F.lit(False), covering=0.5).collect()
+    assert len(got) == 160 and sum(r.own_license is not None for r in got) > 20 and sum(r.source_directory is not None for r in got) > 20
+    for r in got:
+        license_, alike, known, source = want[r.path]
+        assert (r.own_license, r.license, r.source_directory) == (license_, known, source), r.path
+        assert (r.similarity is None) == (alike is None) and (alike is None or abs(r.similarity - alike) < 1e-6)
