@@ -26,6 +26,10 @@ TABLE_CELLS, TABLES = 1 << 18, 16
 BATCH_BYTES = 8 << 20
 
 
+#: Columns of a piece beside those that are kept.
+OUTPUT = ("start", "length", "doc_tokens", "sequence_id", "offset", "ids")
+
+
 class Mixture:
     """How many tokens of each queue the first w windows hold, for any w."""
 
@@ -118,8 +122,10 @@ def pack(
     together, dealt by their tokens; a source without a share is an error. By default shares are those of the tokens. Every source is a queue, however many there are; a window costs time in proportion to them. Shares hold in every window to less than a token per queue until a queue is empty. Null is a source like any
     other. Rows with equal contents are packed each. Only the last sequence may be short. An empty table gives no rows.
 
-    Output: the ``keep`` columns, start, length, doc_tokens, sequence_id, offset, ids (little-endian unsigned 32-bit).
+    Output: the ``keep`` columns, start, length, doc_tokens, sequence_id, offset, ids (little-endian unsigned 32-bit);
+    kept columns with these names are replaced.
     """
+    keep = [c for c in keep if c.lower() not in OUTPUT]
     lane_of = {name: i for i, name in enumerate(_queue_names(df, queue))}
     end = np.array([end_id], "<u4").tobytes()
     taken = [*keep, text]

@@ -240,9 +240,11 @@ def quality(df: DataFrame, text: str, language: str, source: str, keep: Sequence
     Rows that fail the base rules are not kept, have no distance and take no part in the estimates. A null language
     or source is a value of its own. Null and empty texts have no words and fail. Groups of fewer than ``SMALLEST``
     rows are pooled over the language, and what is left over all languages; a pool of any size gets an estimate, as
-    the floors keep it regular. Repeated rows count as often as they occur. An empty table gives no rows. The kept
-    columns must not have the names of the new ones.
+    the floors keep it regular. Repeated rows count as often as they occur. An empty table gives no rows. Kept
+    columns with the names of the new ones are replaced.
     """
+    new = {*STATISTICS, *PARTS, "base_failed", "distance", "kept"}
+    keep = [c for c in keep if c.lower() not in new]
     l, s = "_language", "_source"
     rows = df.select(*keep, F.col(language).alias(l), F.col(source).alias(s), *statistics(F.col(text)))
     rows = rows.withColumn("base_failed", base_failed())

@@ -457,6 +457,14 @@ def test_quality_matches_numpy(spark, sf):
     assert differ <= 0.02 * len(passed)
 
 
+def test_kept_columns_with_new_names_are_replaced(spark):
+    rows = awkward(spark).withColumns({"start": F.lit("x"), "kept": F.lit("y"), "n_words": F.lit("z")})
+    pieces = packing.pack(rows, "text", "source", ["doc_id", "start"], PATH)
+    assert dict(pieces.dtypes)["start"] == "bigint" and pieces.columns.count("start") == 1 and pieces.count() >= 13
+    judged = quality.quality(rows, "text", "lang", "source", ["doc_id", "kept", "n_words"])
+    assert dict(judged.dtypes)["kept"] == "boolean" and judged.columns.count("n_words") == 1 and judged.count() == 13
+
+
 def test_quality_of_awkward_tables(spark):
     assert not any(r.kept for r in quality.quality(awkward(spark).filter("doc_id <> 4"), "text", "lang", "source", ["doc_id"]).collect())
     assert quality.quality(awkward(spark), "text", "lang", "source", ["doc_id"]).count() == 13
