@@ -253,6 +253,15 @@ def test_jaccard_of_awkward_tables(spark):
     assert jaccard.jaccard_components(nothing(spark), "doc_id", "text").collect() == []
 
 
+def test_a_long_text_has_the_same_shingles(monkeypatch):
+    text = " \t" + "One  two\nthree\x0bfour five\r\n" * 300 + "é ß\x1cx\u00a0y "
+    want = jaccard.shingles(text)
+    assert len(want) == len(grams(text))
+    monkeypatch.setattr(jaccard, "LONG", 100)
+    monkeypatch.setattr(jaccard, "CHUNK", 7)
+    assert (jaccard.shingles(text) == want).all() and not len(jaccard.shingles(" \n" * 80))
+
+
 def test_signatures_of_linked_sets_meet():
     draw, classes, tested = np.random.default_rng(5), jaccard.Classes(90), 0
     for size in [*range(8, 60), 80, 200, 700, 1500]:
