@@ -67,9 +67,13 @@ def unique_messages(spark, sf):
        where last_seen + interval 6 hour <= (select max(ts) - interval 1 hour from events)""",
 )
 def inferred_rentals(spark, sf):
-    folder = scratch(spark, "t3")
-    stream = T.inferred_rentals(events(spark, sf), "user_id", "ts")
-    table = T.run_available(stream, f"{folder}/out", f"{folder}/state")
+    """Three deliveries in time order; a run goes on from one to the next."""
+    folder, rows = scratch(spark, "t3"), data.table(spark, sf, "events")
+    first, second = "ts < timestamp_ntz'2024-01-10 00:00:00'", "ts < timestamp_ntz'2024-01-20 00:00:00'"
+    for delivery in (first, f"{second} and not {first}", f"not {second}"):
+        rows.filter(delivery).write.mode("append").parquet(f"{folder}/in")
+        stream = T.inferred_rentals(T.message_stream(spark, f"{folder}/in", rows.schema), "user_id", "ts")
+        table = T.run_available(stream, f"{folder}/out", f"{folder}/state")
     return table.withColumns({c: F.col(c).cast(NTZ) for c in ("started", "last_seen")})
 
 
