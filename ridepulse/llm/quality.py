@@ -29,7 +29,8 @@ PARTS = ["x_words", "x_length", "x_symbols", "x_lines", "x_repeat"]
 FLOORS = [0.02, 0.01, 0.01, 0.02, 0.02]
 P = len(PARTS)
 SUBSET = 0.75
-#: More steps than any group takes: a limit that raises.
+#: A determinant that falls by less than this share stands still. More steps than any group takes: a limit that raises.
+FALL = 1e-3
 MOST_STEPS = 50
 #: A row is rejected beyond this quantile of the squared distance.
 QUANTILE = 0.99
@@ -201,7 +202,7 @@ def _step(rows: DataFrame, estimates: DataFrame) -> DataFrame:
     before = F.sum("n").over(Window.partitionBy("_group").orderBy("_class")) - F.col("n")
     wanted = F.ceil(SUBSET * F.sum("n").over(Window.partitionBy("_group")))
     kept = classes.withColumn("_before", before).withColumn("_wanted", wanted).filter("_before < _wanted")
-    return store(_estimate(kept.groupBy("_group").agg(*[F.sum(c).alias(c) for c in SUMS]), CONSISTENCY), "quality-estimates")
+    return _estimate(kept.groupBy("_group").agg(*[F.sum(c).alias(c) for c in SUMS]), CONSISTENCY)
 
 
 def _settled(rows: DataFrame, start: DataFrame) -> DataFrame:
@@ -209,29 +210,39 @@ def _settled(rows: DataFrame, start: DataFrame) -> DataFrame:
 
     The start is an estimate of another kind, so determinants are compared from the second step on.
     """
-    best = _step(rows, _step(rows, start))
+    best = store(_step(rows, store(_step(rows, start), "quality-estimates")), "quality-estimates")
     for _ in range(MOST_STEPS):
-        found = _smaller(best, _step(rows, best))
+        found = store(_smaller(best, _step(rows, best)), "quality-estimates")
         # determinants fall, so this ends; most groups stand still after a few steps
-        if not found.filter("fell").limit(1).count():
+        if found.filter("fell").isEmpty():
             return best
         best = found.drop("fell")
     raise RuntimeError(f"estimates not settled after {MOST_STEPS} steps")
 
 
 def _smaller(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Per group the estimate with the smaller determinant, and whether that is the second one by more than rounding."""
+    """Per group the estimate with the smaller determinant, and whether that is the second one by more than ``FALL``."""
     other = b.select(F.col("_group"), *[F.col(c).alias(f"_{c}") for c in ESTIMATE])
-    fell = F.col("_log_det") < F.col("log_det") - 1e-9
+    fell = F.col("_log_det") < F.col("log_det") - FALL
     chosen = [F.when(fell, F.col(f"_{c}")).otherwise(F.col(c)).alias(c) for c in ESTIMATE]
-    return store(a.join(other, "_group").select("_group", fell.alias("fell"), *chosen), "quality-smaller")
+    return a.join(other, "_group").select("_group", fell.alias("fell"), *chosen)
 
 
 def _minimum(rows: DataFrame) -> DataFrame:
-    """The smallest determinant that concentration reaches from two starts: medians and quartile ranges, and all rows."""
-    everything = store(rows.groupBy("_group").agg(*_sums()), "quality-sums")
-    robust, plain = _settled(rows, _start(rows)), _settled(rows, _estimate(everything, 1.0))
-    return _smaller(robust, plain).drop("fell")
+    """The smallest determinant that concentration reaches from two starts: medians and quartile ranges, and all rows.
+
+    Both starts take their steps together, each with a label of its own for the group.
+    """
+    everything = store(_estimate(rows.groupBy("_group").agg(*_sums()), 1.0), "quality-sums")
+
+    def labelled(estimates: DataFrame, mark: str) -> DataFrame:
+        return estimates.withColumn("_group", F.concat(F.lit(mark), "_group"))
+
+    both = rows.withColumn("_group", F.explode(F.array(F.concat(F.lit("r"), "_group"), F.concat(F.lit("p"), "_group"))))
+    found = _settled(both, labelled(_start(rows), "r").unionByName(labelled(everything, "p")))
+    own = F.substring("_group", 2, 1 << 30)
+    robust, plain = (found.filter(F.col("_group").startswith(mark)).withColumn("_group", own) for mark in "rp")
+    return store(_smaller(robust, plain).drop("fell"), "quality-minimum")
 
 
 def quality(df: DataFrame, text: str, language: str, source: str, keep: Sequence[str]) -> DataFrame:

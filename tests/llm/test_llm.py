@@ -433,7 +433,7 @@ def test_quality_matches_numpy(spark, sf):
 
     def settled(x, mean, cov):
         best = step(x, *step(x, mean, cov))
-        while np.linalg.slogdet((new := step(x, *best))[1])[1] < np.linalg.slogdet(best[1])[1] - 1e-9:
+        while np.linalg.slogdet((new := step(x, *best))[1])[1] < np.linalg.slogdet(best[1])[1] - quality.FALL:
             best = new
         return best
 
@@ -444,7 +444,9 @@ def test_quality_matches_numpy(spark, sf):
         q1, q2, q3 = (classes[math.ceil(q * len(x)) - 1] for q in (0.25, 0.5, 0.75))
         robust = (q2 + 0.5) * floors / 4, np.diag(((q3 - q1) / 1.349 * floors / 4) ** 2 + floors**2)
         plain = x.mean(0), np.cov(x.T, bias=True) + np.diag(floors**2)
-        d = distances(x, *min((settled(x, *s) for s in (robust, plain)), key=lambda e: np.linalg.slogdet(e[1])[1]))
+        ends = [settled(x, *s) for s in (robust, plain)]
+        dets = [np.linalg.slogdet(e[1])[1] for e in ends]
+        d = distances(x, *ends[int(dets[1] < dets[0] - quality.FALL)])
         assert np.allclose([found[i].distance for i in ids], d, rtol=1e-6)
         assert [found[i].kept for i in ids] == (d <= quality.CUTOFF).tolist()
         # many starts from six random rows each: the smallest determinant that any of them reaches
