@@ -149,17 +149,20 @@ def _power_sql(p: str, v: str = "v") -> str:
     return f"(case when abs({p}) < 1e-12 then ln(1 + {v}) else (exp({p} * ln(1 + {v})) - 1) / {p} end)"
 
 
-#: The same search in SQL: 21 points over the bracket, then again around the best one.
+#: The same search in SQL: 21 points over a bracket that grows until its best point is inside, then again around it.
 POWER_SQL = f"""with recursive amounts as (select cast(demand as double) as v, count(*) as n from fact group by 1),
     middle as (select sum(v * n) / sum(n) as m, sum(n) as total, sum(n * ln(1 + v)) as jacobian from amounts),
-    search as (select 0 as step, -2e0 as low, 2e0 as high, cast(null as double) as best
-     union all select step + 1, best - (high - low) / 20, best + (high - low) / 20, best from (
-      select step, low, high, arg_max(p, score) as best from (
-       select step, low, high, p, any_value(total) / -2e0 * ln(sum(n * t * t) / any_value(total) - (sum(n * t) / any_value(total)) ** 2)
+    search as (select 0 as step, -2e0 as low, 2e0 as high, false as held, cast(null as double) as best
+     union all select step + 1,
+      case when held or i not in (0, 20) then best - (high - low) / 20 when i = 0 then low - 2 * (high - low) else low end,
+      case when held or i not in (0, 20) then best + (high - low) / 20 when i = 0 then high else high + 2 * (high - low) end,
+      held or i not in (0, 20), best from (
+      select step, low, high, held, arg_max(p, score) as best, arg_max(i, score) as i from (
+       select step, low, high, held, i, p, any_value(total) / -2e0 * ln(sum(n * t * t) / any_value(total) - (sum(n * t) / any_value(total)) ** 2)
          + (p - 1) * any_value(jacobian) as score
        from (select *, {_power_sql("p")} - {_power_sql("p", "m")} as t from (
-        select step, low, high, low + (high - low) / 20 * i as p from search, range(21) r(i) where high - low > 5e-6) points, amounts, middle)
-       group by step, low, high, p) group by step, low, high))
+        select step, low, high, held, i, low + (high - low) / 20 * i as p from search, range(21) r(i) where not held or high - low > 5e-6) points, amounts, middle)
+       group by step, low, high, held, i, p) group by step, low, high, held))
     select round(any_value(p), 4) as power, round(sum((v - a) ** 3) / count(*) / (sum((v - a) ** 2) / count(*)) ** 1.5, 4) as skew_before,
      round(sum((t - b) ** 3) / count(*) / (sum((t - b) ** 2) / count(*)) ** 1.5, 4) as skew_after, count(*) as n
     from (select *, avg(v) over () as a, avg(t) over () as b from (select v, p, {_power_sql("p")} as t
