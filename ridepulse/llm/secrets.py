@@ -78,10 +78,11 @@ def scan(
     """
     version = version_of(rules)
     blobs = df.select(F.coalesce(F.col(text), F.lit("")).alias("text"), blob_of(F.col(text)).alias("blob"))
+    # copies meet in their own tasks first, so that none of a hot text's many rows is compared with the ledger
+    unseen = blobs.dropDuplicates(["blob"])
     if ledger is not None:
         done = ledger.filter(F.col("rule_version") == version).select("blob").distinct()
-        blobs = blobs.join(done, "blob", "left_anti")
-    unseen = blobs.dropDuplicates(["blob"])
+        unseen = unseen.join(done, "blob", "left_anti")
     # one pass over the text of the unseen blobs: the matches of every kind and what lies between them
     found = F.array(
         *[
