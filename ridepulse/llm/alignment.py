@@ -25,7 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import store
-from .tokens import SLICE, Encoder, WordCache, groups, slices, word_lists
+from .tokens import SLICE, Encoder, slices
+from .words import WordCache, byte_words, groups, word_lists
 
 #: A chunk ends at so many bytes of text; a longer text is cut into parts of about a slice.
 CHUNK = 1 << 21
@@ -61,12 +62,14 @@ class Side:
 
 class ByteSide(Side):
     def __init__(self, path: str):
-        self.encoder = Encoder(path, plain=True)
+        self.encoder = Encoder(path)
+        # strings of special tokens in a text are text
+        self.encoder.tokenizer.encode_special_tokens = True
         if not self.encoder.by_word:
             raise ValueError("the first tokenizer is to be a byte-level one without a prefix space")
-        byte, size = byte_of_character(), max(self.encoder.vocabulary.values()) + 1
-        tokens = [b""] * size
-        for token, i in self.encoder.vocabulary.items():
+        byte, vocabulary = byte_of_character(), self.encoder.tokenizer.get_vocab(with_added_tokens=True)
+        tokens = [b""] * (max(vocabulary.values()) + 1)
+        for token, i in vocabulary.items():
             tokens[i] = bytes(byte.get(c, 63) for c in token)
         super().__init__(tokens)
 
@@ -96,7 +99,7 @@ class Sides:
         self.cache, self.altered = WordCache(self._learn, 2), set()
 
     def _learn(self, words: list[str]) -> tuple[list[str], list[tuple[np.ndarray, np.ndarray]]]:
-        order, *first = self.both[0].encoder.words(words)
+        order, *first = byte_words(self.both[0].encoder, words)
         found = [tuple(first), self.both[1].words(order)]
         for side, (ids, counts) in zip(self.both, found):
             self.altered |= side.altered(order, ids, counts)

@@ -1,36 +1,34 @@
 """Token ids of whole texts with the tokenizers library, as little-endian unsigned 32-bit integers.
 
 The pattern of byte-level BPE lets no piece reach across a space that follows a visible character, so the words
-between such spaces encode separately. Arrow cuts the texts and numbers their distinct words; the library encodes each
-distinct word once per worker, as long as the word cache lasts; the ids of a text are gathered from those of its words
-and equal those the library gives for the whole text.
+between such spaces encode separately. The library encodes each distinct word once per worker, as long as the word
+cache lasts; the ids of a text are those the library gives for the whole text.
 """
 
 from __future__ import annotations
 
 import json
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 #: A space that ends a word: the character before it is visible.
 WORD_END = re.compile(r"(?<=\S) ")
 #: Texts are taken apart in slices of about so many characters.
 SLICE = 1 << 21
-#: The cache of words starts anew when it has so many characters.
-CACHED_CHARS = 6_000_000
+#: A generation of cached words ends at so many characters; longer words are encoded each time.
+CACHED_CHARS, LONGEST_CACHED = 5_000_000, 64
 #: How byte-level vocabularies write a space (fixed value).
-SPACE_BYTE = "Ġ"
+SPACE_BYTE = "\u0120"
 #: Words handed to the library at once.
 GROUP = 1000
 
 
 def slices(text: str) -> Iterator[str]:
-    """A long text in parts of about a million characters that encode separately; all but the first start with a space."""
+    """A long text in parts of about a million characters that encode separately."""
     at = 0
     while len(text) - at > SLICE and (cut := WORD_END.search(text, at + SLICE)):
         yield text[at : cut.start()]
@@ -38,84 +36,11 @@ def slices(text: str) -> Iterator[str]:
     yield text[at:] if at else text
 
 
-def word_lists(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """The distinct words of the texts, the word numbers of all texts one after another, and where each text starts.
-
-    Words are what the spaces that follow a visible character separate; a text of no characters is one empty word, and
-    null counts as empty. Only texts in which some space does not follow a visible character are cut one by one.
-    """
-    lists = pc.split_pattern(pc.fill_null(texts.cast(pa.string()), ""), " ")
-    if len(lists) != len(texts) or lists.offset:
-        lists = pa.concat_arrays([lists])
-    starts = lists.offsets.to_numpy()
-    numbered = lists.values.slice(starts[0] if len(starts) else 0).dictionary_encode()
-    words, codes, starts = numbered.dictionary.to_pylist(), numbered.indices.to_numpy(), starts - (starts[0] if len(starts) else 0)
-    ends = pc.utf8_slice_codeunits(numbered.dictionary, -1).dictionary_encode()
-    blank = np.array([not c or c.isspace() for c in ends.dictionary.to_pylist()], bool)[ends.indices.to_numpy()]
-    odd = blank[codes]
-    odd[starts[1:] - 1] = False  # no space follows the last word
-    if odd.any():
-        at = np.unique(np.searchsorted(starts, np.flatnonzero(odd), "right") - 1)
-        order = np.arange(len(texts))
-        order[at] = len(texts) + np.arange(len(at))
-        cut = pa.array([WORD_END.split(texts[int(i)].as_py()) for i in at], lists.type)
-        lists = pa.concat_arrays([lists, cut]).take(pa.array(order))
-        starts = lists.offsets.to_numpy()
-        numbered = lists.values.slice(starts[0], starts[-1] - starts[0]).dictionary_encode()
-        words, codes, starts = numbered.dictionary.to_pylist(), numbered.indices.to_numpy(), starts - starts[0]
-    return words, codes, starts
-
-
-class WordCache:
-    """The ids of words under one or more tokenizers, each one after another in an array.
-
-    ``learn`` gives new words in some order and, for each tokenizer, their ids and how many each word has.
-    """
-
-    def __init__(self, learn: Callable[[list[str]], tuple[list[str], list[tuple[np.ndarray, np.ndarray]]]], tokenizers: int = 1):
-        self.learn, self.tokenizers = learn, tokenizers
-        self._clear()
-
-    def _clear(self) -> None:
-        self.where: dict[str, int] = {}
-        self.chars = 0
-        self.ids = [np.zeros(0, "<u4") for _ in range(self.tokenizers)]
-        self.starts = [np.zeros(1, np.int64) for _ in range(self.tokenizers)]
-
-    def look(self, words: list[str]) -> np.ndarray:
-        """The numbers of words in the cache; valid until the cache is trimmed."""
-        where = self.where
-        found = list(map(where.get, words))
-        new = {w for w, i in zip(words, found) if i is None}
-        if new:
-            added, sides = self.learn(list(new))
-            where.update(zip(added, range(len(where), len(where) + len(added))))
-            for k, (ids, counts) in enumerate(sides):
-                self.ids[k] = np.concatenate([self.ids[k], ids])
-                self.starts[k] = np.concatenate([self.starts[k], self.starts[k][-1] + np.cumsum(counts)])
-            self.chars += len("".join(added))
-            found = list(map(where.__getitem__, words))
-        return np.array(found, np.int64)
-
-    def gather(self, index: np.ndarray, tokenizer: int = 0) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of a row of words, and where each word's ids start among them."""
-        begins = self.starts[tokenizer]
-        counts = begins[index + 1] - begins[index]
-        starts = np.concatenate([[0], np.cumsum(counts)])
-        return self.ids[tokenizer][np.repeat(begins[index] - starts[:-1], counts) + np.arange(starts[-1])], starts
-
-    def trim(self) -> None:
-        if self.chars > CACHED_CHARS:
-            self._clear()
-
-
 class Encoder:
-    def __init__(self, path: str, plain: bool = False):
+    def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
             rule = json.load(file)
         self.tokenizer = Tokenizer.from_file(path)
-        # plain: strings of special tokens in a text are text
-        self.tokenizer.encode_special_tokens = plain
         cut = rule["pre_tokenizer"] or {}
         self.by_word = (
             rule["normalizer"] is None
@@ -124,49 +49,58 @@ class Encoder:
             and cut.get("use_regex", True)
             and not any(" " in token["content"] for token in rule["added_tokens"])
         )
-        self.vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.spaced = np.zeros(max(self.vocabulary.values(), default=0) + 1, bool)
-        self.spaced[[i for token, i in self.vocabulary.items() if SPACE_BYTE in token]] = True
-        self.cache = WordCache(self._learn)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.spaced = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.spaced[[i for token, i in vocabulary.items() if SPACE_BYTE in token]] = True
+        # words seen lately, and the generation before them
+        self.cache: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.chars = 0
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn(self, words: list[str]) -> tuple[list[str], list[tuple[np.ndarray, np.ndarray]]]:
-        order, ids, counts = self.words(words)
-        return order, [(ids, counts)]
-
-    def words(self, words: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
-        """Words in some order, their ids and how many each has. Those that start with their only space are joined; a token that holds a space starts one."""
-        joined = [w for w in words if w[:1] == " " and len(w) > 1 and not w[-1].isspace() and w.rfind(" ") == 0]
-        alone = list(set(words).difference(joined)) if len(joined) < len(words) else []
-        ids, counts = [], []
-        for at in range(0, len(joined), GROUP):
-            group = joined[at : at + GROUP]
-            ids.append(np.array(self.tokenizer.encode_batch_fast(["".join(group)], add_special_tokens=False)[0].ids, "<u4"))
-            starts = np.flatnonzero(self.spaced[ids[-1]])
+    def _learn(self, words: set[str]) -> None:
+        """Cache the ids of words, each with the space before it."""
+        old = self.old
+        back = {w: old[w] for w in words if w in old}
+        self.cache.update(back)
+        # only words that end in a visible character are ever cached, as a cut must follow one
+        new = [w for w in words if w and w not in back and len(w) <= LONGEST_CACHED and not w[-1].isspace()]
+        for at in range(0, len(new), GROUP):
+            group = new[at : at + GROUP]
+            # joined by their spaces; a token that holds a space starts a word, as words have no other space
+            ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(group)], add_special_tokens=False)[0].ids, "<u4")
+            starts = np.flatnonzero(self.spaced[ids])
             if len(starts) != len(group):
                 raise ValueError("the vocabulary does not keep words apart")
-            counts.append(np.diff(starts, append=len(ids[-1])))
-        for at in range(0, len(alone), GROUP):
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(alone[at : at + GROUP], add_special_tokens=False)]
-            ids.append(np.array([i for part in found for i in part], "<u4"))
-            counts.append(np.array([len(part) for part in found], np.int64))
-        return joined + alone, np.concatenate(ids), np.concatenate(counts)
-
-    def encode(self, texts: pa.Array) -> list[bytes]:
+            raw, cuts = ids.tobytes(), [*(4 * starts).tolist(), 4 * len(ids)]
+            self.cache.update(zip(group, [raw[a:b] for a, b in zip(cuts, cuts[1:])]))
+        self.chars += sum(map(len, new)) + sum(map(len, back))
+
+    def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text."""
         if not self.by_word:
-            return [self.whole(t.as_py() or "") for t in texts]
-        if not len(texts):
-            return []
-        words, codes, starts = word_lists(texts)
-        index = self.cache.look([" " + w for w in words])[codes]
-        index[starts[:-1]] = self.cache.look([words[i] for i in codes[starts[:-1]].tolist()])
-        ids, ends = self.cache.gather(index)
-        self.cache.trim()
-        raw, cuts = ids.tobytes(), (4 * ends[starts]).tolist()
-        return [raw[a:b] for a, b in zip(cuts, cuts[1:])]
+            return [self.whole(t) for t in texts]
+        if self.chars > CACHED_CHARS:
+            self.cache, self.old, self.chars = {}, self.cache, 0
+        split = [t.split(" ") for t in texts]
+        firsts = self.tokenizer.encode_batch_fast([words[0] for words in split], add_special_tokens=False)
+        found = [list(map(self.cache.get, words)) for words in split]
+        gaps = [[i for i, ids in enumerate(parts) if ids is None] for parts in found]
+        self._learn({words[i] for words, missing in zip(split, gaps) for i in missing if i})
+        out = []
+        for text, words, parts, missing, first in zip(texts, split, found, gaps, firsts):
+            try:
+                for i in missing:
+                    parts[i] = self.cache[words[i]] if i else b""
+                parts[0] = np.array(first.ids, "<u4").tobytes()
+                out.append(b"".join(parts))
+            except KeyError:
+                # some space does not end a word, or a word is not one to keep
+                head, *rest = WORD_END.split(text)
+                out.append(self.whole(head) + b"".join([self.cache.get(w) or self.whole(" " + w) for w in rest]))
+        return out
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -179,24 +113,24 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def groups(texts: pa.Array, size: int = 1 << 22) -> Iterator[tuple[int, int]]:
-    """Ranges of texts that together hold about a slice, where a longer text stands alone."""
-    lengths = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-    first, held = 0, 0
-    for at, n in enumerate(lengths.tolist()):
-        if held and held + n > size:
-            yield first, at
-            first, held = at, 0
-        held += n
-    if first < len(lengths):
-        yield first, len(lengths)
-
-
 def encoded(path: str, texts: pa.Array) -> Iterator[bytes]:
     """The ids of every text in order; null counts as empty. Holds about a slice of text at a time."""
-    tool = encoder(path)
-    for first, end in groups(texts):
-        if end - first == 1 and len(text := texts[first].as_py() or "") > SLICE:
-            yield b"".join(part for piece in slices(text) for part in tool.encode(pa.array([piece])))
-        else:
-            yield from tool.encode(texts.slice(first, end - first))
+    tool, waiting, chars = encoder(path), [], 0
+
+    def drain() -> Iterator[bytes]:
+        yield from tool.encode(waiting)
+        waiting.clear()
+
+    for value in texts:
+        text = value.as_py() or ""
+        if len(text) > SLICE:
+            yield from drain()
+            yield b"".join(part for piece in slices(text) for part in tool.encode([piece]))
+            chars = 0
+            continue
+        waiting.append(text)
+        chars += len(text)
+        if chars > SLICE:
+            yield from drain()
+            chars = 0
+    yield from drain()
