@@ -5,6 +5,8 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from pyspark.sql import Row
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, TimerValues
 
 from ridepulse.streaming import open_rentals
 from ridepulse.streaming import telemetry as T
@@ -108,6 +110,60 @@ def test_sightings_merge_in_any_order():
     assert open_rentals.merged(a, b) == open_rentals.merged(b, a) == (3, None, 9, None) == open_rentals.merged(None, (3, None, 9, None))
 
 
+class CountedState:
+    """A bike's state and timers in memory, with the number of times they were asked or told something."""
+
+    def __init__(self):
+        self.kept, self.timers, self.calls = {}, set(), 0
+
+    def _called(self, answer=None):
+        self.calls += 1
+        return answer
+
+    def getValueState(self, name, schema):  # noqa: N802 - Spark's name
+        state = type("Value", (), {})()
+        state.get = lambda: self._called(self.kept.get(name))
+        state.exists = lambda: self._called(name in self.kept)
+        state.update = lambda value: self._called(self.kept.update({name: value}))
+        return state
+
+    def getMapState(self, name, key, schema):  # noqa: N802 - Spark's name
+        state, rows = type("Map", (), {})(), self.kept.setdefault(name, {})
+        state.get = state.getValue = lambda k: self._called(rows.get(k))
+        state.containsKey = lambda k: self._called(k in rows)
+        state.keys = lambda: self._called(list(rows))
+        state.updateValue = lambda k, value: self._called(rows.update({k: value}))
+        state.removeKey = lambda k: self._called(rows.pop(k))
+        return state
+
+    def registerTimer(self, at):  # noqa: N802 - Spark's name
+        self._called(self.timers.add(at))
+
+    def run(self, processor, rows, watermark):
+        """One micro-batch of a bike: its rows, then its expired timers."""
+        kind = Row("bike_id", "seen", "start", "first", "first_battery", "last", "last_battery")
+        times, out = TimerValues(0, watermark), []
+        if rows:
+            list(processor.handleInputRows((1,), iter([kind(1, None, *r) for r in rows]), times))
+        for at in sorted(t for t in self.timers if t < watermark):
+            out += processor.handleExpiredTimer((1,), times, ExpiredTimerInfo(at))
+            self.timers.discard(at)
+        return [tuple(r) for r in out]
+
+
+def test_a_bike_asks_its_state_once_a_batch(spark):
+    state, processor = CountedState(), open_rentals.OpenRentals()
+    processor.init(state)
+    rows = [(i * 1000, i * 1000 + 5, i, i * 1000 + 9, -i) for i in range(500)]
+    assert state.run(processor, rows[::2], 0) == []
+    assert state.run(processor, rows[1::2] + rows[:50], 0) == []
+    found = state.run(processor, [], 400)
+    assert found == [(1, *r[:2], r[3], r[2], r[4]) for r in rows[:399]]
+    assert state.calls < 20, "not once per message, rental or timer"
+    assert state.run(processor, rows[:10], 400) == [], "messages of ended rentals change nothing"
+    assert [r[1] for r in state.run(processor, [(500_000, 500_005, 1, 500_005, 1)], 501)] == [r[0] for r in rows[399:]]
+
+
 def test_repeated_batch_changes_nothing(spark, tmp_path):
     store = RentalStore.create(spark, str(tmp_path / "store"))
     rows = skewed(21, 600)
