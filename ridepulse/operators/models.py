@@ -7,8 +7,9 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from itertools import product
 from math import gcd
+from multiprocessing.pool import ThreadPool
 
-from pyspark import SparkContext
+from pyspark import SparkContext, inheritable_thread_target
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -237,21 +238,27 @@ def fit_patiently(
     """Boosted trees and the number of rounds to keep by the loss on the held-out rows.
 
     Every round of a fit is scored in one pass over the held-out rows. Where ``patience`` rounds without gain were not
-    seen, the fit is made again with twice the rounds: the same seed grows the same trees first.
+    seen, the fit is made again, as the same seed grows the same trees first: with the rounds that patience still lacks,
+    where half of it was seen, and where that was tried or less was seen, with twice the rounds.
     """
-    length = min(max(first, patience + 1), rounds)
+    length, extended = min(max(first, patience + 1), rounds), False
     while True:
         model = boosted(length, **params).fit(train)
         keep, seen = patient_length(model.evaluateEachIteration(held_out, "squared"), patience)
         if seen or length == rounds:
             return model, keep
-        length = min(2 * length, rounds)
+        extended = not extended and 2 * (length - keep) >= patience
+        length = min(keep + patience if extended else 2 * length, rounds)
 
 
-def kfold_scores(df: DataFrame, predictors: Sequence[str], key: Column, folds: int = 3, **params) -> DataFrame:
-    """Per fold: rounds kept by patience on its held-out rows, and RMSE and MAE of those rounds on both parts."""
-    cut, found = with_fold(df, hash_draw(key, 2022, folds), folds), []
-    for fold in range(folds):
+def kfold_scores(df: DataFrame, predictors: Sequence[str], key: Column, folds: int = 3, parallelism: int = 8, **params) -> DataFrame:
+    """Per fold: rounds kept by patience on its held-out rows, and RMSE and MAE of those rounds on both parts.
+
+    Up to ``parallelism`` folds are fitted at the same time, as the jobs of a round are short and wait for each other.
+    """
+    cut = with_fold(df, hash_draw(key, 2022, folds), folds)
+
+    def scores(fold: int) -> tuple:
         train, held_out = cut.filter(F.col("fold") != fold), cut.filter(F.col("fold") == fold)
         ready = preprocessor(train, predictors).fit(train)
         train, held_out = (settle(ready.transform(part).select("features", TARGET), "fold") for part in (train, held_out))
@@ -259,7 +266,10 @@ def kfold_scores(df: DataFrame, predictors: Sequence[str], key: Column, folds: i
         errors = [
             float(model.evaluateEachIteration(part, loss)[keep - 1]) for loss in ("squared", "absolute") for part in (train, held_out)
         ]
-        found.append((fold, keep, errors[0] ** 0.5, errors[1] ** 0.5, errors[2], errors[3]))
+        return fold, keep, errors[0] ** 0.5, errors[1] ** 0.5, errors[2], errors[3]
+
+    with ThreadPool(max(1, min(folds, parallelism))) as pool:
+        found = pool.map(inheritable_thread_target(df.sparkSession)(scores), range(folds))
     names = "fold int, rounds_kept int, rmse_train double, rmse_validation double, mae_train double, mae_validation double"
     return df.sparkSession.createDataFrame(found, names)
 

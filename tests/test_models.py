@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import threading
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -59,6 +61,38 @@ def test_patient_fit_stops_where_the_held_out_rows_say(rows):
     assert keep == M.patient_length(losses, 2)[0] and losses[keep - 1] <= min(losses[:keep])
 
 
+def test_patience_that_is_nearly_seen_is_not_paid_twice(monkeypatch):
+    lengths = []
+
+    class Fit:
+        def __init__(self, length):
+            self.length = length
+            lengths.append(length)
+
+        def fit(self, train):
+            return self
+
+        def evaluateEachIteration(self, held_out, loss):  # noqa: N802 - Spark's name
+            return held_out[: self.length]
+
+    monkeypatch.setattr(M, "boosted", Fit)
+    falls = [100.0 - i for i in range(21)]
+    assert M.fit_patiently(None, [*falls, *[90.0] * 500])[1] == 21 and lengths == [48, 51]
+    lengths.clear()
+    assert M.fit_patiently(None, [*falls, *[90.0] * 28, 5.0, *[90.0] * 500])[1] == 50 and lengths == [48, 51, 102]
+    lengths.clear()
+    assert M.fit_patiently(None, [1000.0 - i for i in range(1000)], rounds=200)[1] == 200 and lengths == [48, 96, 192, 200]
+
+
+def test_folds_are_fitted_side_by_side(rows, monkeypatch):
+    known = rows.withColumn("demand", (F.col("hour") % 5).cast("double"))
+    args, params = (known, ["hour", "temp"], F.col("k"), 3), {"rounds": 2, "patience": 1, "first": 2, "depth": 2}
+    one_by_one = M.kfold_scores(*args, parallelism=1, **params).collect()
+    together, fit = threading.Barrier(3, timeout=60), M.fit_patiently
+    monkeypatch.setattr(M, "fit_patiently", lambda *a, **k: (together.wait(), fit(*a, **k))[1])
+    assert M.kfold_scores(*args, **params).collect() == one_by_one and [r.fold for r in one_by_one] == [0, 1, 2]
+
+
 def test_every_row_lends_once_a_repeat(rows):
     few = rows.select("k", "temp").limit(997)
     lent = M.with_donors(few, ["k", "temp"], [F.col("k")], 3).groupBy("_repeat").agg(
