@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from .common import store
 from .tokens import SLICE, Encoder, slices
-from .words import WordCache, byte_words, groups, word_lists
+from .words import WordCache, byte_of_character, byte_words, groups, word_lists
 
 #: A chunk ends at so many bytes of text; a longer text is cut into parts of about a slice.
 CHUNK = 1 << 21
@@ -34,13 +34,6 @@ CHUNK = 1 << 21
 PIECE_SPACE = "▁"
 
 
-def byte_of_character() -> dict[str, int]:
-    """The characters by which byte-level vocabularies write bytes: visible Latin-1 as itself, the rest from 256 on."""
-    own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
-    rest = [b for b in range(256) if b not in set(own)]
-    return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
-
-
 class Side:
     """A tokenizer, and the bytes of its tokens."""
 

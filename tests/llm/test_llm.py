@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from ridepulse.llm import licenses, lm, packing, quality, secrets, simhash, tokenstore, toxicity
+from ridepulse.llm import licenses, lm, packing, quality, secrets, simhash, tokens, tokenstore, toxicity
 from ridepulse.llm.decontamination import contamination
 from ridepulse.llm.graph import components
 from ridepulse.llm.licenses import scan as license_scan
@@ -109,6 +109,47 @@ def test_tokens_are_those_of_the_library(spark):
         assert np.frombuffer(raw, "<u4").tolist() == ids_of(text)
 
 
+def test_parts_of_words_give_the_ids_of_the_library(monkeypatch):
+    import pyarrow as pa
+
+    # generations and slices end often; letters, marks and lines beside all that may not be cut there
+    monkeypatch.setattr(tokens, "CACHED_CHARS", 2000)
+    monkeypatch.setattr(tokens, "TOGETHER", 3000)
+    monkeypatch.setattr(tokens, "SLICE", 400)
+    monkeypatch.setitem(tokens._ENCODERS, PATH, tokens.Encoder(PATH))
+    draw = np.random.default_rng(7)
+    bits = [
+        "a", "The", "word", "ing", "Größe", "año", "слово", "λόγος", "ω", "日本", "שלום", "e\u0301", "ª", "²", "Ⅷ", "x" * 90, "1", "2024", "_", ".", ",", "!?", "###", "(", "'", "'s", "'re",
+        "don't", "''", "<", "|>", "<|endoftext|>", "endoftext", "\n", "\n\n", "\r\n", "\t", "\u00a0", "\u2028", "\x85", "\x1c", "\x00", "\u200b", "🙂", " ", " ", " ", " ", "  ", " \n", "\n ", ".\n", ",\nAnd",
+    ]
+    texts = ["".join(draw.choice(bits, int(n))) for n in draw.integers(0, 40, 1500)]
+    texts += [" ".join(draw.choice(bits[:36], 300)) for _ in range(5)] + [None, "", " ", "\n", "ab" * 3000, "word " * 400, "word. " * 400]
+    library = Tokenizer.from_file(PATH)
+    for text, raw in zip(texts, encoded(PATH, pa.array(texts, pa.string())), strict=True):
+        assert np.frombuffer(raw, "<u4").tolist() == library.encode(text or "", add_special_tokens=False).ids, text
+
+
+def test_words_that_differ_in_their_marks_are_not_encoded_again(monkeypatch):
+    import pyarrow as pa
+
+    handed, tool = [], tokens.Encoder(PATH)
+    library = tool.tokenizer
+
+    class Watched:
+        def encode_batch_fast(self, texts, **options):
+            handed.extend(texts)
+            return library.encode_batch_fast(texts, **options)
+
+    tool.tokenizer = Watched()
+    monkeypatch.setitem(tokens._ENCODERS, PATH, tool)
+    draw = np.random.default_rng(2)
+    words = ["".join(draw.choice(list("abcdeéßñ"), 9)) for _ in range(500)]
+    texts = [" ".join(f"{w}{mark}" for w in words) for mark in ("", ",", ".", ";", "!", "###", ".\nThe")]
+    for text, raw in zip(texts, encoded(PATH, pa.array(texts)), strict=True):
+        assert np.frombuffer(raw, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert sum(map(len, handed)) < len(texts[0])
+
+
 @pytest.mark.parametrize("targets", [None, {"s": 3.0, "t": 1.0}])
 def test_packing_fills_windows_and_keeps_every_id(spark, targets):
     docs = awkward(spark).filter("doc_id is not null").dropDuplicates(["doc_id"])
