@@ -129,6 +129,48 @@ def test_parts_of_words_give_the_ids_of_the_library(monkeypatch):
         assert np.frombuffer(raw, "<u4").tolist() == library.encode(text or "", add_special_tokens=False).ids, text
 
 
+def test_cached_parts_take_few_bytes_a_character(monkeypatch):
+    import tracemalloc
+
+    import pyarrow as pa
+
+    monkeypatch.setattr(tokens, "CACHED_CHARS", 200_000)
+    draw, tool = np.random.default_rng(5), tokens.Encoder(PATH)
+    texts = [" ".join("".join(word) for word in draw.choice(list("abcdefgh"), (20_000, 9))) for _ in range(3)]
+    tracemalloc.start()
+    try:
+        before = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes()
+        for text in texts:
+            tool.encode(pa.array([text]))
+        held = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes() - before
+    finally:
+        tracemalloc.stop()
+    assert 200_000 < held < 10 * 200_000
+
+
+def test_cached_parts_are_those_looked_up_last(monkeypatch):
+    import pyarrow as pa
+
+    handed, tool = [], tokens.Encoder(PATH)
+    model = tool.model
+
+    class Watched:
+        def tokenize(self, part):
+            handed.append(part)
+            return model.tokenize(part)
+
+    tool.model = Watched()
+    monkeypatch.setattr(tokens, "CACHED_CHARS", 300)
+    draw = np.random.default_rng(6)
+    words = ["".join(word) for word in draw.choice(list("abcdefgh"), (40, 9))]
+    first, second, third, fourth = (words[at : at + 10] for at in range(0, 40, 10))
+    # the cache holds less than three of these texts
+    for some in (first, second, first, third, first, fourth, second):
+        text = " ".join(some)
+        assert np.frombuffer(tool.encode(pa.array([text]))[0], "<u4").tolist() == tool.tokenizer.encode(text, add_special_tokens=False).ids
+    assert [handed.count("Ġ" + word) for word in words] == [1] * 10 + [2] * 10 + [1] * 20
+
+
 def test_words_that_differ_in_their_marks_are_not_encoded_again(monkeypatch):
     import pyarrow as pa
 
